@@ -1,0 +1 @@
+"""Operators for preparing large training corpora. Nothing else in the library imports this subpackage."""
