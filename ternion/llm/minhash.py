@@ -10,10 +10,10 @@ that fills all slots with high probability, and further for documents with empty
 document costs one comparison per shingle and not one per shingle and slot.
 
 Search. Bands of signature entries give buckets; in each bucket every member is compared with the
-bucket's first member by exact multiset overlap of the texts; then members of buckets that still hold
-several components are compared with each other, leaving out only pairs that the triangle inequality of
-the Jaccard distance excludes. No bucket is capped and no pair within a group is spelled out once its
-members are joined. Equal texts are joined beforehand through a digest.
+bucket's most connected member by exact multiset overlap of the texts; then the documents of each group that
+buckets connect and that still has several components are compared with each other exactly, block by block
+of bounded size, and only links leave a task. No bucket is capped and no pair within a group is spelled out.
+Equal texts are joined beforehand through a digest.
 
 Nulls and edge cases: a null text is a document of its own; texts without words are joined only with equal
 texts; texts of one to four words have a single shingle; rows with a null doc_id are returned with a null
@@ -34,7 +34,7 @@ from ternion.llm.tables import small_batches
 from ternion.operators.components import connected_components
 from ternion.plans.lineage import cut
 
-SIMILARITY, BANDS, ROWS = 0.8, 20, 5
+SIMILARITY, BANDS, ROWS, BLOCK = 0.8, 20, 5, 512
 _GOLD, _SLOT, _PLACE = 0x9E3779B97F4A7C15, 0xA0761D6478BD642F, tb.U(0xE7037ED1A0B428DB)
 _MASK = (1 << 64) - 1
 _UNIT = 2.0**-53
@@ -173,12 +173,17 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     banded = light.join(copies.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_anti").select(
         F.col("doc_id").alias("id"), F.explode("keys").alias("key")
     )
-    leaders = banded.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("key", "a")
-    members = cut(banded.join(leaders, "key"), "mh-members")
+    sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = cut(banded.join(sizes, "key"), "mh-shared")
+    # A text that many others were made from shares more buckets with them than they share among themselves.
+    weight = shared.groupBy("id").agg(F.sum("n").alias("w"))
+    ranked = shared.join(weight, "id").select("key", "id", F.struct("w", (-F.col("id")).alias("i")).alias("r"))
+    leaders = ranked.groupBy("key").agg((-F.max("r").getField("i")).alias("a"))
+    members = cut(shared.select("key", "id").join(leaders, "key"), "mh-members")
     stars = members.where("id <> a").select("a", F.col("id").alias("b")).distinct()
     scored = cut(similarities(stars, docs), "mh-scored")
     links = scored.where(F.col("sim") >= similarity).select("a", "b")
-    links = cut(links.union(_rest(members, scored, links, docs, similarity)).union(copies), "mh-links")
+    links = cut(links.union(_rest(members, links, docs, similarity)).union(copies), "mh-links")
     comp = connected_components(links, "a", "b")
     ids = known.select("doc_id").distinct()
     out = ids.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
@@ -188,22 +193,50 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     return out.withColumn("is_representative", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 
 
-def _rest(members: DataFrame, scored: DataFrame, links: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """Links that the comparisons with first members missed, from buckets that hold several components."""
-    comp = cut(connected_components(links, "a", "b"), "mh-comp")
-    named = members.join(comp.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", "a", F.coalesce("component", "id").alias("c")
-    )
-    mixed = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    near = scored.select("a", F.col("b").alias("id"), "sim")
-    rest = cut(named.join(mixed, "key").join(near, ["a", "id"]).select("key", "id", "c", "sim"), "mh-rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    slack = 1.0 - similarity + 1e-9
-    far = (
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.id") < F.col("y.id"))
-        & (F.col("x.c") != F.col("y.c"))
-        & (F.abs(F.col("x.sim") - F.col("y.sim")) <= slack)
-    )
-    pairs = x.join(y, far).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    return similarities(pairs, docs).where(F.col("sim") >= similarity).select("a", "b")
+def _cross(t: pa.Table, similarity: float) -> pa.Table:
+    """Links between the two blocks of a group, one per document and component of the other block."""
+    out: list[tuple[int, int]] = []
+    side = np.asarray(t.column("side"), np.int64)
+    own = t.filter(pa.array(side == 0))
+    other = t.filter(pa.array(side == 1)) if (side == 1).any() else own
+    (ia, ca, sa, na, ea), (ib, cb, sb, nb, eb) = (_bags(x) for x in (own, other))
+    if len(np.unique(np.r_[ca, cb])) > 1 and len(sa) and len(sb):
+        wa, wb = np.add.reduceat(np.r_[na, 0], ea[:-1]) * (np.diff(ea) > 0), np.add.reduceat(np.r_[nb, 0], eb[:-1]) * (np.diff(eb) > 0)
+        owner = np.repeat(np.arange(len(ib)), np.diff(eb))
+        order = np.argsort(sb, kind="stable")
+        sb, nb, owner = sb[order], nb[order], owner[order]
+        for k in range(len(ia)):
+            s, n = sa[ea[k] : ea[k + 1]], na[ea[k] : ea[k + 1]]
+            lo, hi = np.searchsorted(sb, s), np.searchsorted(sb, s, "right")
+            size = hi - lo
+            at = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            common = np.bincount(owner[at], weights=np.minimum(nb[at], np.repeat(n, size)), minlength=len(ib))
+            near = np.flatnonzero((common > 0) & (cb != ca[k]) & (common >= similarity * (wa[k] + wb - common)))
+            if len(near):
+                _, first = np.unique(cb[near], return_index=True)
+                out += [(int(ia[k]), int(ib[j])) for j in near[first]]
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
+
+
+def _bags(t: pa.Table) -> tuple[np.ndarray, ...]:
+    sh, owner, n = tb.row_bags(t.column("text"))
+    ids, comp = (np.asarray(t.column(c), np.int64) for c in ("id", "c"))
+    return ids, comp, sh, n, np.searchsorted(owner, np.arange(len(ids) + 1))
+
+
+def _rest(members: DataFrame, links: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """Links that the comparisons with leading members missed.
+
+    Documents that buckets connect form a group. In groups with several components all blocks of `BLOCK`
+    documents are compared with one another, exactly; a pair of blocks is one task's work and gives links alone.
+    """
+    comp = connected_components(links, "a", "b").withColumnRenamed("node", "id").withColumnRenamed("component", "c")
+    group = connected_components(members.where("id <> a"), "a", "id").withColumnRenamed("node", "id").withColumnRenamed("component", "g")
+    named = cut(group.join(comp, "id", "left").select("id", "g", F.coalesce("c", "id").alias("c")), "mh-named")
+    mixed = named.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi")
+    todo = named.join(mixed.select("g", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "g")
+    todo = cut(todo.withColumn("k", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "mh-todo")
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(todo, "id").dropDuplicates(["id"])
+    first = texts.select("g", F.col("k").alias("i"), F.explode(F.sequence("k", F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"), "id", "c", "text")
+    second = texts.where("k > 0").select("g", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"), F.col("k").alias("j"), F.lit(1).alias("side"), "id", "c", "text")
+    return first.union(second).groupBy("g", "i", "j").applyInArrow(lambda t: _cross(t, similarity), "a long, b long")

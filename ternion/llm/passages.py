@@ -47,26 +47,34 @@ def runs(data: np.ndarray, off: np.ndarray, length: int = LENGTH, part: int = PA
     none = np.zeros(0, np.int64)
     if n < length:
         return none.astype(tb.U), none, none, none
-    at = np.arange(n - part + 1)
-    h = tb.span_hashes(data, at, at + part) >> tb.U(64 - _HASH_BITS)
+    h = tb.window_hashes(data, part)
     width, step = length - part + 1, 1
-    best, index = h, at
-    while step * 2 <= width:
-        best, index = _least(best, index, step)
-        step *= 2
-    if step < width:
-        best, index = _least(best, index, width - step)
-    row = np.searchsorted(off, np.arange(len(best)), "right") - 1
-    fits = np.arange(len(best)) + length <= off[row + 1]
-    q = np.flatnonzero(fits)
+    if n <= 1 << 24:  # hash and position in one word: the smallest is the left-most of the smallest hashes
+        best = h & ~tb.U((1 << 24) - 1) | np.arange(len(h), dtype=tb.U)
+        while step * 2 <= width:
+            best = np.minimum(best[:-step], best[step:])
+            step *= 2
+        if step < width:
+            best = np.minimum(best[: step - width], best[width - step :])
+        index = (best & tb.U((1 << 24) - 1)).astype(np.int64)
+    else:
+        best, index = h >> tb.U(24), np.arange(len(h))
+        while step * 2 <= width:
+            best, index = _least(best, index, step)
+            step *= 2
+        if step < width:
+            best, index = _least(best, index, width - step)
+    room = np.maximum(np.diff(off) - length + 1, 0)
+    row = np.repeat(np.arange(len(room)), room)
+    q = np.arange(len(row)) + np.repeat(off[:-1] - (np.cumsum(room) - room), room)
     if not len(q):
         return none.astype(tb.U), none, none, none
     anchor = index[q]
     new = np.ones(len(q), bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (q[1:] != q[:-1] + 1)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
     first = np.flatnonzero(new)
     last = np.r_[first[1:], len(q)] - 1
-    return h[anchor[first]], q[first], q[last], row[q[first]]
+    return h[anchor[first]] >> tb.U(64 - _HASH_BITS), q[first], q[last], row[first]
 
 
 def _least(best: np.ndarray, index: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,29 +83,16 @@ def _least(best: np.ndarray, index: np.ndarray, shift: int) -> tuple[np.ndarray,
     return np.where(right, best[shift:], best[: len(best) - shift]), np.where(right, index[shift:], index[: len(index) - shift])
 
 
-def _anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
-
-    def emit() -> pa.RecordBatch:
-        words = np.concatenate(held)
-        order = np.argsort(words >> tb.U(20), kind="stable")
-        words = words[order]
-        edge = np.searchsorted(words, (np.arange(1, buckets) * ((1 << 64) // buckets)).astype(tb.U))
-        parts = np.split(words, edge)
-        return pa.RecordBatch.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], ["bucket", "words"])
-
-    for batch in batches:
-        for part in tb.pieces(batch):
-            data, off = tb.flat(part.column("text"))
-            h, _, _, row = runs(data, off)
-            block = np.asarray(part.column("block"), np.int64)[row].astype(tb.U)
-            held.append(h << tb.U(20) | block)
-            size += len(h)
-            if size > 2_000_000:
-                yield emit()
-                held, size = [], 0
-    if held:
-        yield emit()
+def _anchors(docs: pa.Table, marks: pa.Table, buckets: int) -> pa.Table:
+    """Packed (anchor, block) words of a block of documents, by bucket."""
+    held = [np.zeros(0, tb.U)]
+    for part, data, off, _ in _block(docs, marks):
+        h, _, _, _ = runs(data, off)
+        held.append(h << tb.U(20) | tb.U(part.column("block")[0].as_py()))
+    words = np.sort(np.concatenate(held))
+    parts = np.split(words, np.searchsorted(words, (np.arange(1, buckets) * ((1 << 64) // buckets)).astype(tb.U)))
+    some = [k for k, p in enumerate(parts) if len(p)]
+    return pa.table({"bucket": pa.array(some, pa.int32()), "words": pa.array([parts[k].tobytes() for k in some], pa.binary())})
 
 
 def _repeated(t: pa.Table) -> pa.Table:
@@ -115,13 +110,25 @@ def _repeated(t: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array(kinds.astype(np.int32)), "anchors": pa.array([x.tobytes() for x in (np.split(h, at[1:]) if len(kinds) else [])], pa.binary())})
 
 
-def _block(t: pa.Table) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]]:
-    """Slices of a block of documents with their bytes and doc_ids; a null doc_id is the largest."""
+def _block(t: pa.Table, marks: pa.Table, copies: bool = False) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]]:
+    """Slices of a block of documents with their bytes and doc_ids; a null doc_id is the largest.
+
+    Marked copies of whole texts are left out, or are the only ones given.
+    """
+    gone = {(i, d) for i, d in zip(marks.column("id").to_pylist(), marks.column("digest").to_pylist(), strict=True) if d is not None}
+    ids = {i for i, _ in gone}
     for batch in t.combine_chunks().to_batches():
         for part in tb.pieces(batch):
-            data, off = tb.flat(part.column("text"))
-            ids = np.asarray(part.column("doc_id").fill_null(_LAST), np.int64)
-            yield part, data, off, ids
+            own = np.asarray(part.column("doc_id").fill_null(_LAST), np.int64)
+            if gone:
+                text = part.column("text")
+                marked = [i in ids and (i, hashlib.md5(text[k].as_py().encode()).digest()) in gone for k, i in enumerate(own.tolist())]
+                take = np.flatnonzero(np.array(marked) == copies)
+                part, own = part.take(pa.array(take)), own[take]
+            elif copies:
+                return
+            if part.num_rows:
+                yield part, *tb.flat(part.column("text")), own
 
 
 def _contexts(docs: pa.Table, found: pa.Table, shards: int) -> pa.Table:
@@ -129,10 +136,12 @@ def _contexts(docs: pa.Table, found: pa.Table, shards: int) -> pa.Table:
     empty = {"shard": pa.array([], pa.int32()), "block": pa.array([], pa.int32()), "sizes": pa.array([], pa.binary()), "low": pa.array([], pa.binary()), "high": pa.array([], pa.binary()), "bytes": pa.array([], pa.binary())}
     if not docs.num_rows or not found.num_rows:
         return pa.table(empty)
-    known = np.sort(np.concatenate([np.frombuffer(x, tb.U) for x in found.column("anchors").to_pylist()]))
+    known = np.sort(np.concatenate([np.zeros(0, tb.U), *(np.frombuffer(x, tb.U) for x in found.column("anchors").to_pylist() if x)]))
+    if not len(known):
+        return pa.table(empty)
     names, lows, highs, shard, texts, sizes = [], [], [], [], [], []
     seen: np.ndarray = np.zeros(0, tb.U)
-    for _, data, off, ids in _block(docs):
+    for _, data, off, ids in _block(docs, found):
         h, a, z, row = runs(data, off)
         at = np.minimum(np.searchsorted(known, h), len(known) - 1)
         hit = known[at] == h
@@ -224,13 +233,13 @@ def _shard(t: pa.Table) -> pa.Table:
 def _cut(docs: pa.Table, found: pa.Table) -> pa.Table:
     """The documents of a block with the covered bytes taken out."""
     out: dict[str, list] = {k: [] for k in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
-    names = np.concatenate([np.zeros(0, tb.U), *(np.frombuffer(x, tb.U) for x in found.column("names").to_pylist())])
-    counts = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x, np.uint8) for x in found.column("counts").to_pylist())]).astype(np.int64)
-    values = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, np.int64) for x in found.column("values").to_pylist())])
+    names = np.concatenate([np.zeros(0, tb.U), *(np.frombuffer(x, tb.U) for x in found.column("names").to_pylist() if x)])
+    counts = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x, np.uint8) for x in found.column("counts").to_pylist() if x)]).astype(np.int64)
+    values = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, np.int64) for x in found.column("values").to_pylist() if x)])
     begin = np.cumsum(counts) - counts
     order = np.argsort(names)
     names, begin, counts = names[order], begin[order], counts[order]
-    for part, data, off, ids in _block(docs):
+    for part, data, off, ids in _block(docs, found):
         gone = np.zeros(len(data) + 1, np.int64)
         if len(names):
             _, a, z, row = runs(data, off)
@@ -259,6 +268,14 @@ def _cut(docs: pa.Table, found: pa.Table) -> pa.Table:
         out["n_bytes"] += np.diff(off).tolist()
         out["n_removed"] += (total[off[1:]] - total[off[:-1]]).tolist()
         out["n_spans"] += (spans[off[1:]] - spans[off[:-1]]).tolist()
+    for part, _, off, _ in _block(docs, found, copies=True):
+        n = part.num_rows
+        out["doc_id"] += part.column("doc_id").to_pylist()
+        out["n_bytes"] += np.diff(off).tolist()
+        out["n_removed"] += np.diff(off).tolist()
+        out["n_spans"] += [1] * n
+        out["kept_sha256"] += [hashlib.sha256(b"").hexdigest()] * n
+        out["kept"] += [b""] * n
     return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64())} | {k: pa.array(out[k], pa.int64()) for k in ("n_bytes", "n_removed", "n_spans")} | {"kept_sha256": pa.array(out["kept_sha256"], pa.string()), "kept": pa.array(out["kept"], pa.binary())})
 
 
@@ -275,24 +292,25 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     keyed = cut(keyed, "sa-keys")
     first = keyed.groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c"))
     copies = cut(keyed.join(first.where("c > 1"), "digest").where("id > rep").select("id", "digest", "n"), "sa-copies")
-    whole = F.col("n") >= LENGTH
-    done = copies.where(whole).select(
-        F.nullif("id", F.lit(_LAST)).alias("doc_id"), F.col("n").alias("n_bytes"), F.col("n").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.sha2(F.lit(""), 256).alias("kept_sha256"), F.lit(b"").alias("kept")
-    )
     total = keyed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("b")).first()["b"]
     blocks = min(1 << 20, max(parts, -(-total // BLOCK_BYTES)))
-    mine = rows.withColumn("id", F.coalesce("doc_id", F.lit(_LAST))).withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
-    mine = mine.join(copies.where(whole).select("id", "digest").distinct(), ["id", "digest"], "left_anti")
-    mine = mine.select("doc_id", "text", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int").alias("block")
+    # The three uses of the texts by block share one exchange.
+    texts = rows.select("doc_id", "text", block(F.coalesce("doc_id", F.lit(_LAST)))).groupBy("block")
+    marks = copies.where(F.col("n") >= LENGTH).select(block("id"), "id", "digest").distinct()
+    marks = marks.select("block", "id", "digest", F.lit(None).cast("binary").alias("anchors"))
     found = (
-        mine.select("text", "block")
-        .mapInArrow(lambda it: _anchors(it, parts), "bucket int, words binary")
+        texts.cogroup(marks.groupBy("block"))
+        .applyInArrow(lambda a, b: _anchors(a, b, parts), "bucket int, words binary")
         .groupBy("bucket")
         .applyInArrow(_repeated, "block int, anchors binary")
     )
-    by_block = mine.groupBy("block")
-    contexts = by_block.cogroup(found.groupBy("block")).applyInArrow(
-        lambda a, b: _contexts(a, b, parts), "shard int, block int, sizes binary, low binary, high binary, bytes binary"
+    found = found.select("block", F.lit(None).cast("long").alias("id"), F.lit(None).cast("binary").alias("digest"), "anchors")
+    contexts = texts.cogroup(found.union(marks).groupBy("block")).applyInArrow(
+        lambda a, b: _contexts(a, b, 4 * parts), "shard int, block int, sizes binary, low binary, high binary, bytes binary"
     )
     judged = contexts.groupBy("shard").applyInArrow(_shard, "block int, names binary, counts binary, values binary")
-    return by_block.cogroup(judged.groupBy("block")).applyInArrow(_cut, _RESULT).unionByName(done)
+    judged = judged.select("block", F.lit(None).cast("long").alias("id"), F.lit(None).cast("binary").alias("digest"), "names", "counts", "values")
+    none = F.lit(None).cast("binary")
+    marked = marks.select("block", "id", "digest", none.alias("names"), none.alias("counts"), none.alias("values"))
+    return texts.cogroup(judged.union(marked).groupBy("block")).applyInArrow(_cut, _RESULT)

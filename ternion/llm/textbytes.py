@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 SHINGLE = 5
 
 U = np.uint64
@@ -106,6 +106,15 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
 
 
+def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit hash of every window of ``width`` bytes."""
+    power, inverse = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, U)
+    np.cumsum(_BYTE[data] * power[: len(data)], out=sums[1:])
+    n = len(data) - width + 1
+    return mix((sums[width:] - sums[:n]) * inverse[:n])
+
+
 _PLACE = seeded(SHINGLE, 0x51) | U(1)
 
 
