@@ -8,6 +8,7 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType, StringType
 
 
 def tolerant_json(text: str) -> object:
@@ -60,13 +61,13 @@ def matching_ratio(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """`matching_ratio` of two columns; null where either is null."""
     return pd.Series([None if x is None or y is None else matching_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def repaired_json(c: pd.Series) -> pd.Series:
     """`tolerant_json` rendered again; null where there is none."""
 
@@ -79,7 +80,7 @@ def repaired_json(c: pd.Series) -> pd.Series:
     return c.map(one)
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def decode_ignoring(c: pd.Series) -> pd.Series:
     """UTF-8 without the bytes that are none."""
     return c.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
