@@ -142,11 +142,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(sim)], ["a", "b", "sim"])
 
 
-def similarities(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """``(a, b, sim)`` for pairs of doc_ids, by exact multiset overlap of the two whole texts."""
-    pairs = cut(pairs, "mh-pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+def similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(a, b, sim)`` for pairs of doc_ids, by exact multiset overlap of the two whole texts (one row per doc_id)."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(_compare, "a long, b long, sim double")
@@ -180,10 +177,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     ranked = shared.join(weight, "id").select("key", "id", F.struct("w", (-F.col("id")).alias("i")).alias("r"))
     leaders = ranked.groupBy("key").agg((-F.max("r").getField("i")).alias("a"))
     members = cut(shared.select("key", "id").join(leaders, "key"), "mh-members")
+    # All later steps read the texts of documents in shared buckets alone; one plan at every size.
+    ids = shared.select(F.col("id").alias("doc_id")).distinct().hint("merge")
+    texts = cut(known.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "mh-texts")
     stars = members.where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    scored = cut(similarities(stars, docs), "mh-scored")
+    scored = cut(similarities(stars, texts), "mh-scored")
     links = scored.where(F.col("sim") >= similarity).select("a", "b")
-    links = cut(links.union(_rest(members, links, docs, similarity)).union(copies), "mh-links")
+    links = cut(links.union(_rest(members, links, texts, similarity)).union(copies), "mh-links")
     comp = connected_components(links, "a", "b")
     ids = known.select("doc_id").distinct()
     out = ids.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
@@ -224,7 +224,7 @@ def _bags(t: pa.Table) -> tuple[np.ndarray, ...]:
     return ids, comp, sh, n, np.searchsorted(owner, np.arange(len(ids) + 1))
 
 
-def _rest(members: DataFrame, links: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+def _rest(members: DataFrame, links: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Links that the comparisons with leading members missed.
 
     Documents that buckets connect form a group. In groups with several components all blocks of `BLOCK`
@@ -236,7 +236,7 @@ def _rest(members: DataFrame, links: DataFrame, docs: DataFrame, similarity: flo
     mixed = named.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi")
     todo = named.join(mixed.select("g", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "g")
     todo = cut(todo.withColumn("k", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "mh-todo")
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(todo, "id").dropDuplicates(["id"])
-    first = texts.select("g", F.col("k").alias("i"), F.explode(F.sequence("k", F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"), "id", "c", "text")
-    second = texts.where("k > 0").select("g", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"), F.col("k").alias("j"), F.lit(1).alias("side"), "id", "c", "text")
+    placed = texts.select(F.col("doc_id").alias("id"), "text").join(todo, "id")
+    first = placed.select("g", F.col("k").alias("i"), F.explode(F.sequence("k", F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"), "id", "c", "text")
+    second = placed.where("k > 0").select("g", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"), F.col("k").alias("j"), F.lit(1).alias("side"), "id", "c", "text")
     return first.union(second).groupBy("g", "i", "j").applyInArrow(lambda t: _cross(t, similarity), "a long, b long")
