@@ -35,7 +35,7 @@ from ternion.llm.tables import small_batches
 from ternion.plans.lineage import cut
 
 CAPACITY, END_ID, CACHE_PARTS = 2048, 0, 300_000
-ROUNDS, NEAR, STEP = 80, 0.02, 0.08
+ROUNDS, NEAR, STEP = 200, 0.005, 0.04
 
 
 class Encoder:
@@ -126,7 +126,7 @@ def configurations(lengths: np.ndarray, demand: np.ndarray, capacity: int, round
                     used.append(int(item[c]))
                     c -= int(lengths[item[c]])
             kinds, counts = np.unique(used, return_counts=True)
-            step = max(1.0, STEP * float((demand[kinds] / counts).min()))
+            step = max(1e-9, STEP * float((demand[kinds] / counts).min()))
             room = float(((demand[kinds] - covered[kinds]) / counts).min())
             if room <= 0:
                 continue
