@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,32 +35,55 @@ from ternion.llm import textbytes as tb
 from ternion.llm.tables import small_batches
 from ternion.plans.lineage import cut
 
-CAPACITY, END_ID, CACHE_PARTS = 2048, 0, 300_000
+CAPACITY, END_ID, CACHE_PARTS = 2048, 0, 500_000
 ROUNDS, NEAR, STEP = 200, 0.005, 0.04
 
 
 class Encoder:
-    """Little-endian ids of texts, by parts between white space."""
+    """Little-endian ids of texts, by parts between white space.
+
+    The cache has two generations: when the young one is full it becomes the old one, and parts found there
+    move back, so frequent parts stay.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts: dict[str, bytes] = {"": b""}
+        self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
         parts = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.parts
         try:
-            return b"".join(map(known.__getitem__, parts))
+            return b"".join(map(self.young.__getitem__, parts))
         except KeyError:
-            new = [p for p in dict.fromkeys(parts) if p not in known]
-            if len(known) + len(new) > CACHE_PARTS:
-                known.clear()
-                new = list(dict.fromkeys(["", *parts]))
-            for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, "<u4").tobytes()
-            return b"".join(map(known.__getitem__, parts))
+            pass
+        if len(self.young) > CACHE_PARTS:
+            self.old, self.young = self.young, {"": b""}
+        young, old = self.young, self.old
+        missing = [p for p in dict.fromkeys(parts) if p not in young]
+        new = []
+        for p in missing:
+            if (got := old.get(p)) is not None:
+                young[p] = got
+            else:
+                new.append(p)
+        if new:
+            for p, e in zip(new, self.encode(new, add_special_tokens=False), strict=True):
+                young[p] = array("I", e.ids).tobytes()
+        return b"".join(map(young.__getitem__, parts))
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder of a vocabulary file; Python workers keep it from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
@@ -70,7 +94,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> Dat
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode, pid, seen = Encoder(tokenizer), TaskContext.get().partitionId(), [0] * (capacity + 1)
+        encode, pid, seen = encoder(tokenizer), TaskContext.get().partitionId(), [0] * (capacity + 1)
         for batch in batches:
             for part in tb.pieces(batch):
                 rows: list[tuple] = []
