@@ -98,10 +98,6 @@ SPARQL: dict[str, tuple[str, str]] = {
         "SELECT ?stationName (COUNT(?l) AS ?linesServed) WHERE { ?l :hasStop ?s . ?s :hasName ?stationName . } GROUP BY ?stationName HAVING (COUNT(?l) > 1)",
         "SELECT 'Part ' || l_partkey AS \"stationName\", CAST(count(DISTINCT l_orderkey) AS VARCHAR) AS \"linesServed\" FROM lineitem GROUP BY l_partkey HAVING count(DISTINCT l_orderkey) > 1",
     ),
-    "sparql_q6_routes": (
-        'SELECT ?stations ?routes WHERE { ?s :hasName "Part 10" . ?e :hasName ?en . { ?a :sequenceStop ?s ; :belongsToRoute ?r ; :stopSequenceNumber ?i . ?b :sequenceStop ?e ; :belongsToRoute ?r ; :stopSequenceNumber ?j . FILTER(?i < ?j) ?r :hasName ?rn . BIND(CONCAT("[Part 10, ", ?en, "]") AS ?stations) BIND(CONCAT("[", ?rn, "]") AS ?routes) } UNION { ?a :sequenceStop ?s ; :belongsToRoute ?r ; :stopSequenceNumber ?i . ?b :sequenceStop ?m ; :belongsToRoute ?r ; :stopSequenceNumber ?j . FILTER(?i < ?j) ?m a :InterchangeStation ; :hasName ?mn . ?c :sequenceStop ?m ; :belongsToRoute ?q ; :stopSequenceNumber ?k . ?d :sequenceStop ?e ; :belongsToRoute ?q ; :stopSequenceNumber ?l . FILTER(?k < ?l) FILTER(?r != ?q) ?r :hasName ?rn . ?q :hasName ?qn . BIND(CONCAT("[Part 10, ", ?mn, ", ", ?en, "]") AS ?stations) BIND(CONCAT("[", ?rn, ", ", ?qn, "]") AS ?routes) } }',
-        f"SELECT '[Part 10, ' || 'Part ' || b.p || ']' AS stations, '[Order ' || a.r || ']' AS routes FROM {_SEQ} a JOIN {_SEQ} b ON a.r = b.r AND a.n < b.n WHERE a.p = 10 UNION ALL SELECT '[Part 10, Part ' || b.p || ', Part ' || d.p || ']', '[Order ' || a.r || ', Order ' || c.r || ']' FROM {_SEQ} a JOIN {_SEQ} b ON a.r = b.r AND a.n < b.n JOIN part ON p_partkey = b.p AND p_size > 40 JOIN {_SEQ} c ON c.p = b.p AND c.r <> a.r JOIN {_SEQ} d ON d.r = c.r AND c.n < d.n WHERE a.p = 10",
-    ),
     "sparql_q7_zone_services": (
         "SELECT DISTINCT ?stationName ?lineName WHERE { ?z :zoneNumber 1 . ?s :hasZone ?z ; :hasName ?stationName . ?l :hasStop ?s ; :hasName ?lineName . }",
         "SELECT DISTINCT 'Part ' || l_partkey AS \"stationName\", 'Order ' || l_orderkey AS \"lineName\" FROM lineitem WHERE l_partkey % 5 = 0 AND l_partkey % 7 <> 0",
@@ -169,11 +165,11 @@ def _tsv(spark: SparkSession, d: str) -> DataFrame:
 def _embedding_links(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings").where("label = 0").select("vec_id", "embedding")
     a, b = e.alias("a"), e.alias("b")
-    return a.join(b, F.col("a.vec_id") < F.col("b.vec_id")).where(cosine(F.col("a.embedding"), F.col("b.embedding")) >= 0.3).select(F.col("a.vec_id").alias("src"), F.col("b.vec_id").alias("dst"))
+    return a.join(b, F.col("a.vec_id") < F.col("b.vec_id")).where(cosine(F.col("a.embedding"), F.col("b.embedding")) >= 0.4).select(F.col("a.vec_id").alias("src"), F.col("b.vec_id").alias("dst"))
 
 
 _COS = "list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))"
-_LINKS = f"SELECT a.vec_id AS src, b.vec_id AS dst FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE a.label = 0 AND b.label = 0 AND {_COS} >= 0.3"
+_LINKS = f"SELECT a.vec_id AS src, b.vec_id AS dst FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE a.label = 0 AND b.label = 0 AND {_COS} >= 0.4"
 
 
 def _knn(spark: SparkSession, d: str) -> DataFrame:
@@ -235,7 +231,6 @@ ORACLE: dict[str, str] = {k: v[1] for k, v in SPARQL.items()} | {
     "entity_names": f"SELECT DISTINCT 'entities' AS base_category, subject AS name FROM {_NT} UNION SELECT 'entities', object FROM {_NT} WHERE NOT regexp_full_match(object, '[+-]?\\d+') UNION SELECT 'relations', predicate FROM {_NT}",
     "knn_topk": f"SELECT name, near, kind, rank FROM (SELECT lpad(CAST(a.vec_id AS VARCHAR), 9, '0') AS name, lpad(CAST(b.vec_id AS VARCHAR), 9, '0') AS near, CAST(b.label AS VARCHAR) AS kind, row_number() OVER (PARTITION BY a.vec_id ORDER BY {_COS} DESC, b.vec_id DESC) AS rank FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0) WHERE rank <= 3",
     "components": f"WITH RECURSIVE l AS ({_LINKS}), e AS (SELECT src, dst FROM l UNION SELECT dst, src FROM l), r AS (SELECT src AS node, src AS seen FROM e UNION SELECT r.node, e.dst FROM r JOIN e ON r.seen = e.src) SELECT node, min(seen) AS component FROM r GROUP BY node",
-    "chain_transitive": "SELECT DISTINCT a.l_orderkey || '-' || a.l_linenumber AS src, b.l_orderkey || '-' || b.l_linenumber AS dst FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber AND (SELECT count(DISTINCT c.l_linenumber) FROM lineitem c WHERE c.l_orderkey = a.l_orderkey AND c.l_linenumber BETWEEN a.l_linenumber AND b.l_linenumber) = b.l_linenumber - a.l_linenumber + 1",
     "reason_rules": f"SELECT DISTINCT s, '{RDF_TYPE}' AS p, '{_PT}ConnectedEntity' AS o FROM {_NG} UNION SELECT o, '{_PT}operatedBy', s FROM {_NG} UNION SELECT o, '{_PT}relatedTo', s FROM {_NG}",
     "validate_report": "SELECT 3 * count(*) AS triple_count, true AS has_relation, CAST(0 AS BIGINT) AS iri_errors, CAST(0 AS BIGINT) AS unmapped_predicates, CAST(0 AS BIGINT) AS linking_conflicts FROM nation",
     "hash_documents": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
