@@ -37,12 +37,18 @@ from ternion.plans.lineage import cut
 
 CAPACITY, END_ID, CACHE_PARTS = 2048, 0, 500_000
 ROUNDS, NEAR, STEP = 200, 0.005, 0.04
+#: ASCII punctuation without the apostrophe (contractions) and the signs of special tokens.
+PUNCTUATION, WORD_END = '!"#$%&()*+,-./:;=?@[\\]^_`{}~', "</w>"
 
 
 class Encoder:
     """Little-endian ids of texts, by parts between white space.
 
-    The cache has two generations: when the young one is full it becomes the old one, and parts found there
+    A part that is letters between plain punctuation is one pre-token of each kind, so its ids are those of the
+    punctuation and of the lower-case letters; such pieces are encoded many at a time and cut at the ids that
+    end a pre-token. Other parts are encoded whole.
+
+    The caches have two generations: when the young one is full it becomes the old one, and parts found there
     move back, so frequent parts stay.
     """
 
@@ -51,29 +57,57 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {"": b""}
 
     def __call__(self, text: str) -> bytes:
         parts = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        try:
-            return b"".join(map(self.young.__getitem__, parts))
-        except KeyError:
-            pass
-        if len(self.young) > CACHE_PARTS:
-            self.old, self.young = self.young, {"": b""}
-        young, old = self.young, self.old
-        missing = [p for p in dict.fromkeys(parts) if p not in young]
-        new = []
+        if missing := set(parts).difference(self.young):
+            if len(self.young) > CACHE_PARTS:
+                self.old, self.young, self.units = self.young, {"": b""}, {"": b""}
+                missing = set(parts).difference(self.young)
+            self._learn(missing)
+        return b"".join(map(self.young.__getitem__, parts))
+
+    def _learn(self, missing: set[str]) -> None:
+        young, old, units = self.young, self.old, self.units
+        split, whole, new = [], [], {}
         for p in missing:
             if (got := old.get(p)) is not None:
                 young[p] = got
-            else:
-                new.append(p)
-        if new:
-            for p, e in zip(new, self.encode(new, add_special_tokens=False), strict=True):
-                young[p] = array("I", e.ids).tobytes()
-        return b"".join(map(young.__getitem__, parts))
+                continue
+            core = p.strip(PUNCTUATION)
+            if not core.isalpha():
+                whole.append(p)
+                continue
+            at = p.index(core)
+            pieces = p[:at], core.lower() if core.isascii() else core, p[at + len(core) :]
+            split.append((p, pieces))
+            for u in pieces:
+                if u not in units:
+                    new[u] = None
+        units.update(self._units(list(new)))
+        for p, (head, core, tail) in split:
+            young[p] = units[head] + units[core] + units[tail]
+        young.update(self._each(whole))
+
+    def _units(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of strings of one pre-token each; every string gives one at least, so equal counts mean one each."""
+        if not new:
+            return {}
+        ids = np.array(self.encode([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
+        to = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(to) != len(new) or to[-1] != 4 * len(ids):
+            return self._each(new)
+        raw = ids.tobytes()
+        return {u: raw[a:b] for u, a, b in zip(new, [0, *to], to)}
+
+    def _each(self, new: list[str]) -> dict[str, bytes]:
+        return {p: array("I", e.ids).tobytes() for p, e in zip(new, self.encode(new, add_special_tokens=False), strict=True)} if new else {}
 
 
 _ENCODERS: dict[str, Encoder] = {}
