@@ -13,8 +13,9 @@ A list is cut into salted parts and its queries into salted blocks, each of boun
 third of all vectors is many tasks. Each part gives at most k candidates per query, and the best k of these
 are chosen after partial selection.
 
-Sample: at most ``SAMPLE`` vectors, the smallest by hashed id, for k-means alone. Lists: about the square root of
-the rows, at most ``MAX_LISTS``; centroids and norms are the only broadcast data, bounded by these.
+Sample: at most ``SAMPLE`` vectors, the smallest by hashed id, for k-means alone. Lists: one for ``LIST_ROWS``
+rows, since each list that a query probes costs a copy of the query and a first bound; at least ``MIN_LISTS``, at
+most ``MAX_LISTS``; centroids and norms are the only broadcast data, bounded by these.
 
 Nulls and edge cases: vectors null, empty, zero, with null or non-finite components, or of a dimension other
 than the commonest take no part; neither do null ids; repeated rows with one id and vector are one; ids with
@@ -34,7 +35,7 @@ from pyspark.sql.window import Window
 from ternion.llm import textbytes as tb
 from ternion.plans.lineage import cut
 
-K, SAMPLE, MAX_LISTS, PROBED, COLUMNS, CONFIDENCE, PART_ROWS, QUERY_ROWS, SEED = 20, 20_000, 2048, 0.7, 16, 2.1, 4096, 8192, 7
+K, SAMPLE, MIN_LISTS, MAX_LISTS, LIST_ROWS, PROBED, COLUMNS, CONFIDENCE, PART_ROWS, QUERY_ROWS, SEED = 20, 20_000, 16, 2048, 1024, 0.7, 16, 2.1, 4096, 8192, 7
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -126,7 +127,7 @@ def search(
     most, dims = float(np.sqrt(stats["m"])), stats["d"] + 1
     turn = _rotation(dims)
     rows = base.orderBy(F.xxhash64("id")).limit(SAMPLE).select("v").toArrow()
-    lists = int(min(MAX_LISTS, max(1, round(stats["n"] ** 0.5))))
+    lists = min(MAX_LISTS, max(MIN_LISTS, -(-stats["n"] // LIST_ROWS)))
     centre = kmeans(_lift(_matrix(rows.column("v").combine_chunks()), most, False) @ turn, lists)
     probes = max(1, min(len(centre), int(np.ceil(probed * len(centre)))))
     shared = spark.sparkContext.broadcast(centre)
