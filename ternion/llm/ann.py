@@ -13,9 +13,9 @@ A list is cut into salted parts and its queries into salted blocks, each of boun
 third of all vectors is many tasks. Each part gives at most k candidates per query, and the best k of these
 are chosen after partial selection.
 
-Sample: at most ``SAMPLE`` vectors, the smallest by hashed id, for k-means alone. Lists: one for ``LIST_ROWS``
-rows, since each list that a query probes costs a copy of the query and a first bound; at least ``MIN_LISTS``, at
-most ``MAX_LISTS``; centroids and norms are the only broadcast data, bounded by these.
+Sample: at most ``SAMPLE`` vectors, the smallest by hashed id, for k-means alone. Lists: ``LISTS`` at every size (fewer below ``LIST_ROWS`` rows a list), so the
+copies of a query and the candidates it gets grow with the parts alone. A query's first bound is its distance to
+the (2k+2)-th nearest of at most ``ANCHORS`` sampled vectors that lie in its probed lists. Centroids, anchors and norms are the only broadcast data, bounded by these.
 
 Nulls and edge cases: vectors null, empty, zero, with null or non-finite components, or of a dimension other
 than the commonest take no part; neither do null ids; repeated rows with one id and vector are one; ids with
@@ -35,7 +35,7 @@ from pyspark.sql.window import Window
 from ternion.llm import textbytes as tb
 from ternion.plans.lineage import cut
 
-K, SAMPLE, MIN_LISTS, MAX_LISTS, LIST_ROWS, PROBED, COLUMNS, CONFIDENCE, PART_ROWS, QUERY_ROWS, SEED = 20, 20_000, 16, 2048, 1024, 0.7, 16, 2.1, 4096, 8192, 7
+K, SAMPLE, ANCHORS, LISTS, LIST_ROWS, PROBED, COLUMNS, CONFIDENCE, PART_ROWS, QUERY_ROWS, SEED = 20, 20_000, 2048, 64, 8, 0.7, 16, 2.1, 4096, 8192, 7
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -88,14 +88,19 @@ def nearest(x: np.ndarray, c: np.ndarray, k: int = 1) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros((0,) if k == 1 else (0, k), np.int64)
 
 
-def scan(q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (row of ``q``, row of ``x``) that may be among the ``k`` nearest: partial distances by column blocks."""
+def scan(q: np.ndarray, x: np.ndarray, k: int, far: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row of ``q``, row of ``x``) that may be among the ``k`` nearest: partial distances by column blocks.
+
+    ``far`` holds squared distances, one per query, beyond which nothing is wanted.
+    """
     n, dims = x.shape
     if n <= k:
         return np.repeat(np.arange(len(q)), n), np.tile(np.arange(n), len(q))
     seed = x[: min(n, max(2 * k, 64))]
     whole = (q * q).sum(1)[:, None] - 2 * q @ seed.T + (seed * seed).sum(1)[None]
     bound = np.maximum(np.partition(whole, k - 1, axis=1)[:, k - 1], 0.0) * (1 + 1e-9) + 1e-9
+    if far is not None:
+        bound = np.minimum(bound, far)
     b = min(COLUMNS, dims)
     partial = (q[:, :b] ** 2).sum(1)[:, None] - 2 * q[:, :b] @ x[:, :b].T + (x[:, :b] ** 2).sum(1)[None]
     who, at = np.nonzero(partial <= (bound * _reach(b, dims))[:, None])
@@ -108,6 +113,22 @@ def scan(q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return who, at
 
 
+def first_bound(q: np.ndarray, probed: np.ndarray, anchor: np.ndarray, home: np.ndarray, lists: int, rank: int) -> np.ndarray:
+    """Squared distance of each query to its ``rank``-th nearest anchor in the lists it probes; infinite if there are fewer."""
+    out = np.full(len(q), np.inf)
+    if len(anchor) < rank:
+        return out
+    own = (anchor * anchor).sum(1)[None]
+    for a in range(0, len(q), 512):
+        part = q[a : a + 512]
+        d = np.maximum((part * part).sum(1)[:, None] - 2 * part @ anchor.T + own, 0.0)
+        inside = np.zeros((len(part), lists), bool)
+        np.put_along_axis(inside, probed[a : a + 512], True, axis=1)
+        d[~inside[:, home]] = np.inf
+        out[a : a + 512] = np.partition(d, rank - 1, axis=1)[:, rank - 1] * (1 + 1e-9) + 1e-9
+    return out
+
+
 def _reach(seen: int, dims: int) -> float:
     """How far a partial distance over ``seen`` dimensions may go, as a share of the whole distance's bound."""
     return 1.0 if seen == dims else seen / dims * (1 + CONFIDENCE / np.sqrt(seen)) ** 2
@@ -127,14 +148,15 @@ def search(
     most, dims = float(np.sqrt(stats["m"])), stats["d"] + 1
     turn = _rotation(dims)
     rows = base.orderBy(F.xxhash64("id")).limit(SAMPLE).select("v").toArrow()
-    lists = min(MAX_LISTS, max(MIN_LISTS, -(-stats["n"] // LIST_ROWS)))
+    lists = min(LISTS, -(-stats["n"] // LIST_ROWS))
     centre = kmeans(_lift(_matrix(rows.column("v").combine_chunks()), most, False) @ turn, lists)
     probes = max(1, min(len(centre), int(np.ceil(probed * len(centre)))))
-    shared = spark.sparkContext.broadcast(centre)
+    anchors = _lift(_matrix(rows.column("v").combine_chunks())[:ANCHORS], most, False) @ turn
+    shared = spark.sparkContext.broadcast((centre, anchors, nearest(anchors, centre)))
 
     def deal(query: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            c = shared.value
+            c, anchor, home = shared.value
             for batch in batches:
                 if not batch.num_rows:
                     continue
@@ -142,16 +164,19 @@ def search(
                 near = nearest(x, c, probes if query else 1).reshape(batch.num_rows, -1)
                 per = near.shape[1]
                 at = np.repeat(np.arange(batch.num_rows), per)
-                yield pa.RecordBatch.from_arrays([pa.array(near.reshape(-1).astype(np.int32)), batch.column("id").take(pa.array(at)), batch.column("v").take(pa.array(at))], ["list", "id", "v"])
+                columns = [pa.array(near.reshape(-1).astype(np.int32)), batch.column("id").take(pa.array(at)), batch.column("v").take(pa.array(at))]
+                if query:
+                    columns.append(pa.array(first_bound(x, near, anchor, home, len(c), 2 * k + 2)[at]))
+                yield pa.RecordBatch.from_arrays(columns, ["list", "id", "v", "far"][: len(columns)])
 
         return run
 
     dealt = cut(base.mapInArrow(deal(False), "list int, id long, v array<double>"), "ann-lists")
     sizes = cut(dealt.groupBy("list").count().select("list", F.ceil(F.col("count") / PART_ROWS).cast("int").alias("parts")), "ann-sizes")
     blocks = max(1, -(-asked.count() // QUERY_ROWS))
-    members = dealt.join(F.broadcast(sizes), "list").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))  # MAX_LISTS rows at most
-    wanted = asked.mapInArrow(deal(True), "list int, id long, v array<double>").join(F.broadcast(sizes.select("list", F.sequence(F.lit(0), F.col("parts") - 1).alias("all_parts"))), "list")
-    wanted = wanted.select("list", "id", "v", F.explode("all_parts").alias("part"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))
+    members = dealt.join(F.broadcast(sizes), "list").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))  # LISTS rows at most
+    wanted = asked.mapInArrow(deal(True), "list int, id long, v array<double>, far double").join(F.broadcast(sizes.select("list", F.sequence(F.lit(0), F.col("parts") - 1).alias("all_parts"))), "list")
+    wanted = wanted.select("list", "id", "v", "far", F.explode("all_parts").alias("part"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))
 
     def look(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[list[np.ndarray]] = [[], [], []]
@@ -161,9 +186,9 @@ def search(
             ids, v = ids[order], _matrix(left.column("v").combine_chunks())[order]
             x = _lift(v, most, False) @ turn
             q_ids, q_v = np.asarray(right.column("id").combine_chunks(), np.int64), _matrix(right.column("v").combine_chunks())
-            lifted = _lift(q_v, most, True) @ turn
+            lifted, far = _lift(q_v, most, True) @ turn, np.asarray(right.column("far").combine_chunks(), np.float64)
             for a in range(0, len(q_ids), 256):
-                who, at = scan(lifted[a : a + 256], x, k + 1)
+                who, at = scan(lifted[a : a + 256], x, k + 1, far[a : a + 256])
                 other = q_ids[a + who] != ids[at]
                 who, at = who[other], at[other]
                 score = (v[at] * q_v[a + who]).sum(1)
