@@ -9,8 +9,9 @@ and candidates whose distance exceeds it beyond the test's error bound are aband
 partial distance an unbiased estimate, so the bound holds with a probability set by ``CONFIDENCE``. Survivors
 are scored exactly on the original vectors in double precision.
 
-A list is cut into salted parts and its queries into salted blocks, each of bounded size, so a list with a
-third of all vectors is many tasks. Each part gives at most k candidates per query, and the best k of these
+Lists stand on ``SHELVES`` shelves, and a query goes once to each shelf that holds a list it probes. A shelf is
+cut into salted parts and its queries into salted blocks, each of bounded size, so a list with a third of all
+vectors is many tasks. Each part gives at most k candidates per query, and the best k of these
 are chosen after partial selection.
 
 Sample: at most ``SAMPLE`` vectors, the smallest by hashed id, for k-means alone. Lists: ``LISTS`` at every size (fewer below ``LIST_ROWS`` rows a list), so the
@@ -35,7 +36,7 @@ from pyspark.sql.window import Window
 from ternion.llm import textbytes as tb
 from ternion.plans.lineage import cut
 
-K, SAMPLE, ANCHORS, LISTS, LIST_ROWS, PROBED, COLUMNS, CONFIDENCE, PART_ROWS, QUERY_ROWS, SEED = 20, 20_000, 2048, 64, 8, 0.7, 16, 2.1, 4096, 8192, 7
+K, SAMPLE, ANCHORS, LISTS, SHELVES, LIST_ROWS, PROBED, COLUMNS, CONFIDENCE, PART_ROWS, QUERY_ROWS, SEED = 20, 20_000, 2048, 64, 8, 8, 0.7, 16, 2.1, 16_384, 8192, 7
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -162,33 +163,49 @@ def search(
                     continue
                 x = _lift(_matrix(batch.column("v")), most, query) @ turn
                 near = nearest(x, c, probes if query else 1).reshape(batch.num_rows, -1)
-                per = near.shape[1]
-                at = np.repeat(np.arange(batch.num_rows), per)
-                columns = [pa.array(near.reshape(-1).astype(np.int32)), batch.column("id").take(pa.array(at)), batch.column("v").take(pa.array(at))]
-                if query:
-                    columns.append(pa.array(first_bound(x, near, anchor, home, len(c), 2 * k + 2)[at]))
-                yield pa.RecordBatch.from_arrays(columns, ["list", "id", "v", "far"][: len(columns)])
+                if not query:
+                    yield pa.RecordBatch.from_arrays([pa.array((near[:, 0] % SHELVES).astype(np.int32)), pa.array(near[:, 0].astype(np.int32)), batch.column("id"), batch.column("v")], ["shelf", "list", "id", "v"])
+                    continue
+                cell = np.arange(batch.num_rows)[:, None] * SHELVES + near % SHELVES
+                order = np.argsort(cell.reshape(-1), kind="stable")
+                count = np.bincount(cell.reshape(-1), minlength=batch.num_rows * SHELVES)
+                full = np.flatnonzero(count)
+                lists_of = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count[full])].astype(np.int32)), pa.array(near.reshape(-1)[order].astype(np.int32)))
+                at = pa.array(full // SHELVES)
+                far = first_bound(x, near, anchor, home, len(c), 2 * k + 2)[full // SHELVES]
+                yield pa.RecordBatch.from_arrays([pa.array((full % SHELVES).astype(np.int32)), batch.column("id").take(at), batch.column("v").take(at), pa.array(far), lists_of], ["shelf", "id", "v", "far", "lists"])
 
         return run
 
-    dealt = cut(base.mapInArrow(deal(False), "list int, id long, v array<double>"), "ann-lists")
-    sizes = cut(dealt.groupBy("list").count().select("list", F.ceil(F.col("count") / PART_ROWS).cast("int").alias("parts")), "ann-sizes")
+    dealt = cut(base.mapInArrow(deal(False), "shelf int, list int, id long, v array<double>"), "ann-lists")
+    sizes = cut(dealt.groupBy("shelf").count().select("shelf", F.ceil(F.col("count") / PART_ROWS).cast("int").alias("parts")), "ann-sizes")
     blocks = max(1, -(-asked.count() // QUERY_ROWS))
-    members = dealt.join(F.broadcast(sizes), "list").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))  # LISTS rows at most
-    wanted = asked.mapInArrow(deal(True), "list int, id long, v array<double>, far double").join(F.broadcast(sizes.select("list", F.sequence(F.lit(0), F.col("parts") - 1).alias("all_parts"))), "list")
-    wanted = wanted.select("list", "id", "v", "far", F.explode("all_parts").alias("part"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))
+    members = dealt.join(F.broadcast(sizes), "shelf").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))  # SHELVES rows at most
+    wanted = asked.mapInArrow(deal(True), "shelf int, id long, v array<double>, far double, lists array<int>").join(F.broadcast(sizes.select("shelf", F.sequence(F.lit(0), F.col("parts") - 1).alias("all_parts"))), "shelf")
+    wanted = wanted.select("shelf", "id", "v", "far", "lists", F.explode("all_parts").alias("part"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))
 
     def look(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[list[np.ndarray]] = [[], [], []]
         if left.num_rows and right.num_rows:
             ids = np.asarray(left.column("id").combine_chunks(), np.int64)
-            order = np.argsort(ids)
-            ids, v = ids[order], _matrix(left.column("v").combine_chunks())[order]
+            home = np.asarray(left.column("list").combine_chunks(), np.int64)
+            order = np.lexsort((ids, home))
+            ids, home, v = ids[order], home[order], _matrix(left.column("v").combine_chunks())[order]
+            names, first = np.unique(home, return_index=True)
+            spans = list(zip(names.tolist(), first.tolist(), [*first[1:].tolist(), len(home)], strict=True))
             x = _lift(v, most, False) @ turn
             q_ids, q_v = np.asarray(right.column("id").combine_chunks(), np.int64), _matrix(right.column("v").combine_chunks())
             lifted, far = _lift(q_v, most, True) @ turn, np.asarray(right.column("far").combine_chunks(), np.float64)
+            lists_of = right.column("lists").combine_chunks()
+            probing = np.zeros((len(q_ids), LISTS), bool)
+            probing[np.repeat(np.arange(len(q_ids)), np.diff(np.asarray(lists_of.offsets))), np.asarray(lists_of.flatten())] = True
             for a in range(0, len(q_ids), 256):
-                who, at = scan(lifted[a : a + 256], x, k + 1, far[a : a + 256])
+                hits = []
+                for name, lo, hi in spans:
+                    asking = np.flatnonzero(probing[a : a + 256, name])
+                    who, at = scan(lifted[a + asking], x[lo:hi], k + 1, far[a + asking])
+                    hits.append((asking[who], lo + at))
+                who, at = (np.concatenate(z) for z in zip(*hits, strict=True))
                 other = q_ids[a + who] != ids[at]
                 who, at = who[other], at[other]
                 score = (v[at] * q_v[a + who]).sum(1)
@@ -202,7 +219,7 @@ def search(
         cols = [np.concatenate(x) if x else np.zeros(0) for x in out]
         return pa.table({"query_id": pa.array(cols[0].astype(np.int64)), "vec_id": pa.array(cols[1].astype(np.int64)), "score": pa.array(cols[2].astype(np.float64))})
 
-    found = members.groupBy("list", "part", "block").cogroup(wanted.groupBy("list", "part", "block")).applyInArrow(look, "query_id long, vec_id long, score double")
+    found = members.groupBy("shelf", "part", "block").cogroup(wanted.groupBy("shelf", "part", "block")).applyInArrow(look, "query_id long, vec_id long, score double")
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
