@@ -20,6 +20,7 @@ each for itself; other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -37,14 +38,16 @@ from ternion.plans.lineage import cut
 
 CAPACITY, END_ID, CACHE_PARTS = 2048, 0, 500_000
 ROUNDS, NEAR, STEP = 200, 0.005, 0.04
-#: ASCII punctuation without the apostrophe (contractions) and the signs of special tokens.
-PUNCTUATION, WORD_END = '!"#$%&()*+,-./:;=?@[\\]^_`{}~', "</w>"
+#: Latin or Cyrillic letters between ASCII punctuation, but for the apostrophe (contractions), the signs of special
+#: tokens, and the letter whose lower case has a mark, which would join the punctuation behind it.
+SIMPLE = re.compile(r'([!-&(-/:;=?@\[-`{}~]*)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\u0400-\u0481\u048a-\u052f]+)([!-&(-/:;=?@\[-`{}~]*)')
+WORD_END = "</w>"
 
 
 class Encoder:
     """Little-endian ids of texts, by parts between white space.
 
-    A part that is letters between plain punctuation is one pre-token of each kind, so its ids are those of the
+    A part that is ``SIMPLE`` letters between punctuation is one pre-token of each kind, so its ids are those of the
     punctuation and of the lower-case letters; such pieces are encoded many at a time and cut at the ids that
     end a pre-token. Other parts are encoded whole.
 
@@ -80,12 +83,12 @@ class Encoder:
             if (got := old.get(p)) is not None:
                 young[p] = got
                 continue
-            core = p.strip(PUNCTUATION)
-            if not core.isalpha():
+            found = SIMPLE.fullmatch(p)
+            if found is None:
                 whole.append(p)
                 continue
-            at = p.index(core)
-            pieces = p[:at], core.lower() if core.isascii() else core, p[at + len(core) :]
+            head, core, tail = found.groups()
+            pieces = head, core.lower() if core.isascii() else core, tail
             split.append((p, pieces))
             for u in pieces:
                 if u not in units:
