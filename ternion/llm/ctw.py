@@ -5,18 +5,19 @@ a tree of its bit prefixes; each decision has a Krichevsky-Trofimov estimate in
 ``depth`` preceding bytes, and the context tree mixes the estimates of all depths by their block
 probabilities over the training texts. As a block probability depends on a node's counts alone, the model
 follows from the counts of (depth+1)-grams: they are counted over every document in one pass and summed by
-gram; all grams with the same nearest byte form a subtree that one task evaluates; the root joins the
-subtrees. With the counts fixed, the probability of a byte is a function of its gram, so scoring is one table
-look-up a byte. Grams that only held-out texts have take part with count zero: their estimates come from
+gram; all grams with the same two nearest bytes form a subtree that one task evaluates; the root and the
+nodes of the nearest byte join the subtrees. With the counts fixed, the probability of a byte is a function of
+its gram, so scoring is one table look-up a byte. Grams that only held-out texts have take part with count zero: their estimates come from
 the shallower contexts, and nothing is smoothed ad hoc.
 
-Beside it runs the word-unigram base: per text, the distinct words with their counts go to buckets by word
-hash, packed as arrays; a bucket sums the training counts of its words and gives back one sum per text. No
-row is ever a single word, and no text is shuffled.
+The gram table is never in one place: it is dealt to buckets by gram. Texts are cut into chunks; a chunk sends its
+distinct grams to their buckets and gets their values back. Beside it runs the word-unigram base in the same
+buckets: per text, the distinct words with their counts, packed as arrays; a bucket sums the training counts of
+its words and gives back one sum per text. No row is ever a single word; a chunk's texts travel with it, compressed.
 
-Bounds: the gram table is broadcast, so the depth is the largest up to ``DEPTH`` at which the whole corpus has
-at most ``MAX_GRAMS`` distinct grams; counts at that depth are complete. Buckets grow in number with
-``spark.sql.shuffle.partitions``.
+Bounds: the depth is the same at every size and all counts are complete. Buckets grow in number with
+``spark.sql.shuffle.partitions``, with the grams and with the bytes. The driver holds the nodes of at most one byte of
+context (256 x 256). One task holds the grams of at least one pair of nearest bytes.
 
 Nulls and edge cases: null and empty texts are the end symbol alone; a null doc_id is a training row; a zero
 byte inside a text is an ordinary symbol; repeated rows are each counted and scored; other columns are
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,9 @@ from ternion.llm import textbytes as tb
 from ternion.llm.tables import small_batches
 from ternion.plans.lineage import cut
 
-DEPTH, MAX_GRAMS, CHUNK_BYTES = 5, 4_000_000, 24 << 20
+DEPTH, CHUNK_BYTES, BUCKET_GRAMS, BUCKET_BYTES = 5, 16 << 20, 200_000, 32 << 20
 _HALF = math.log(0.5)
+_CODEC = pa.Codec("zstd", compression_level=6)
 
 
 def held_out() -> Column:
@@ -119,20 +122,20 @@ def _block(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _lgamma(zeros + 0.5) + _lgamma(ones + 0.5) - _lgamma(zeros + ones + 1.0) - math.log(math.pi)
 
 
-def subtree(g: np.ndarray, n: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For grams of one nearest byte: P(bit) of each gram's eight decisions by depths >= 1; ln P_w at depth 1 by bit prefix.
+def subtree(g: np.ndarray, n: np.ndarray, depth: int, top: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For all grams of some contexts of ``top`` bytes: P(bit) of each gram's eight decisions by depths >= top; ln P_w of the nodes at depth top.
 
-    Returns (probabilities, grams x 8), (bit prefixes), (their ln P_w).
+    Returns (probabilities, grams x 8), and of the nodes (nearest byte), (bit prefix), (ln P_w).
     """
     x = (g & tb.U(255)).astype(np.int64)
     n = n.astype(np.float64)
     prob = np.zeros((len(g), 8))
-    tops, values = [], []
+    near, tops, values = [], [], []
     for level in range(8):
         prefix = (1 << level) | (x >> (8 - level))
         bit = (x >> (7 - level)) & 1
         below, first, weights = None, None, []
-        for d in range(depth, 0, -1):
+        for d in range(depth, top - 1, -1):
             key = ((g >> tb.U(8)) & tb.U((1 << (8 * d)) - 1)) << tb.U(8) | prefix.astype(tb.U)
             _, index, inv = np.unique(key, return_index=True, return_inverse=True)
             total = np.bincount(inv, weights=n)
@@ -149,22 +152,28 @@ def subtree(g: np.ndarray, n: np.ndarray, depth: int) -> tuple[np.ndarray, np.nd
         for kt, w in weights[1:]:
             p = w * kt + (1.0 - w) * p
         prob[:, level] = p
+        near.append(_near(g)[first])
         tops.append(prefix[first])
         values.append(below)
-    return prob, np.concatenate(tops), np.concatenate(values)
+    return prob, np.concatenate(near), np.concatenate(tops), np.concatenate(values)
 
 
-def root(symbols: np.ndarray, tops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """From symbol counts and the subtrees' summed ln P_w by prefix: the root's weight and P(1) by bit prefix."""
-    total, ones = np.zeros(256), np.zeros(256)
+def _near(g: np.ndarray) -> np.ndarray:
+    """The byte before each gram's newest."""
+    return ((g >> tb.U(8)) & tb.U(255)).astype(np.int64)
+
+
+def joint(symbols: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From symbol counts (nodes x 256) and their children's summed ln P_w (nodes x prefixes): weight, P(1) and ln P_w by node and bit prefix."""
+    total, ones = np.zeros(symbols.shape), np.zeros(symbols.shape)
     x = np.arange(256)
     for level in range(8):
         prefix = (1 << level) | (x >> (8 - level))
-        np.add.at(total, prefix, symbols)
-        np.add.at(ones, prefix, symbols * ((x >> (7 - level)) & 1))
+        np.add.at(total.T, prefix, symbols.T)
+        np.add.at(ones.T, prefix, symbols.T * ((x >> (7 - level)) & 1)[:, None])
     pe = _block(total - ones, ones)
-    pw = np.logaddexp(_HALF + pe, _HALF + tops)
-    return np.exp(_HALF + pe - pw), (ones + 0.5) / (total + 1.0)
+    pw = np.logaddexp(_HALF + pe, _HALF + below)
+    return np.exp(_HALF + pe - pw), (ones + 0.5) / (total + 1.0), pw
 
 
 class Table:
@@ -202,100 +211,122 @@ class Table:
         return out
 
 
-def fit(docs: DataFrame, depth: int = DEPTH, max_grams: int = MAX_GRAMS) -> tuple[Table, int]:
-    """The table of all grams of ``docs`` (text, held_out), learned from the rows not held out, and its depth."""
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each gram."""
+    return (tb.mix(keys) >> tb.U(40)).astype(np.int64) % buckets
+
+
+def by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending grams put in the order of their buckets, and each bucket's first."""
+    to = bucket_of(keys, buckets)
+    return keys[np.argsort(to, kind="stable")], np.r_[0, np.cumsum(np.bincount(to, minlength=buckets))]
+
+
+def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, int]:
+    """``(bucket, gram, logp)`` of all grams of ``docs`` (text, held_out), learned from the rows not held out, and the number of buckets."""
     counted = docs.mapInArrow(lambda it: _count(it, depth), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     counted = cut(counted, "ctw-grams")
-    while counted.count() > max_grams and depth > 1:
-        depth -= 1
-        counted = cut(counted.groupBy(F.col("gram").bitwiseAND((1 << (8 * (depth + 1))) - 1).alias("gram")).agg(F.sum("n").alias("n")), "ctw-grams")
-    near = counted.withColumn("c", F.shiftright("gram", 8).bitwiseAND(255))
+    top = min(2, depth)
+    pairs, above = np.zeros((256, 256)), np.zeros((256, 256))
+    for r in counted.groupBy(F.col("gram").bitwiseAND(65535).alias("x")).agg(F.sum("n").alias("n")).collect():  # 65536 rows at most
+        pairs[r["x"] >> 8, r["x"] & 255] = r["n"]
+    shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(1, shuffles, counted.count() // BUCKET_GRAMS, int(pairs.sum()) // BUCKET_BYTES)
+    context = F.shiftright("gram", 8).bitwiseAND((1 << (8 * top)) - 1)
+    near = counted.withColumn("c", F.pmod(F.xxhash64(context), F.lit(buckets)))  # a context's grams stand together
 
     def tops(t: pa.Table) -> pa.Table:
-        g, n = _columns(t)
-        _, prefix, value = subtree(g, n, depth)
-        return pa.table({"prefix": pa.array(prefix), "value": pa.array(value)})
+        _, c, prefix, value = subtree(*_columns(t), depth, top)
+        at, inv = np.unique(c * 256 + prefix, return_inverse=True)
+        return pa.table({"node": pa.array(at), "value": pa.array(np.bincount(inv, weights=value, minlength=len(at)))})
 
-    symbols, above = np.zeros(256), np.zeros(256)
-    for r in counted.groupBy(F.col("gram").bitwiseAND(255).alias("x")).agg(F.sum("n").alias("n")).collect():  # 256 rows
-        symbols[r["x"]] = r["n"]
-    for r in near.groupBy("c").applyInArrow(tops, "prefix long, value double").groupBy("prefix").agg(F.sum("value").alias("v")).collect():  # 255 rows
-        above[r["prefix"]] = r["v"]
-    weight, one = root(symbols, above)
+    for r in near.groupBy("c").applyInArrow(tops, "node long, value double").groupBy("node").agg(F.sum("value").alias("v")).collect():  # 65536 rows at most
+        above[r["node"] >> 8, r["node"] & 255] = r["v"]
+    weight1, one1, pw1 = joint(pairs, above)
+    weight, one, _ = joint(pairs.sum(0, keepdims=True), (pw1 if top == 2 else above).sum(0, keepdims=True))
 
     def final(t: pa.Table) -> pa.Table:
         g, n = _columns(t)
-        prob, _, _ = subtree(g, n, depth)
-        x = (g & tb.U(255)).astype(np.int64)
+        prob = subtree(g, n, depth, top)[0]
+        x, c = (g & tb.U(255)).astype(np.int64), _near(g)
         total = np.zeros(len(g))
         for level in range(8):
-            prefix = (1 << level) | (x >> (8 - level))
-            base = np.where((x >> (7 - level)) & 1, one[prefix], 1.0 - one[prefix])
-            total += np.log10(weight[prefix] * base + (1.0 - weight[prefix]) * prob[:, level])
-        return pa.table({"gram": pa.array(g.view(np.int64)), "logp": pa.array(total.astype(np.float32))})
+            prefix, p = (1 << level) | (x >> (8 - level)), prob[:, level]
+            for at, w, ones in [((c, prefix), weight1, one1)] * (top == 2) + [((0, prefix), weight, one)]:
+                p = w[at] * np.where((x >> (7 - level)) & 1, ones[at], 1.0 - ones[at]) + (1.0 - w[at]) * p
+            total += np.log10(p)
+        return pa.table({"bucket": pa.array(bucket_of(g, buckets).astype(np.int32)), "gram": pa.array(g.view(np.int64)), "logp": pa.array(total.astype(np.float32))})
 
-    rows = near.groupBy("c").applyInArrow(final, "gram long, logp float").toArrow()  # max_grams rows at most
-    keys = np.asarray(rows.column("gram").combine_chunks(), np.int64).view(tb.U)
-    return Table(keys, np.asarray(rows.column("logp").combine_chunks(), np.float32)), depth
+    return near.groupBy("c").applyInArrow(final, "bucket int, gram long, logp float"), buckets
 
 
 def _columns(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(t.column("gram").combine_chunks(), np.int64).view(tb.U), np.asarray(t.column("n").combine_chunks(), np.int64)
 
 
-_PACKED = "bucket int, chunk long, docs int, words binary, owner binary, counts binary, slots binary, ids array<long>, held array<boolean>, tokens binary, score binary"
+_PACKED = "bucket int, chunk long, docs int, words binary, owner binary, counts binary, slots binary, ids array<long>, held array<boolean>, tokens binary, grams binary, sizes binary, texts binary"
 
 
-def _pack(batches: Iterator[pa.RecordBatch], table: Table, depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Chunks of texts: their scores, and their words by bucket. A bucket also carries every buckets-th text's own figures."""
+def _pack(batches: Iterator[pa.RecordBatch], depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Chunks of texts: their grams and words by bucket. A bucket also carries every buckets-th text's own figures, one of them the texts."""
     pid, serial = TaskContext.get().partitionId(), 0
-    words, owner, counts, ids, held, tokens, score, size = [], [], [], [], [], [], [], 0
-
-    def emit() -> pa.RecordBatch:
-        w, o, c = (np.concatenate(x) for x in (words, owner, counts))
-        h, t, s = (np.concatenate(x) for x in (held, tokens, score))
-        c = c.astype(np.int64) << 1 | ~h[o]
-        to = (w >> tb.U(40)).astype(np.int64) % buckets
+    words, owner, counts, ids, held, tokens, keys, texts, sizes, size = [], [], [], [], [], [], [], [], [], 0
+
+    def emit() -> Iterator[pa.RecordBatch]:
+        w, o, c, h, t, z, g = (np.concatenate(x) for x in (words, owner, counts, held, tokens, sizes, keys))
+        for x in (words, owner, counts, keys):
+            x.clear()
+        c = c << np.uint32(1) | ~h[o]
+        to = ((w >> tb.U(40)) % tb.U(buckets)).astype(np.int32)
         order = np.argsort(to, kind="stable")
-        edge = np.searchsorted(to[order], np.arange(buckets + 1))
+        w, o, c, edge = w[order], o[order], c[order], np.r_[0, np.cumsum(np.bincount(to, minlength=buckets))]
+        g, cuts = by_bucket(_unique(g)[0], buckets)
+        bearer = (pid + serial) % buckets
+        packed = _CODEC.compress(b"".join(texts), asbytes=True)
+        kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4, pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 4]
         every = np.arange(len(ids))
-        rows = []
-        for b in range(buckets):
-            at, own = order[edge[b] : edge[b + 1]], every[b::buckets]
-            rows.append((b, (pid << 32) + serial, len(ids), w[at].tobytes(), o[at].astype(np.uint32).tobytes(), c[at].astype(np.uint32).tobytes(), own.astype(np.uint32).tobytes(), [ids[i] for i in own], h[own].tolist(), t[own].tobytes(), s[own].tobytes()))
-        kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4, pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], [f.split()[0] for f in _PACKED.split(", ")])
+        for b in range(buckets):  # one row a batch: a chunk is never copied as a whole
+            at, own = slice(edge[b], edge[b + 1]), every[b::buckets]
+            row = (b, (pid << 32) + serial, len(ids), w[at].tobytes(), o[at].tobytes(), c[at].tobytes(), own.astype(np.uint32).tobytes(), [ids[i] for i in own], h[own].tolist(), t[own].tobytes(), g[cuts[b] : cuts[b + 1]].tobytes(), *((z.tobytes(), packed) if b == bearer else (b"", b"")))
+            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], [f.split()[0] for f in _PACKED.split(", ")])
 
     for batch in batches:
         for part in tb.pieces(batch):
             data, off = tb.flat(part.column("text"))
             data = tb.FOLD[data]
-            key, edge = grams(data, off, depth)
-            sums = np.r_[0.0, np.cumsum(table(key), dtype=np.float64)]
-            score.append(sums[edge[1:]] - sums[edge[:-1]])
+            keys.append(_unique(grams(data, off, depth)[0])[0])
+            texts.append(data.tobytes())
+            sizes.append(np.diff(off).astype(np.int64))
             starts, ends, row = tb.words(data, off)
             w, o, c = tb.bag(tb.span_hashes(data, starts, ends), row)
             words.append(w)
-            owner.append(o + len(ids))
-            counts.append(c)
+            owner.append((o + len(ids)).astype(np.uint32))
+            counts.append(c.astype(np.uint32))
             tokens.append(np.bincount(row, minlength=part.num_rows) + 1)
             ids += part.column("doc_id").to_pylist()
             held.append(np.asarray(part.column("held_out").to_numpy(zero_copy_only=False), bool))
             size += len(data)
             if size >= CHUNK_BYTES:
-                yield emit()
-                words, owner, counts, ids, held, tokens, score, size = [], [], [], [], [], [], [], 0
+                yield from emit()
+                words, owner, counts, ids, held, tokens, keys, texts, sizes, size = [], [], [], [], [], [], [], [], [], 0
                 serial += 1
     if ids:
-        yield emit()
+        yield from emit()
 
 
-_SUMS = "chunk long, docs int, sums binary, known binary, slots binary, ids array<long>, held array<boolean>, tokens binary, score binary, distinct long"
+_CARRIED = ("slots", "ids", "held", "tokens", "sizes", "texts")
+_SUMS = "bucket int, buckets int, chunk long, docs int, sums binary, known binary, slots binary, ids array<long>, held array<boolean>, tokens binary, sizes binary, texts binary, logp binary, distinct long"
 
 
-def _bucket(t: pa.Table) -> pa.Table:
-    """Training counts of a bucket's words, and with them one sum per text of each chunk."""
+def _bucket(t: pa.Table, table: pa.Table, buckets: int) -> pa.Table:
+    """Training counts of a bucket's words, and with them one sum per text of each chunk; the values of each chunk's grams."""
+    kinds = {"bucket": pa.int32(), "buckets": pa.int32(), "chunk": pa.int64(), "docs": pa.int32(), "sums": pa.binary(), "known": pa.binary(), "slots": pa.binary(), "ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "tokens": pa.binary(), "sizes": pa.binary(), "texts": pa.binary(), "logp": pa.binary(), "distinct": pa.int64()}
     rows = t.to_pylist()
+    if not rows:
+        return pa.Table.from_pylist([], pa.schema(list(kinds.items())))
+    keys = np.asarray(table.column("gram").combine_chunks(), np.int64).view(tb.U)
+    order = np.argsort(keys)
+    keys, logp = keys[order], np.asarray(table.column("logp").combine_chunks(), np.float32)[order]
     w = np.concatenate([np.frombuffer(r["words"], tb.U) for r in rows])
     c = np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in rows]).astype(np.int64)
     _, inv = np.unique(w, return_inverse=True)
@@ -307,16 +338,16 @@ def _bucket(t: pa.Table) -> pa.Table:
         part = slice(at, at + len(o))
         at += len(o)
         out.append(
-            {"chunk": r["chunk"], "docs": r["docs"], "sums": np.bincount(o, weights=value[part], minlength=r["docs"]).tobytes(), "known": np.bincount(o, weights=known[part], minlength=r["docs"]).astype(np.uint32).tobytes()}
-            | {x: r[x] for x in ("slots", "ids", "held", "tokens", "score")}
+            {"bucket": r["bucket"], "buckets": buckets, "chunk": r["chunk"], "docs": r["docs"], "sums": np.bincount(o, weights=value[part], minlength=r["docs"]).tobytes(), "known": np.bincount(o, weights=known[part], minlength=r["docs"]).astype(np.uint32).tobytes()}
+            | {x: r[x] for x in _CARRIED}
+            | {"logp": logp[np.searchsorted(keys, np.frombuffer(r["grams"], tb.U))].tobytes()}
             | {"distinct": int((trained > 0).sum()) if k == 0 else 0}
         )
-    kinds = {"chunk": pa.int64(), "docs": pa.int32(), "sums": pa.binary(), "known": pa.binary(), "slots": pa.binary(), "ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "tokens": pa.binary(), "score": pa.binary(), "distinct": pa.int64()}
     return pa.Table.from_pylist(out, pa.schema(list(kinds.items())))
 
 
-def _texts(t: pa.Table) -> pa.Table:
-    """One row per text of a chunk: its buckets' sums put together."""
+def _texts(t: pa.Table, depth: int) -> pa.Table:
+    """One row per text of a chunk: its buckets' sums put together, its grams looked up."""
     rows = t.to_pylist()
     n = rows[0]["docs"]
     sums, known, tokens, score, ids, held = np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), [None] * n, [False] * n
@@ -324,26 +355,39 @@ def _texts(t: pa.Table) -> pa.Table:
         sums += np.frombuffer(r["sums"], np.float64)
         known += np.frombuffer(r["known"], np.uint32)
         at = np.frombuffer(r["slots"], np.uint32)
-        tokens[at], score[at] = np.frombuffer(r["tokens"], np.int64), np.frombuffer(r["score"], np.float64)
+        tokens[at] = np.frombuffer(r["tokens"], np.int64)
         for i, d, h in zip(at.tolist(), r["ids"], r["held"], strict=True):
             ids[i], held[i] = d, h
+    bearer = next(r for r in rows if r["sizes"])
+    off = np.r_[0, np.cumsum(np.frombuffer(bearer["sizes"], np.int64))]
+    data = np.frombuffer(_CODEC.decompress(bearer["texts"], int(off[-1]), asbytes=True) if off[-1] else b"", np.uint8)
+    edges, a = [0], 0
+    while a < n:  # about tb.BATCH_BYTES at a time
+        a = min(n, max(a + 1, int(np.searchsorted(off, off[a] + tb.BATCH_BYTES, "right")) - 1))
+        edges.append(a)
+    part = lambda a, z: grams(data[off[a] : off[z]], off[a : z + 1] - off[a], depth)
+    keys = _unique(np.concatenate([_unique(part(a, z)[0])[0] for a, z in pairwise(edges)]))[0]
+    logp = np.concatenate([np.frombuffer(r["logp"], np.float32) for r in sorted(rows, key=lambda r: r["bucket"])])
+    table = Table(by_bucket(keys, rows[0]["buckets"])[0], logp)
+    for a, z in pairwise(edges):
+        key, edge = part(a, z)
+        so_far = np.r_[0.0, np.cumsum(table(key), dtype=np.float64)]
+        score[a:z] = so_far[edge[1:]] - so_far[edge[:-1]]
     distinct = np.zeros(n, np.int64)
     distinct[0] = sum(r["distinct"] for r in rows)
     return pa.table({"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array(held), "n_tokens": pa.array(tokens), "n_known": pa.array(known), "sums": pa.array(sums), "score": pa.array(score), "distinct": pa.array(distinct)})
 
 
-def score(docs: DataFrame, depth: int = DEPTH, max_grams: int = MAX_GRAMS) -> DataFrame:
+def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte)`` of every row."""
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out().alias("held_out"))
-    table, depth = fit(rows.select("text", "held_out"), depth, max_grams)
-    shared = spark.sparkContext.broadcast(table)
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = rows.mapInArrow(lambda it: _pack(it, shared.value, depth, buckets), _PACKED)
-    sums = packed.groupBy("bucket").applyInArrow(_bucket, _SUMS)
+    table, buckets = fit(rows.select("text", "held_out"), depth)
+    packed = rows.mapInArrow(lambda it: _pack(it, depth, buckets), _PACKED)
+    sums = packed.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(lambda t, table: _bucket(t, table, buckets), _SUMS)
     texts = cut(
-        sums.groupBy("chunk").applyInArrow(_texts, "doc_id long, held_out boolean, n_tokens long, n_known long, sums double, score double, distinct long"),
+        sums.groupBy("chunk").applyInArrow(lambda t: _texts(t, depth), "doc_id long, held_out boolean, n_tokens long, n_known long, sums double, score double, distinct long"),
         "ctw-texts",
     )
     train = F.when(~F.col("held_out"), F.col("n_tokens"))
