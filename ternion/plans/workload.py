@@ -201,7 +201,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _sparql(v[0])
     "text_normalize": lambda s, d: _docs(s, d).select("doc_id", T.collapse(F.col("text")).alias("text")),
     "text_sentences": lambda s, d: _docs(s, d).select("doc_id", F.posexplode(T.sentences(F.col("text"))).alias("n", "sentence")),
     "text_tokens": lambda s, d: _docs(s, d).select("doc_id", F.explode(T.tokens(F.col("text"))).alias("token")).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n")),
-    "text_mentions": lambda s, d: _docs(s, d).where("lang = 'en'").select("doc_id", F.explode(T.mentions(F.col("text"))).alias("mention")),
+    "text_mentions": lambda s, d: _docs(s, d).select("doc_id", F.explode(T.mentions(F.col("text"))).alias("mention")),
     "text_chunks_words": lambda s, d: _docs(s, d).select("doc_id", F.posexplode(T.greedy_chunks(T.sentences(F.col("text")), 350)).alias("n", "chunk")),
     "literal_type": lambda s, d: table(s, d, "part").select("p_partkey", T.literal_datatype(F.col("p_size").cast("string")).alias("a"), T.literal_datatype(F.col("p_name")).alias("b"), T.is_literal(F.col("p_name")).alias("c")),
     "slug": lambda s, d: table(s, d, "part").select("p_partkey", T.slug(F.col("p_type")).alias("slug"), T.equality_norm(F.col("p_name")).alias("norm")),
