@@ -163,7 +163,11 @@ def _tsv(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _embedding_links(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "embeddings").where("label = 0").select("vec_id", "embedding")
+    return _links(table(spark, d, "embeddings").where("label = 0"))
+
+
+def _links(vectors: DataFrame) -> DataFrame:
+    e = vectors.select("vec_id", "embedding")
     a, b = e.alias("a"), e.alias("b")
     return a.join(b, F.col("a.vec_id") < F.col("b.vec_id")).where(cosine(F.col("a.embedding"), F.col("b.embedding")) >= 0.4).select(F.col("a.vec_id").alias("src"), F.col("b.vec_id").alias("dst"))
 
@@ -212,6 +216,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _sparql(v[0])
     "entity_names": lambda s, d: TR.names(_nation_triplets(s, d)),
     "knn_topk": _knn,
     "components": lambda s, d: connected_components(_embedding_links(s, d)),
+    "components_all": lambda s, d: connected_components(_links(table(s, d, "embeddings"))),
     "chain_transitive": _chain,
     "reason_rules": lambda s, d: G.reason(_nation_graph(s, d)).select("s", "p", "o"),
     "validate_report": lambda s, d: G.report(_nation_graph(s, d)),
