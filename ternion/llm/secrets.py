@@ -1,7 +1,8 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
 Candidates are runs of at least twelve bytes of the characters that keys are written with, holding a digit or
-standing behind an assignment, and PEM private-key blocks. The forest sees length, shares of character
+standing behind an assignment; values of any length and characters behind an assignment sign or a word of
+``NEAR_KEYS``, past blanks and quotes; and PEM private-key blocks. Candidates may overlap. The forest sees length, shares of character
 classes, entropy, character transitions (how often the class changes, and the log-likelihood of the letter
 pairs under prose), coverage by a small dictionary, the path the text comes from and the neighbouring words.
 It is trained from labelled findings: rows of (value, before, after, path, label). Where a caller has none,
@@ -19,6 +20,7 @@ import base64
 import hashlib
 import math
 import random
+import re
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -43,6 +45,10 @@ _EQUALS[list(b"=:\"'")] = True
 NEAR_KEYS = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "api", "key", "access", "auth", "bearer", "credential", "private", "aws", "client_secret")
 NEAR_OTHERS = ("commit", "sha", "md5", "sha1", "sha256", "checksum", "digest", "uuid", "id", "version", "phone", "tel", "ip", "host", "mail", "email", "card", "iban", "isbn", "doi", "date", "build", "etag", "revision")
 DICTIONARY = ("example", "mail", "http", "https", "www", "com", "org", "net", "html", "index", "test", "version", "user", "name", "image", "file", "path", "data", "docs", "page", "static", "public", "lib", "src", "main", "release", "config", "local", "license", "copyright", "the", "and", "with", "from", "change", "value", "default", "your", "key", "here")
+_ASSIGNED = re.compile(
+    rb"(?:(?i:" + b"|".join(sorted((w.encode() for w in NEAR_KEYS), key=len, reverse=True)) + rb")[\"']?(?:[ \t]*[=:]+>?[ \t]*|[ \t]+)|[=:]+>?[ \t]*)"
+    rb"(?:\"([^\"\n]+)\"|'([^'\n]+)'|[\"']?([^\s\"'=:][^\s\"']*))"
+)
 _TEST_PATHS = ("test", "example", "sample", "fixture", "doc", "mock")
 _PAIRS = "theandingionentatiherereredesarontestonalorofitisinasleveconnededticomeouvellanterlitrasedelaquechsciundderdieungkeischbeverlosrasest"
 
@@ -102,6 +108,7 @@ def labelled_findings(n: int = FINDINGS, seed: int = SEED) -> list[tuple[str, st
         lambda: ("sk_live_" + take(up + low + digits, 24), rng.choice([prose() + " ", assign("key")])), lambda: (take(hexa, rng.choice([16, 18, 20, 24, 32, 40, 64])), assign(rng.choice(["password", "token", "secret", "api_key", "auth_token", "passwd", "pwd"]))),
         lambda: (take(up + low + digits, rng.randint(14, 44)), assign(rng.choice(["password", "token", "secret", "client_secret", "access_key", "apikey"]))), lambda: (base64.b64encode(rng.randbytes(rng.randint(15, 45))).decode().rstrip("="), assign("secret")),
         lambda: ("eyJ" + take(up + low + digits, 30) + "." + take(up + low + digits + "_-", 40) + "." + take(up + low + digits + "_-", 30), rng.choice([prose() + " bearer ", prose() + " "])), lambda: ("AIza" + take(up + low + digits + "_-", 35), prose() + " "),
+        lambda: (take(up + low + digits + "!#&^%$", rng.randint(7, 16)), assign(rng.choice(["password", "passwd", "pwd", "secret"]))), lambda: (word() + word() + take(digits + "!#&", rng.randint(0, 4)), assign(rng.choice(["password", "passwd", "pwd", "secret"]))),
         lambda: ("-----BEGIN RSA PRIVATE KEY-----\n" + base64.b64encode(rng.randbytes(90)).decode() + "\n-----END RSA PRIVATE KEY-----", prose() + "\n"),
     ]
     others = [
@@ -113,13 +120,12 @@ def labelled_findings(n: int = FINDINGS, seed: int = SEED) -> list[tuple[str, st
         lambda: ("+" + take(digits, 12), prose() + rng.choice([" phone ", " "])), lambda: (f"{word()}{word()}{rng.randint(0, 99)}", rng.choice([prose() + " ", assign("name"), assign("id")])),
         lambda: (f"{word()}_{word()}_{word()}{rng.randint(0, 9)}", prose() + " "), lambda: (f"{rng.randint(100, 999)}-{rng.randint(100, 999)}-{take(digits, 4)}", prose() + " "),
         lambda: (word() + word() + word() + word(), assign(rng.choice(["title", "name", "class", "href"]))),
+        lambda: (word(), assign(word())), lambda: (take(digits, rng.randint(1, 4)), assign(word())), lambda: (word(), prose() + f" {rng.choice(NEAR_KEYS)} "),
     ]
     out = []
     for i in range(n):
         label = i % 2
         value, before = rng.choice(keys if label else others)()
-        if len(value) < LEAST:
-            value += take(digits, LEAST - len(value))
         quote = before[-1] if before[-1] in "\"'" else ""
         out.append((value, before[-AROUND:], quote + rng.choice([" ", ". ", "\n", ", "]) + word(), rng.choice(["", "src1", "docs/readme", "web"]), label))
     return out
@@ -207,6 +213,7 @@ def candidates(column) -> list[tuple[int, int, int]]:
         if end >= 5 and b"PRIVATE KEY" in raw[at : at + 60]:
             found.append((r, at, end))
         at = raw.find(b"-----BEGIN ", at + 11)
+    blocks_of = list(found)
     blocks = np.array([(a, z) for _, a, z in found], np.int64).reshape(-1, 2)
     if len(blocks) and len(starts):
         i = np.searchsorted(blocks[:, 0], starts, "right") - 1
@@ -217,7 +224,20 @@ def candidates(column) -> list[tuple[int, int, int]]:
             z -= 1
         if z - a >= LEAST:
             found.append((r, a, z))
-    return [(r, a - int(off[r]), z - int(off[r])) for r, a, z in sorted(found)]
+    out = {(r, a - int(off[r]), z - int(off[r])) for r, a, z in found}
+    inside = {}
+    for r, a, z in blocks_of:
+        inside.setdefault(r, []).append((a - int(off[r]), z - int(off[r])))
+    for r in range(len(off) - 1):
+        text, at = raw[off[r] : off[r + 1]], 0
+        while m := _ASSIGNED.search(text, at):
+            a, z = m.span(m.lastindex)
+            at = a  # a value may itself hold an assignment
+            while z > a + 1 and text[z - 1 : z] in (b".", b",", b";"):
+                z -= 1
+            if not any(x < z and a < y for x, y in inside.get(r, ())):
+                out.add((r, a, z))
+    return sorted(out)
 
 
 def _found(column, paths: list[str | None], forest: Forest) -> tuple[list[tuple[int, int, int]], np.ndarray, list[bytes]]:
@@ -275,8 +295,9 @@ def redact(docs: DataFrame, forest: Forest, path: str | None = "source", mark: s
                     for r, cuts in hits.items():
                         raw, at, out = texts[r].encode(), 0, []
                         for a, z in cuts:
-                            out += [raw[at:a], mark.encode()]
-                            at = z
+                            if a >= at:
+                                out += [raw[at:a], mark.encode()]
+                            at = max(at, z)
                         texts[r] = b"".join([*out, raw[at:]]).decode()
                     column = pa.array(texts, column.type)
                 yield pa.RecordBatch.from_arrays([column if c == "text" else part.column(c) for c in names], names)
