@@ -175,6 +175,7 @@ def test_toxicity(spark, none):
     labels = spark.createDataFrame([(i, 1, int(i % 8 == 0)) for i in range(300)] + [(None, 0, 1), (301, 0, None)], "doc_id long, quality int, toxic int")
     got = {r.doc_id: r for r in toxicity.score(d, toxicity.fit(d, labels)).collect()}
     assert all(got[i].predicted == int(i % 8 == 0) for i in range(400)) and got[400].predicted == 0 and got[401].predicted == 0
+    assert len({round(r.score, 6) for r in got.values()}) > 50
     assert toxicity.score(none, toxicity.fit(none, labels.limit(0))).count() == 0
 
 
@@ -266,22 +267,3 @@ def test_plan_rounds_exactly():
         for s in sizes:
             used[s] += n
     assert used == h and sum(n for _, n in plan) <= 1.01 * sum(n for _, n in packing._best_fit(dict(h), 100, [])) + 1
-
-
-def test_index_is_exact():
-    rng = np.random.default_rng(0)
-    n, terms = 300, 40
-    vecs = [np.sort(rng.choice(terms, rng.integers(1, 6), replace=False)) for _ in range(n)]
-    ix = toxicity.Index(np.arange(terms).astype(np.uint64), np.ones(terms), np.arange(n), np.zeros(n), *(np.zeros(0, np.int64),) * 2, np.zeros(0), np.zeros(1, np.int64), np.zeros((0, terms)), 0.0, np.zeros(0), np.zeros(0))
-    w = [ix.weigh(c, np.ones(len(c))) for c in vecs]
-    dense = np.zeros((n, terms))
-    for i, (c, v) in enumerate(zip(vecs, w, strict=True)):
-        dense[i, c] = v
-    ix.rows, ix.cols, ix.vals = np.repeat(np.arange(n), [len(c) for c in vecs]), np.concatenate(vecs), np.concatenate(w)
-    blocks = -(-n // toxicity.BLOCK)
-    ix.edge, ix.high = np.searchsorted(ix.rows, np.arange(blocks + 1) * toxicity.BLOCK), np.zeros((blocks, terms))
-    np.maximum.at(ix.high, (ix.rows // toxicity.BLOCK, ix.cols), ix.vals)
-    for i in range(0, n, 17):
-        sim = dense @ dense[i]
-        ids, sims = ix.nearest(vecs[i], w[i], 10)
-        assert np.allclose(sims, np.sort(sim)[::-1][: len(sims)])
