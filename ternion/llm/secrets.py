@@ -278,13 +278,15 @@ def redact(docs: DataFrame, forest: Forest, path: str | None = "source", mark: s
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(forest)
-    names = docs.columns
+    # Columns go by their place, as their names may be any.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    names, own = plain.columns, dict(zip(docs.columns, plain.columns, strict=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tb.pieces(batch):
-                column = part.column("text")
-                paths = part.column(path).to_pylist() if path else [None] * part.num_rows
+            for part in tb.pieces(batch, own["text"]):
+                column = part.column(own["text"])
+                paths = part.column(own[path]).to_pylist() if path else [None] * part.num_rows
                 spans, score, _ = _found(column, [None if p is None else str(p) for p in paths], shared.value)
                 hits: dict[int, list[tuple[int, int]]] = {}
                 for (r, a, z), s in zip(spans, score, strict=True):
@@ -300,6 +302,6 @@ def redact(docs: DataFrame, forest: Forest, path: str | None = "source", mark: s
                             at = max(at, z)
                         texts[r] = b"".join([*out, raw[at:]]).decode()
                     column = pa.array(texts, column.type)
-                yield pa.RecordBatch.from_arrays([column if c == "text" else part.column(c) for c in names], names)
+                yield pa.RecordBatch.from_arrays([column if c == own["text"] else part.column(c) for c in names], names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from ternion.llm import textbytes as tb
 from ternion.llm.tables import small_batches
@@ -264,7 +265,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Index:
 def score(docs: DataFrame, index: Index, carry: tuple[str, ...] = ()) -> DataFrame:
     """``(doc_id, held_out, score, predicted, evidence, *carry)``; evidence: doc_ids of the nearest examples.
 
-    A carried column may have any name; ``carry`` stands behind the own columns and names may then repeat.
+    ``carry`` names columns to keep; one whose name is an own column's makes that name stand twice.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -283,6 +284,6 @@ def score(docs: DataFrame, index: Index, carry: tuple[str, ...] = ()) -> DataFra
     kept = [f"_k{i}" for i in range(len(carry))]
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), held_out().alias("_held"), *[F.col(f"`{c}`").alias(k) for c, k in zip(carry, kept, strict=True)], F.col("text").cast("string").alias("_text"))
     names = [c for c in rows.columns if c != "_text"]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
-    out = rows.mapInArrow(run, f"{kinds}, _score double, _evidence array<long>")
+    kinds = StructType([f for f in rows.schema if f.name != "_text"]).add("_score", "double").add("_evidence", ArrayType(LongType()))
+    out = rows.mapInArrow(run, kinds)
     return out.select(F.col("_id").alias("doc_id"), F.col("_held").alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"), F.col("_evidence").alias("evidence"), *[F.col(k).alias(c) for c, k in zip(carry, kept, strict=True)])
