@@ -18,36 +18,59 @@ from ternion.plans.lineage import cut
 MIX_PERCENT, MIX_EPOCHS = 90, 1
 
 
+def _wrapped(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text, lang, source, _row)``: what the operators read, and the whole row beside it, so that columns of any name pass untouched."""
+    return docs.select("doc_id", "text", "lang", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below the threshold stay."""
-    names = tuple(docs.columns)
-    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), carry=names)
-    return scored.toDF("_id", "_held", "_score", "_predicted", "_evidence", *names).where("_predicted = 0").select(*names)
+    """Documents scored below the threshold stay.
+
+    Null and empty texts have no terms and the toxic share of the fitting rows as their score, so they stay while
+    that share is below the threshold. Repeated rows and ids are scored each for itself; a null doc_id has no
+    label. No labels: all stay. An empty table stays empty.
+    """
+    scored = toxicity.score(_wrapped(docs), toxicity.fit(docs, table(spark, sf_dir, "labels")), carry=("_row",))
+    return scored.where("predicted = 0").select("_row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays, the one with the smallest doc_id; rows without doc_id stay."""
-    keep = minhash.near_duplicates(docs).where("is_representative AND doc_id IS NOT NULL").select("doc_id")
-    named = docs.where("doc_id IS NOT NULL").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    """One document of each class stays: the one with the smallest doc_id, the first of equal ones.
+
+    Rows are documents whatever their doc_id: repeated ids with different texts are compared like any others, repeated
+    rows are copies of which one stays, a null doc_id comes last. A null text is no copy of anything; texts without
+    words, the empty one too, are copies of equal texts only. An empty table stays empty.
+    """
+    rows = cut(_wrapped(docs).select("doc_id", "text", "_row", F.monotonically_increasing_id().alias("at")), "pipeline-rows")
+    classes = minhash.near_duplicates(rows.select(F.col("at").alias("doc_id"), "text")).select(F.col("doc_id").alias("at"), "class_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at"))
+    keep = rows.select("at", "doc_id").join(classes, "at").groupBy("class_id").agg(first.alias("x")).select("x.at")
+    return rows.join(keep, "at", "left_semi").select("_row.*")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; confirmed secrets are replaced and lengths updated."""
+    """All documents stay; confirmed secrets are replaced and lengths updated.
+
+    Null and empty texts stay as they are; repeated rows and null ids are redacted each for itself. An empty table stays empty.
+    """
     out = secrets.redact(docs, secrets.train())
     kind = docs.schema["n_chars"].dataType
-    return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind))).select(*docs.columns)
+    changed = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind))
+    return out.select(*[changed.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the target weights take."""
-    names = tuple(docs.columns)
-    mixed = mixing.mix(docs.withColumn("domain", mixing.domain_of_source()), share_percent=MIX_PERCENT, max_epochs=MIX_EPOCHS, carry=names)
-    return mixed.toDF("_id", "_domain", "_lang", "_source", "_tokens", "_epochs", *names).select(*names)
+    """The documents that the target weights take, each at most once.
+
+    Null and empty texts have no tokens and cost nothing; null languages and sources are paths of their own; rows with
+    equal doc_id (null too) of one source come or go together. An empty table stays empty.
+    """
+    named = _wrapped(docs).withColumn("domain", mixing.domain_of_source())
+    return mixing.mix(named, share_percent=MIX_PERCENT, max_epochs=MIX_EPOCHS, carry=("_row",)).select("_row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequences."""
+    """The pieces of all documents with their sequences; null and empty texts are the end id alone, rows of equal or null doc_id are packed each for itself, an empty table gives no rows."""
     return packing.pack(docs, tokenizer_path())
 
 
@@ -59,7 +82,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Fitted models, signatures and packing are beyond SQL; the tests hold the stages against brute force.
+#: Fitted models, signatures and packing are beyond SQL; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 
