@@ -4,20 +4,23 @@ A text is its UTF-8 bytes with A-Z folded, closed by one zero byte. Each byte is
 a tree of its bit prefixes; each decision has a Krichevsky-Trofimov estimate in every context of 0 to
 ``depth`` preceding bytes, and the context tree mixes the estimates of all depths by their block
 probabilities over the training texts. As a block probability depends on a node's counts alone, the model
-follows from the counts of (depth+1)-grams: they are counted over every document in one pass and summed by
-gram; all grams with the same two nearest bytes form a subtree that one task evaluates; the root and the
-nodes of the nearest byte join the subtrees. With the counts fixed, the probability of a byte is a function of
-its gram, so scoring is one table look-up a byte. Grams that only held-out texts have take part with count zero: their estimates come from
-the shallower contexts, and nothing is smoothed ad hoc.
+follows from the counts of (depth+1)-grams. With the counts fixed, the probability of a byte is a function of its
+gram, so scoring is one table look-up a byte, and a text's code length per byte follows from the sum.
 
-The gram table is never in one place: it is dealt to buckets by gram. Texts are cut into chunks; a chunk sends its
-distinct grams to their buckets and gets their values back. Beside it runs the word-unigram base in the same
-buckets: per text, the distinct words with their counts, packed as arrays; a bucket sums the training counts of
-its words and gives back one sum per text. No row is ever a single word; a chunk's texts travel with it, compressed.
+1. Every partition counts its grams and sends them, sorted and packed, to the tree bucket of their ``TOP`` nearest
+   bytes. A bucket adds them up and evaluates the nodes of depth ``TOP`` and more; what it writes is one row.
+2. The sums over the nodes of depth ``TOP`` by shorter context go to the driver (at most 256 ** (TOP - 1) contexts),
+   which evaluates the nodes above and broadcasts, by context and bit prefix, what they make of a deeper estimate.
+3. Each tree bucket turns its grams into log-probabilities and deals them to look-up buckets by five bytes of context.
+4. Texts are cut into chunks; a chunk sends its distinct grams and words to their look-up buckets and gets their values
+   back; there it sums them up over its texts, which travel with it, compressed. The word-unigram base takes the
+   same way: a look-up bucket adds up the training counts of its words.
 
-Bounds: the depth is the same at every size and all counts are complete. Buckets grow in number with
-``spark.sql.shuffle.partitions``, with the grams and with the bytes. The driver holds the nodes of at most one byte of
-context (256 x 256). One task holds the grams of at least one pair of nearest bytes.
+The gram table is never in one place, and grams that only held-out texts have take part with count zero: their
+estimates come from the shallower contexts, and they change no other.
+
+Bounds: the depth is the same at every size and all counts are complete. Buckets grow in number with the bytes of
+the texts. One task holds the distinct grams of at least one run of TOP nearest bytes, or of one of five bytes.
 
 Nulls and edge cases: null and empty texts are the end symbol alone; a null doc_id is a training row; a zero
 byte inside a text is an ordinary symbol; repeated rows are each counted and scored; other columns are
@@ -40,9 +43,9 @@ from ternion.llm import textbytes as tb
 from ternion.llm.tables import small_batches
 from ternion.plans.lineage import cut
 
-DEPTH, CHUNK_BYTES, BUCKET_GRAMS, BUCKET_BYTES = 5, 16 << 20, 200_000, 32 << 20
+DEPTH, TOP, NEAR, CHUNK_BYTES, BUCKET_BYTES = 7, 3, 5, 16 << 20, 8 << 20
 _HALF = math.log(0.5)
-_CODEC = pa.Codec("zstd", compression_level=6)
+_TEXT, _QUICK = pa.Codec("zstd", compression_level=6), pa.Codec("zstd", compression_level=1)
 
 
 def held_out() -> Column:
@@ -51,20 +54,29 @@ def held_out() -> Column:
 
 
 def grams(data: np.ndarray, off: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The gram of every byte and end symbol (newest byte lowest), text by text, and the texts' offsets in it."""
+    """The gram of every byte and end symbol, text by text, and the texts' offsets in it.
+
+    A gram's lowest byte is the symbol, its highest the nearest byte before it: ascending grams stand in the order
+    of the context tree.
+    """
     n = len(off) - 1
     gap = depth + 1  # a text's start is preceded by zeros: its predecessor's end and `depth` more
     size = np.diff(off)
     place = np.arange(len(data)) + np.repeat(np.arange(n) * gap + depth, size)
     wide = np.zeros(len(data) + n * gap + depth, np.uint8)
     wide[place] = data
-    key = np.zeros(len(wide) - depth, tb.U)
-    for k in range(depth + 1):
-        key |= wide[depth - k : len(wide) - k].astype(tb.U) << tb.U(8 * k)
+    key = wide[depth:].astype(tb.U)
+    for k in range(1, depth + 1):
+        key |= wide[depth - k : len(wide) - k].astype(tb.U) << tb.U(8 * (depth - k + 1))
     own = np.repeat(np.arange(n) * gap, size + 1) + (np.arange(len(data) + n) - np.repeat(off[:-1] + np.arange(n), size + 1)) + np.repeat(off[:-1], size + 1)
     return key[own], off + np.arange(n + 1)
 
 
+def context(g: np.ndarray, depth: int, near: int) -> np.ndarray:
+    """The ``near`` nearest bytes of grams."""
+    return g >> tb.U(8 * (depth - min(near, depth) + 1))
+
+
 def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     k, c = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(k, kind="stable")
@@ -79,26 +91,65 @@ def _unique(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[at], np.diff(np.r_[at, len(x)])
 
 
-def _count(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
+def squeeze(x: np.ndarray, ascending: bool = False) -> bytes:
+    """An array as bytes: the differences of ascending words, laid out plane by plane and compressed."""
+    if ascending and len(x):
+        x = np.r_[x[:1], x[1:] - x[:-1]]
+    raw = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes() if len(x) else b""
+    return len(x).to_bytes(8, "little") + (_QUICK.compress(raw, asbytes=True) if raw else b"")
+
+
+def expand(raw: bytes, kind: type, ascending: bool = False) -> np.ndarray:
+    """What `squeeze` was given."""
+    n, width = int.from_bytes(raw[:8], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(_QUICK.decompress(raw[8:], n * width, asbytes=True), np.uint8).reshape(width, n)
+    x = np.ascontiguousarray(planes.T).view(kind).reshape(n)
+    return np.cumsum(x, dtype=kind) if ascending else x
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each word."""
+    return (tb.mix(keys) >> tb.U(40)).astype(np.int64) % buckets
+
+
+def _dealt(to: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket with rows, and these in their order."""
+    order, edge = np.argsort(to, kind="stable"), np.r_[0, np.cumsum(np.bincount(to, minlength=buckets))]
+    for b in np.flatnonzero(np.diff(edge)).tolist():
+        yield b, order[edge[b] : edge[b + 1]]
+
+
+_COUNTED = "bucket int, grams binary, counts binary"
+
+
+def _count(batches: Iterator[pa.RecordBatch], depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The grams of a partition with their training counts, by tree bucket."""
     keys, counts, waiting = [np.zeros(0, tb.U)], [np.zeros(0, np.int64)], 0
+
+    def emit() -> Iterator[pa.RecordBatch]:
+        k, c = _merge(keys, counts)
+        for b, at in _dealt(bucket_of(context(k, depth, TOP), buckets), buckets):
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([squeeze(k[at], True)], pa.binary()), pa.array([squeeze(c[at])], pa.binary())], ["bucket", "grams", "counts"])
+
     for batch in batches:
         for part in tb.pieces(batch):
             data, off = tb.flat(part.column("text"))
             key, edge = grams(tb.FOLD[data], off, depth)
             held = np.repeat(np.asarray(part.column("held_out").to_numpy(zero_copy_only=False), bool), np.diff(edge))
-            k, c = _unique(key[~held])
-            keys.append(k)
-            counts.append(c)
-            k, _ = _unique(key[held])
-            keys.append(k)
-            counts.append(np.zeros(len(k), np.int64))
-            waiting += len(keys[-1]) + len(keys[-2])
+            for rows in (~held, held):
+                k, c = _unique(key[rows])
+                keys.append(k)
+                counts.append(c if rows is not held else np.zeros(len(k), np.int64))
+                waiting += len(k)
             if waiting > 1_500_000:
                 k, c = _merge(keys, counts)
                 keys, counts, waiting = [k], [c], 0
-    k, c = _merge(keys, counts)
-    for a in range(0, len(k), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(k[a : a + 100_000].view(np.int64)), pa.array(c[a : a + 100_000])], ["gram", "n"])
+                if len(k) > 6_000_000:
+                    yield from emit()
+                    keys, counts = [np.zeros(0, tb.U)], [np.zeros(0, np.int64)]
+    yield from emit()
 
 
 _LANCZOS_SHIFT = 8
@@ -117,63 +168,158 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - shift
 
 
+_SMALL = 64
+_LOW = _lgamma(np.arange(2 * _SMALL) * 0.5 + 0.5)
+
+
 def _block(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """ln of the Krichevsky-Trofimov probability of a block with these counts."""
-    return _lgamma(zeros + 0.5) + _lgamma(ones + 0.5) - _lgamma(zeros + ones + 1.0) - math.log(math.pi)
+    total = zeros + ones
+    out = np.zeros(len(total))
+    some = np.flatnonzero(total)
+    low = some[total[some] < _SMALL - 1]
+    a, t = ones[low].astype(np.int64), total[low].astype(np.int64)
+    out[low] = _LOW[2 * a] + _LOW[2 * (t - a)] - _LOW[2 * t + 1] - math.log(math.pi)
+    big = some[total[some] >= _SMALL - 1]
+    out[big] = _lgamma(zeros[big] + 0.5) + _lgamma(ones[big] + 0.5) - _lgamma(total[big] + 1.0) - math.log(math.pi)
+    return out
 
 
-def subtree(g: np.ndarray, n: np.ndarray, depth: int, top: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For all grams of some contexts of ``top`` bytes: P(bit) of each gram's eight decisions by depths >= top; ln P_w of the nodes at depth top.
+class Tree:
+    """The nodes of depths ``top`` to ``depth`` over ascending grams with their counts.
 
-    Returns (probabilities, grams x 8), and of the nodes (nearest byte), (bit prefix), (ln P_w).
+    ``below`` may hold, for each decision, the sums of ln P_w over children deeper than ``depth``.
     """
-    x = (g & tb.U(255)).astype(np.int64)
-    n = n.astype(np.float64)
-    prob = np.zeros((len(g), 8))
-    near, tops, values = [], [], []
-    for level in range(8):
-        prefix = (1 << level) | (x >> (8 - level))
-        bit = (x >> (7 - level)) & 1
-        below, first, weights = None, None, []
+
+    def __init__(self, g: np.ndarray, n: np.ndarray, depth: int, top: int, below: list[np.ndarray] | None = None):
+        self.depth, self.top, self.rows = depth, top, [None] * (depth + 1)
+        self.kt, self.weight, self.pw = ([[None] * 8 for _ in range(depth + 1)] for _ in range(3))
+        self.first = [[None] * 8 for _ in range(depth + 1)]
+        key, count, up = g, n.astype(np.float64), np.arange(len(g))
+        self.keys = [None] * (depth + 1)
         for d in range(depth, top - 1, -1):
-            key = ((g >> tb.U(8)) & tb.U((1 << (8 * d)) - 1)) << tb.U(8) | prefix.astype(tb.U)
-            _, index, inv = np.unique(key, return_index=True, return_inverse=True)
-            total = np.bincount(inv, weights=n)
-            ones = np.bincount(inv, weights=n * bit)
-            pe = _block(total - ones, ones)
-            if below is None:
-                pw = pe
+            if d < depth:
+                merged, inv = np.unique((key >> tb.U(16)) << tb.U(8) | key & tb.U(255), return_inverse=True)
+                up, count, key = inv, np.bincount(inv, weights=count, minlength=len(merged)), merged
+                self.rows[d] = inv[self.rows[d + 1]]
+            else:
+                self.rows[d] = np.arange(len(g))
+            self.keys[d] = key
+            for level in range(8):
+                prefix = key >> tb.U(8 - level)
+                new = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]]) if len(prefix) else np.zeros(0, np.int64)
+                node = np.repeat(np.arange(len(new)), np.diff(np.r_[new, len(prefix)]))
+                bit = ((key >> tb.U(7 - level)) & tb.U(1)).astype(bool)
+                total, ones = (np.add.reduceat(x, new) if len(new) else np.zeros(0) for x in (count, count * bit))
+                pe = _block(total - ones, ones)
+                if d < depth:
+                    kids = self.first[d + 1][level]
+                    sums = np.bincount(node[up[kids]], weights=self.pw[d + 1][level], minlength=len(new))
+                else:
+                    sums = below[level] if below is not None else None
+                self.first[d][level] = new
+                self.pw[d][level] = pe if sums is None else np.logaddexp(_HALF + pe, _HALF + sums)
+                self.weight[d][level] = None if sums is None else np.exp(_HALF + pe - self.pw[d][level])[node]
+                self.kt[d][level] = (np.where(bit, ones[node], (total - ones)[node]) + 0.5) / (total[node] + 1.0)
+
+    def estimate(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """What the nodes make of a deeper estimate p of a gram's decision: (a, b) for a + b * p; b is 0 where none is deeper."""
+        rows = len(self.rows[self.depth])
+        a, b = np.zeros(rows), np.ones(rows)
+        for d in range(self.depth, self.top - 1, -1):
+            at, w = self.rows[d], self.weight[d][level]
+            if w is None:
+                a, b = self.kt[d][level][at], np.zeros(rows)
             else:
-                pw = np.logaddexp(_HALF + pe, _HALF + np.bincount(inv[first], weights=below, minlength=len(total)))
-            kt = (np.where(bit, ones[inv], (total - ones)[inv]) + 0.5) / (total[inv] + 1.0)
-            weights.append((kt, np.exp(_HALF + pe - pw)[inv] if below is not None else None))
-            below, first = pw, index
-        p = weights[0][0]
-        for kt, w in weights[1:]:
-            p = w * kt + (1.0 - w) * p
-        prob[:, level] = p
-        near.append(_near(g)[first])
-        tops.append(prefix[first])
-        values.append(below)
-    return prob, np.concatenate(near), np.concatenate(tops), np.concatenate(values)
-
-
-def _near(g: np.ndarray) -> np.ndarray:
-    """The byte before each gram's newest."""
-    return ((g >> tb.U(8)) & tb.U(255)).astype(np.int64)
-
-
-def joint(symbols: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """From symbol counts (nodes x 256) and their children's summed ln P_w (nodes x prefixes): weight, P(1) and ln P_w by node and bit prefix."""
-    total, ones = np.zeros(symbols.shape), np.zeros(symbols.shape)
-    x = np.arange(256)
+                w = w[at]
+                a, b = w * self.kt[d][level][at] + (1.0 - w) * a, (1.0 - w) * b
+        return a, b
+
+
+_TREE = "bucket int, grams binary, counts binary, node binary, value binary"
+
+
+def _tree(t: pa.Table, depth: int, top: int) -> pa.Table:
+    """The summed grams of a tree bucket and, by the context above its nodes, their symbols' counts and sums of ln P_w.
+
+    A node stands as (context of top - 1 bytes) << 9 | bit prefix; prefixes of all eight bits carry counts.
+    """
+    parts = t.select(["grams", "counts"]).to_pylist()
+    g, n = _merge([np.zeros(0, tb.U), *(expand(r["grams"], tb.U, True) for r in parts)], [np.zeros(0, np.int64), *(expand(r["counts"], np.int64) for r in parts)])
+    tree = Tree(g, n, depth, top)
+    nodes, values = [], []
+    for level in range(8):
+        key = tree.keys[top][tree.first[top][level]]
+        nodes.append(_parent(key, top) << tb.U(9) | tb.U(1 << level) | (key & tb.U(255)) >> tb.U(8 - level))
+        values.append(tree.pw[top][level])
+    nodes.append(_parent(g >> tb.U(8 * (depth - top + 1)) << tb.U(8), top) << tb.U(9) | tb.U(256) | g & tb.U(255))
+    values.append(n.astype(np.float64))
+    node, inv = np.unique(np.concatenate(nodes), return_inverse=True)
+    value = np.bincount(inv, weights=np.concatenate(values), minlength=len(node))
+    return pa.table({"bucket": pa.array([t.column("bucket")[0].as_py()], pa.int32())} | {k: pa.array([v], pa.binary()) for k, v in (("grams", squeeze(g, True)), ("counts", squeeze(n)), ("node", squeeze(node, True)), ("value", squeeze(value)))})
+
+
+def _parent(key: np.ndarray, depth: int) -> np.ndarray:
+    """The context of ``depth - 1`` bytes of grams of ``depth``."""
+    return key >> tb.U(16) if depth else key >> tb.U(8)
+
+
+def _above(nodes: np.ndarray, values: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From the sums of `_tree` over all buckets: by node of depth ``top - 1`` one bit further, ascending, what the nodes up to the root make of a deeper estimate."""
+    prefix = nodes & tb.U(511)
+    leaf = prefix >= 256
+    g = (nodes[leaf] >> tb.U(9)) << tb.U(8) | prefix[leaf] & tb.U(255)
+    below = [values[(prefix >= 1 << level) & (prefix < 2 << level)] for level in range(8)]
+    tree = Tree(g, values[leaf], top - 1, 0, below)
+    keys, a, b = [], [], []
     for level in range(8):
-        prefix = (1 << level) | (x >> (8 - level))
-        np.add.at(total.T, prefix, symbols.T)
-        np.add.at(ones.T, prefix, symbols.T * ((x >> (7 - level)) & 1)[:, None])
-    pe = _block(total - ones, ones)
-    pw = np.logaddexp(_HALF + pe, _HALF + below)
-    return np.exp(_HALF + pe - pw), (ones + 0.5) / (total + 1.0), pw
+        first = np.flatnonzero(np.r_[True, (g >> tb.U(7 - level))[1:] != (g >> tb.U(7 - level))[:-1]]) if len(g) else np.zeros(0, np.int64)
+        x, y = tree.estimate(level)
+        keys.append((g[first] >> tb.U(8)) << tb.U(9) | tb.U(2 << level) | (g[first] & tb.U(255)) >> tb.U(7 - level))
+        a.append(x[first])
+        b.append(y[first])
+    key, a, b = np.concatenate(keys), np.concatenate(a), np.concatenate(b)
+    order = np.argsort(key)
+    return key[order], a[order], b[order]
+
+
+_VALUED = "bucket int, grams binary, logp binary"
+
+
+def fit(docs: DataFrame, depth: int = DEPTH, buckets: int = 1) -> DataFrame:
+    """``(bucket, grams, logp)`` of all grams of ``docs`` (text, held_out), learned from the rows not held out, packed by look-up bucket."""
+    top = min(TOP, depth)
+    packed = docs.mapInArrow(lambda it: _count(it, depth, buckets), _COUNTED)
+    trees = cut(packed.groupBy("bucket").applyInArrow(lambda t: _tree(t, depth, top), _TREE), "ctw-trees")
+
+    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(expand(r["node"], tb.U, True).view(np.int64)), pa.array(expand(r["value"], np.float64))], ["node", "value"])
+
+    found = trees.select("node", "value").mapInArrow(nodes, "node long, value double").groupBy("node").agg(F.sum("value").alias("value")).toArrow()  # contexts of two bytes at most
+    found = found.sort_by("node")
+    tables = _above(np.asarray(found.column("node"), np.int64).view(tb.U), np.asarray(found.column("value"), np.float64), top) if top else None
+    shared = docs.sparkSession.sparkContext.broadcast(tables)
+
+    def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                g, n = expand(r["grams"], tb.U, True), expand(r["counts"], np.int64)
+                tree, total = Tree(g, n, depth, top), np.zeros(len(g))
+                over = _parent(g >> tb.U(8 * (depth - top + 1)) << tb.U(8), top) << tb.U(9)
+                for level in range(8):
+                    p = tree.estimate(level)[0]
+                    if shared.value is not None:
+                        keys, a, b = shared.value
+                        at = np.searchsorted(keys, over | tb.U(2 << level) | (g & tb.U(255)) >> tb.U(7 - level))
+                        p = a[at] + b[at] * p
+                    total += np.log10(p)
+                logp = total.astype(np.float32)
+                for b, rows in _dealt(bucket_of(context(g, depth, NEAR), buckets), buckets):
+                    yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([squeeze(g[rows], True)], pa.binary()), pa.array([squeeze(logp[rows])], pa.binary())], ["bucket", "grams", "logp"])
+
+    return trees.select("grams", "counts").mapInArrow(final, _VALUED)
 
 
 class Table:
@@ -211,185 +357,133 @@ class Table:
         return out
 
 
-def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket of each gram."""
-    return (tb.mix(keys) >> tb.U(40)).astype(np.int64) % buckets
-
-
-def by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending grams put in the order of their buckets, and each bucket's first."""
-    to = bucket_of(keys, buckets)
-    return keys[np.argsort(to, kind="stable")], np.r_[0, np.cumsum(np.bincount(to, minlength=buckets))]
-
-
-def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, int]:
-    """``(bucket, gram, logp)`` of all grams of ``docs`` (text, held_out), learned from the rows not held out, and the number of buckets."""
-    counted = docs.mapInArrow(lambda it: _count(it, depth), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    counted = cut(counted, "ctw-grams")
-    top = min(2, depth)
-    pairs, above = np.zeros((256, 256)), np.zeros((256, 256))
-    for r in counted.groupBy(F.col("gram").bitwiseAND(65535).alias("x")).agg(F.sum("n").alias("n")).collect():  # 65536 rows at most
-        pairs[r["x"] >> 8, r["x"] & 255] = r["n"]
-    shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(1, shuffles, counted.count() // BUCKET_GRAMS, int(pairs.sum()) // BUCKET_BYTES)
-    context = F.shiftright("gram", 8).bitwiseAND((1 << (8 * top)) - 1)
-    near = counted.withColumn("c", F.pmod(F.xxhash64(context), F.lit(buckets)))  # a context's grams stand together
-
-    def tops(t: pa.Table) -> pa.Table:
-        _, c, prefix, value = subtree(*_columns(t), depth, top)
-        at, inv = np.unique(c * 256 + prefix, return_inverse=True)
-        return pa.table({"node": pa.array(at), "value": pa.array(np.bincount(inv, weights=value, minlength=len(at)))})
-
-    for r in near.groupBy("c").applyInArrow(tops, "node long, value double").groupBy("node").agg(F.sum("value").alias("v")).collect():  # 65536 rows at most
-        above[r["node"] >> 8, r["node"] & 255] = r["v"]
-    weight1, one1, pw1 = joint(pairs, above)
-    weight, one, _ = joint(pairs.sum(0, keepdims=True), (pw1 if top == 2 else above).sum(0, keepdims=True))
-
-    def final(t: pa.Table) -> pa.Table:
-        g, n = _columns(t)
-        prob = subtree(g, n, depth, top)[0]
-        x, c = (g & tb.U(255)).astype(np.int64), _near(g)
-        total = np.zeros(len(g))
-        for level in range(8):
-            prefix, p = (1 << level) | (x >> (8 - level)), prob[:, level]
-            for at, w, ones in [((c, prefix), weight1, one1)] * (top == 2) + [((0, prefix), weight, one)]:
-                p = w[at] * np.where((x >> (7 - level)) & 1, ones[at], 1.0 - ones[at]) + (1.0 - w[at]) * p
-            total += np.log10(p)
-        return pa.table({"bucket": pa.array(bucket_of(g, buckets).astype(np.int32)), "gram": pa.array(g.view(np.int64)), "logp": pa.array(total.astype(np.float32))})
-
-    return near.groupBy("c").applyInArrow(final, "bucket int, gram long, logp float"), buckets
-
-
-def _columns(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    return np.asarray(t.column("gram").combine_chunks(), np.int64).view(tb.U), np.asarray(t.column("n").combine_chunks(), np.int64)
-
-
-_PACKED = "bucket int, chunk long, docs int, words binary, owner binary, counts binary, slots binary, ids array<long>, held array<boolean>, tokens binary, grams binary, sizes binary, texts binary"
+_PACKED = "bucket int, chunk long, docs int, grams binary, words binary, counts binary, ids array<long>, held array<boolean>, sizes binary, texts binary"
 
 
 def _pack(batches: Iterator[pa.RecordBatch], depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Chunks of texts: their grams and words by bucket. A bucket also carries every buckets-th text's own figures, one of them the texts."""
-    pid, serial = TaskContext.get().partitionId(), 0
-    words, owner, counts, ids, held, tokens, keys, texts, sizes, size = [], [], [], [], [], [], [], [], [], 0
+    """Chunks of texts: their distinct grams, and their words with training counts, by look-up bucket; one bucket bears the texts."""
+    pid, serial, size = TaskContext.get().partitionId(), 0, 0
+    keys, words, counts, ids, held, texts, sizes = [], [], [], [], [], [], []
+    kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 3, pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 2]
 
     def emit() -> Iterator[pa.RecordBatch]:
-        w, o, c, h, t, z, g = (np.concatenate(x) for x in (words, owner, counts, held, tokens, sizes, keys))
-        for x in (words, owner, counts, keys):
-            x.clear()
-        c = c << np.uint32(1) | ~h[o]
-        to = ((w >> tb.U(40)) % tb.U(buckets)).astype(np.int32)
-        order = np.argsort(to, kind="stable")
-        w, o, c, edge = w[order], o[order], c[order], np.r_[0, np.cumsum(np.bincount(to, minlength=buckets))]
-        g, cuts = by_bucket(_unique(g)[0], buckets)
-        bearer = (pid + serial) % buckets
-        packed = _CODEC.compress(b"".join(texts), asbytes=True)
-        kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4, pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 4]
-        every = np.arange(len(ids))
-        for b in range(buckets):  # one row a batch: a chunk is never copied as a whole
-            at, own = slice(edge[b], edge[b + 1]), every[b::buckets]
-            row = (b, (pid << 32) + serial, len(ids), w[at].tobytes(), o[at].tobytes(), c[at].tobytes(), own.astype(np.uint32).tobytes(), [ids[i] for i in own], h[own].tolist(), t[own].tobytes(), g[cuts[b] : cuts[b + 1]].tobytes(), *((z.tobytes(), packed) if b == bearer else (b"", b"")))
+        g = _unique(np.concatenate(keys))[0]
+        w, c = _merge(words, counts)
+        keys.clear()
+        by_gram = dict(_dealt(bucket_of(context(g, depth, NEAR), buckets), buckets))
+        by_word = dict(_dealt(bucket_of(w, buckets), buckets))
+        bearer, none = (pid + serial) % buckets, np.zeros(0, np.int64)
+        for b in sorted({bearer, *by_gram, *by_word}):  # one row a batch: a chunk is never copied as a whole
+            at, own = by_gram.get(b, none), by_word.get(b, none)
+            mine = (ids, held, np.concatenate(sizes).tobytes(), _TEXT.compress(b"".join(texts), asbytes=True)) if b == bearer else ([], [], b"", b"")
+            row = (b, (pid << 32) + serial, len(ids), squeeze(g[at], True), squeeze(w[own], True), squeeze(c[own]), *mine)
             yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], [f.split()[0] for f in _PACKED.split(", ")])
 
     for batch in batches:
         for part in tb.pieces(batch):
             data, off = tb.flat(part.column("text"))
             data = tb.FOLD[data]
+            own = np.asarray(part.column("held_out").to_numpy(zero_copy_only=False), bool)
             keys.append(_unique(grams(data, off, depth)[0])[0])
-            texts.append(data.tobytes())
-            sizes.append(np.diff(off).astype(np.int64))
             starts, ends, row = tb.words(data, off)
-            w, o, c = tb.bag(tb.span_hashes(data, starts, ends), row)
+            w, inv = np.unique(tb.span_hashes(data, starts, ends), return_inverse=True)
             words.append(w)
-            owner.append((o + len(ids)).astype(np.uint32))
-            counts.append(c.astype(np.uint32))
-            tokens.append(np.bincount(row, minlength=part.num_rows) + 1)
+            counts.append(np.bincount(inv, weights=~own[row], minlength=len(w)).astype(np.int64))
+            texts.append(data.tobytes())
+            sizes.append(np.diff(off).astype(np.int64))
             ids += part.column("doc_id").to_pylist()
-            held.append(np.asarray(part.column("held_out").to_numpy(zero_copy_only=False), bool))
+            held += own.tolist()
             size += len(data)
             if size >= CHUNK_BYTES:
                 yield from emit()
-                words, owner, counts, ids, held, tokens, keys, texts, sizes, size = [], [], [], [], [], [], [], [], [], 0
+                keys, words, counts, ids, held, texts, sizes, size = [], [], [], [], [], [], [], 0
                 serial += 1
     if ids:
         yield from emit()
 
 
-_CARRIED = ("slots", "ids", "held", "tokens", "sizes", "texts")
-_SUMS = "bucket int, buckets int, chunk long, docs int, sums binary, known binary, slots binary, ids array<long>, held array<boolean>, tokens binary, sizes binary, texts binary, logp binary, distinct long"
+_CARRIED = ("docs", "ids", "held", "sizes", "texts")
+_ANSWER = {"bucket": pa.int32(), "buckets": pa.int32(), "chunk": pa.int64(), "logp": pa.binary(), "trained": pa.binary(), "distinct": pa.int64(), "docs": pa.int32(), "ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "sizes": pa.binary(), "texts": pa.binary()}
+_ANSWERS = "bucket int, buckets int, chunk long, logp binary, trained binary, distinct long, docs int, ids array<long>, held array<boolean>, sizes binary, texts binary"
 
 
-def _bucket(t: pa.Table, table: pa.Table, buckets: int) -> pa.Table:
-    """Training counts of a bucket's words, and with them one sum per text of each chunk; the values of each chunk's grams."""
-    kinds = {"bucket": pa.int32(), "buckets": pa.int32(), "chunk": pa.int64(), "docs": pa.int32(), "sums": pa.binary(), "known": pa.binary(), "slots": pa.binary(), "ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "tokens": pa.binary(), "sizes": pa.binary(), "texts": pa.binary(), "logp": pa.binary(), "distinct": pa.int64()}
+def _answer(t: pa.Table, table: pa.Table, buckets: int) -> pa.Table:
+    """To each chunk that asks a look-up bucket: the values of its grams and the training counts of its words, in their order."""
     rows = t.to_pylist()
     if not rows:
-        return pa.Table.from_pylist([], pa.schema(list(kinds.items())))
-    keys = np.asarray(table.column("gram").combine_chunks(), np.int64).view(tb.U)
+        return pa.Table.from_pylist([], pa.schema(list(_ANSWER.items())))
+    parts = table.select(["grams", "logp"]).to_pylist()
+    keys = np.concatenate([np.zeros(0, tb.U), *(expand(r["grams"], tb.U, True) for r in parts)])
+    logp = np.concatenate([np.zeros(0, np.float32), *(expand(r["logp"], np.float32) for r in parts)])
     order = np.argsort(keys)
-    keys, logp = keys[order], np.asarray(table.column("logp").combine_chunks(), np.float32)[order]
-    w = np.concatenate([np.frombuffer(r["words"], tb.U) for r in rows])
-    c = np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in rows]).astype(np.int64)
-    _, inv = np.unique(w, return_inverse=True)
-    trained = np.bincount(inv, weights=(c >> 1) * (c & 1))
-    value, known = np.log10(trained + 0.5)[inv] * (c >> 1), (trained > 0)[inv] * (c >> 1)
+    keys, logp = keys[order], logp[order]
+    words = [expand(r["words"], tb.U, True) for r in rows]
+    every, inv = np.unique(np.concatenate(words), return_inverse=True)
+    trained = np.bincount(inv, weights=np.concatenate([expand(r["counts"], np.int64) for r in rows]), minlength=len(every)).astype(np.int64)
     out, at = [], 0
-    for k, r in enumerate(rows):
-        o = np.frombuffer(r["owner"], np.uint32).astype(np.int64)
-        part = slice(at, at + len(o))
-        at += len(o)
+    for k, (r, w) in enumerate(zip(rows, words, strict=True)):
         out.append(
-            {"bucket": r["bucket"], "buckets": buckets, "chunk": r["chunk"], "docs": r["docs"], "sums": np.bincount(o, weights=value[part], minlength=r["docs"]).tobytes(), "known": np.bincount(o, weights=known[part], minlength=r["docs"]).astype(np.uint32).tobytes()}
-            | {x: r[x] for x in _CARRIED}
-            | {"logp": logp[np.searchsorted(keys, np.frombuffer(r["grams"], tb.U))].tobytes()}
+            {x: r[x] for x in ("bucket", "chunk", *_CARRIED)}
+            | {"buckets": buckets, "logp": squeeze(logp[np.searchsorted(keys, expand(r["grams"], tb.U, True))]), "trained": squeeze(trained[inv[at : at + len(w)]])}
             | {"distinct": int((trained > 0).sum()) if k == 0 else 0}
         )
-    return pa.Table.from_pylist(out, pa.schema(list(kinds.items())))
+        at += len(w)
+    return pa.Table.from_pylist(out, pa.schema(list(_ANSWER.items())))
+
+
+def _by_bucket(keys: np.ndarray, to: np.ndarray, buckets: int) -> np.ndarray:
+    return np.concatenate([keys[:0], *(keys[at] for _, at in _dealt(to, buckets))])
+
+
+_SCORED = "doc_id long, held_out boolean, symbols long, n_tokens long, n_known long, sums double, score double, distinct long"
 
 
 def _texts(t: pa.Table, depth: int) -> pa.Table:
-    """One row per text of a chunk: its buckets' sums put together, its grams looked up."""
-    rows = t.to_pylist()
-    n = rows[0]["docs"]
-    sums, known, tokens, score, ids, held = np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), [None] * n, [False] * n
-    for r in rows:
-        sums += np.frombuffer(r["sums"], np.float64)
-        known += np.frombuffer(r["known"], np.uint32)
-        at = np.frombuffer(r["slots"], np.uint32)
-        tokens[at] = np.frombuffer(r["tokens"], np.int64)
-        for i, d, h in zip(at.tolist(), r["ids"], r["held"], strict=True):
-            ids[i], held[i] = d, h
+    """One row per text of a chunk: its grams and words looked up among the answers."""
+    rows = sorted(t.to_pylist(), key=lambda r: r["bucket"])
     bearer = next(r for r in rows if r["sizes"])
+    n, buckets = bearer["docs"], bearer["buckets"]
     off = np.r_[0, np.cumsum(np.frombuffer(bearer["sizes"], np.int64))]
-    data = np.frombuffer(_CODEC.decompress(bearer["texts"], int(off[-1]), asbytes=True) if off[-1] else b"", np.uint8)
+    data = np.frombuffer(_TEXT.decompress(bearer["texts"], int(off[-1]), asbytes=True) if off[-1] else b"", np.uint8)
     edges, a = [0], 0
     while a < n:  # about tb.BATCH_BYTES at a time
         a = min(n, max(a + 1, int(np.searchsorted(off, off[a] + tb.BATCH_BYTES, "right")) - 1))
         edges.append(a)
-    part = lambda a, z: grams(data[off[a] : off[z]], off[a : z + 1] - off[a], depth)
-    keys = _unique(np.concatenate([_unique(part(a, z)[0])[0] for a, z in pairwise(edges)]))[0]
-    logp = np.concatenate([np.frombuffer(r["logp"], np.float32) for r in sorted(rows, key=lambda r: r["bucket"])])
-    table = Table(by_bucket(keys, rows[0]["buckets"])[0], logp)
+    part = lambda a, z: (data[off[a] : off[z]], off[a : z + 1] - off[a])
+    hashes = lambda a, z: (lambda starts, ends, row: (tb.span_hashes(data[off[a] : off[z]], starts, ends), row))(*tb.words(*part(a, z)))
+    keys = _unique(np.concatenate([_unique(grams(*part(a, z), depth)[0])[0] for a, z in pairwise(edges)]))[0]
+    table = Table(_by_bucket(keys, bucket_of(context(keys, depth, NEAR), buckets), buckets), np.concatenate([expand(r["logp"], np.float32) for r in rows]))
+    del keys
+    words = np.unique(np.concatenate([np.unique(hashes(a, z)[0]) for a, z in pairwise(edges)]))
+    trained = np.concatenate([expand(r["trained"], np.int64) for r in rows])
+    named = _by_bucket(words, bucket_of(words, buckets), buckets)
+    order = np.argsort(named)
+    trained, score, sums, known, tokens = trained[order], np.zeros(n), np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
     for a, z in pairwise(edges):
-        key, edge = part(a, z)
+        key, edge = grams(*part(a, z), depth)
         so_far = np.r_[0.0, np.cumsum(table(key), dtype=np.float64)]
         score[a:z] = so_far[edge[1:]] - so_far[edge[:-1]]
+        h, row = hashes(a, z)
+        c = trained[np.searchsorted(words, h)]
+        sums[a:z] = np.bincount(row, weights=np.log10(c + 0.5), minlength=z - a)
+        known[a:z] = np.bincount(row, weights=c > 0, minlength=z - a)
+        tokens[a:z] = np.bincount(row, minlength=z - a) + 1
     distinct = np.zeros(n, np.int64)
     distinct[0] = sum(r["distinct"] for r in rows)
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array(held), "n_tokens": pa.array(tokens), "n_known": pa.array(known), "sums": pa.array(sums), "score": pa.array(score), "distinct": pa.array(distinct)})
+    return pa.table({"doc_id": pa.array(bearer["ids"], pa.int64()), "held_out": pa.array(bearer["held"]), "symbols": pa.array(np.diff(off) + 1), "n_tokens": pa.array(tokens), "n_known": pa.array(known), "sums": pa.array(sums), "score": pa.array(score), "distinct": pa.array(distinct)})
 
 
 def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte)`` of every row."""
+    """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte)`` of every row; the end symbol counts as a byte."""
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out().alias("held_out"))
-    table, buckets = fit(rows.select("text", "held_out"), depth)
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("n")).first()["n"]
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    table = fit(rows.select("text", "held_out"), depth, buckets)
     packed = rows.mapInArrow(lambda it: _pack(it, depth, buckets), _PACKED)
-    sums = packed.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(lambda t, table: _bucket(t, table, buckets), _SUMS)
-    texts = cut(
-        sums.groupBy("chunk").applyInArrow(lambda t: _texts(t, depth), "doc_id long, held_out boolean, n_tokens long, n_known long, sums double, score double, distinct long"),
-        "ctw-texts",
-    )
+    answers = packed.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(lambda t, table: _answer(t, table, buckets), _ANSWERS)
+    texts = cut(answers.groupBy("chunk").applyInArrow(lambda t: _texts(t, depth), _SCORED), "ctw-texts")
     train = F.when(~F.col("held_out"), F.col("n_tokens"))
     stats = texts.agg(F.coalesce(F.sum(train), F.lit(0)).alias("n"), F.count(train).alias("ends"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("v")).first()
     n, ends = stats["n"], stats["ends"]
@@ -397,5 +491,5 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     unit = math.log10(n + 0.5 * (v + 1))
     return texts.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.lit(1 if ends else 0)).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("sums") + F.lit(math.log10(ends + 0.5)) - F.col("n_tokens") * F.lit(unit)).alias("base_score"), "score",
+        (F.col("sums") + F.lit(math.log10(ends + 0.5)) - F.col("n_tokens") * F.lit(unit)).alias("base_score"), "score", (F.col("score") * F.lit(-math.log2(10)) / F.col("symbols")).alias("bits_per_byte"),
     )

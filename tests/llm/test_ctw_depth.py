@@ -1,7 +1,12 @@
 """The context tree keeps its depth however many distinct grams the corpus has."""
 
+import math
 import random
+import re
 import zlib
+from collections import Counter
+
+import numpy as np
 
 from ternion.llm import ctw
 
@@ -26,5 +31,37 @@ def test_many_buckets_and_chunks_give_the_same(spark, monkeypatch):
     docs = spark.createDataFrame(rows, SCHEMA)
     take = lambda: sorted((r.doc_id or -1, round(r.score, 3), round(r.base_score, 6)) for r in ctw.score(docs).collect())
     want = take()
-    monkeypatch.setattr(ctw, "BUCKET_GRAMS", 40)
+    monkeypatch.setattr(ctw, "BUCKET_BYTES", 40)
+    monkeypatch.setattr(ctw, "CHUNK_BYTES", 300)
     assert take() == want
+
+
+def test_base_and_code_length(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(["Aa", "aa", "bé", "c\u00a0d", "x"], k=rng.randint(0, 9)))) for i in range(80)] + [(None, None), (81, " \t"), (82, "new Words\nonly")]
+    fold = lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+    tokens = lambda t: re.findall(r"[^\x20\x09-\x0D]+", fold(t)) + [None]
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+    count = Counter(w for i, t in rows if not held(i) for w in tokens(t))
+    n, v = sum(count.values()), len(count)
+    for r in ctw.score(spark.createDataFrame(rows, SCHEMA)).collect():
+        own = tokens(dict(rows)[r.doc_id])
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(r.doc_id), len(own), sum(count[w] > 0 for w in own), n)
+        assert abs(r.base_score - sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in own)) < 1e-9
+        assert abs(r.bits_per_byte + r.score * math.log2(10) / (len((dict(rows)[r.doc_id] or "").encode()) + 1)) < 1e-9
+
+
+def test_beats_the_word_base_on_held_out_prose(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(400)]
+    rows = [(i, " ".join(rng.choices(words, weights=[1 / (k + 1) for k in range(400)], k=200))) for i in range(400)]
+    got = [r for r in ctw.score(spark.createDataFrame(rows, SCHEMA)).collect() if r.held_out]
+    assert len(got) > 50 and sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def test_packed_arrays():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 500):
+        x = np.sort(rng.integers(0, 2**63, n).astype(np.uint64))
+        y = rng.random(n).astype(np.float32)
+        assert (ctw.expand(ctw.squeeze(x, True), np.uint64, True) == x).all() and (ctw.expand(ctw.squeeze(y), np.float32) == y).all()
