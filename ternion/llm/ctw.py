@@ -11,7 +11,7 @@ gram, so scoring is one table look-up a byte, and a text's code length per byte
    bytes. A bucket adds them up and evaluates the nodes of depth ``TOP`` and more; what it writes is one row.
 2. The sums over the nodes of depth ``TOP`` by shorter context go to the driver (at most 256 ** (TOP - 1) contexts),
    which evaluates the nodes above and broadcasts, by context and bit prefix, what they make of a deeper estimate.
-3. Each tree bucket turns its grams into log-probabilities and deals them to look-up buckets by five bytes of context.
+3. Each tree bucket turns its grams into log-probabilities and deals them to look-up buckets by ``NEAR`` bytes of context.
 4. Texts are cut into chunks; a chunk sends its distinct grams and words to their look-up buckets and gets their values
    back; there it sums them up over its texts, which travel with it, compressed. The word-unigram base takes the
    same way: a look-up bucket adds up the training counts of its words.
@@ -20,7 +20,8 @@ The gram table is never in one place, and grams that only held-out texts have ta
 estimates come from the shallower contexts, and they change no other.
 
 Bounds: the depth is the same at every size and all counts are complete. Buckets grow in number with the bytes of
-the texts. One task holds the distinct grams of at least one run of TOP nearest bytes, or of one of five bytes.
+the texts. One task holds the distinct grams of at least one run of TOP nearest bytes, or what all chunks ask of one run of NEAR.
+Log-probabilities of bytes travel with 16 bits of mantissa.
 
 Nulls and edge cases: null and empty texts are the end symbol alone; a null doc_id is a training row; a zero
 byte inside a text is an ordinary symbol; repeated rows are each counted and scored; other columns are
@@ -43,7 +44,7 @@ from ternion.llm import textbytes as tb
 from ternion.llm.tables import small_batches
 from ternion.plans.lineage import cut
 
-DEPTH, TOP, NEAR, CHUNK_BYTES, BUCKET_BYTES = 7, 3, 5, 16 << 20, 8 << 20
+DEPTH, TOP, NEAR, CHUNK_BYTES, BUCKET_BYTES = 7, 3, 4, 8 << 20, 8 << 20
 _HALF = math.log(0.5)
 _TEXT, _QUICK = pa.Codec("zstd", compression_level=6), pa.Codec("zstd", compression_level=1)
 
@@ -315,7 +316,7 @@ def fit(docs: DataFrame, depth: int = DEPTH, buckets: int = 1) -> DataFrame:
                         at = np.searchsorted(keys, over | tb.U(2 << level) | (g & tb.U(255)) >> tb.U(7 - level))
                         p = a[at] + b[at] * p
                     total += np.log10(p)
-                logp = total.astype(np.float32)
+                logp = ((total.astype(np.float32).view(np.uint32) + np.uint32(128)) & np.uint32(0xFFFFFF00)).view(np.float32)
                 for b, rows in _dealt(bucket_of(context(g, depth, NEAR), buckets), buckets):
                     yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([squeeze(g[rows], True)], pa.binary()), pa.array([squeeze(logp[rows])], pa.binary())], ["bucket", "grams", "logp"])
 
@@ -452,7 +453,7 @@ def _texts(t: pa.Table, depth: int) -> pa.Table:
     part = lambda a, z: (data[off[a] : off[z]], off[a : z + 1] - off[a])
     hashes = lambda a, z: (lambda starts, ends, row: (tb.span_hashes(data[off[a] : off[z]], starts, ends), row))(*tb.words(*part(a, z)))
     keys = _unique(np.concatenate([_unique(grams(*part(a, z), depth)[0])[0] for a, z in pairwise(edges)]))[0]
-    table = Table(_by_bucket(keys, bucket_of(context(keys, depth, NEAR), buckets), buckets), np.concatenate([expand(r["logp"], np.float32) for r in rows]))
+    table = Table(_by_bucket(keys, bucket_of(context(keys, depth, NEAR), buckets), buckets), np.concatenate([expand(r.pop("logp"), np.float32) for r in rows]))
     del keys
     words = np.unique(np.concatenate([np.unique(hashes(a, z)[0]) for a, z in pairwise(edges)]))
     trained = np.concatenate([expand(r["trained"], np.int64) for r in rows])

@@ -237,7 +237,7 @@ def test_ctw(spark, none):
     train = [fold(t) for i, t, *_ in rows if zlib.crc32(str(i).encode()) % 5 != 1]
     want = naive_ctw(train, [fold(t) for _, t, *_ in rows], 3)
     got = {r.doc_id: r.score for r in ctw.score(d, depth=3).collect()}
-    assert all(abs(got[i] - want[i]) < 1e-4 for i in got) and len(got) == len(rows)
+    assert all(abs(got[i] - want[i]) < 1e-3 for i in got) and len(got) == len(rows)
     assert ctw.score(none).count() == 0
 
 
