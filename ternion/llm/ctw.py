@@ -63,12 +63,12 @@ def grams(data: np.ndarray, off: np.ndarray, depth: int) -> tuple[np.ndarray, np
     n = len(off) - 1
     gap = depth + 1  # a text's start is preceded by zeros: its predecessor's end and `depth` more
     size = np.diff(off)
-    place = np.arange(len(data)) + np.repeat(np.arange(n) * gap + depth, size)
-    wide = np.zeros(len(data) + n * gap + depth, np.uint8)
+    place = np.arange(len(data)) + np.repeat(np.arange(n) * gap + 7, size)
+    wide = np.zeros(len(data) + n * gap + 7, np.uint8)
     wide[place] = data
-    key = wide[depth:].astype(tb.U)
-    for k in range(1, depth + 1):
-        key |= wide[depth - k : len(wide) - k].astype(tb.U) << tb.U(8 * (depth - k + 1))
+    # Each place's eight last bytes as one word, the newest highest: `depth` + 1 of them, turned by one.
+    key = np.ndarray((len(wide) - 7,), "<u8", wide, strides=(1,)) >> tb.U(8 * (7 - depth))
+    key = (key << tb.U(8) | key >> tb.U(8 * depth)) & tb.U((1 << 8 * (depth + 1)) - 1)
     own = np.repeat(np.arange(n) * gap, size + 1) + (np.arange(len(data) + n) - np.repeat(off[:-1] + np.arange(n), size + 1)) + np.repeat(off[:-1], size + 1)
     return key[own], off + np.arange(n + 1)
 
@@ -87,7 +87,7 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 
 
 def _unique(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    x = np.sort(x)
+    x = np.sort(x) if len(x) < 2 or (x[1:] < x[:-1]).any() else x
     at = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, np.int64)
     return x[at], np.diff(np.r_[at, len(x)])
 
@@ -323,41 +323,6 @@ def fit(docs: DataFrame, depth: int = DEPTH, buckets: int = 1) -> DataFrame:
     return trees.select("grams", "counts").mapInArrow(final, _VALUED)
 
 
-class Table:
-    """Gram -> log10 probability by open addressing; every probe is one gather for a whole batch."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, int(2 * max(1, len(keys)) - 1).bit_length())
-        self.bits = bits
-        self.keys = np.full(1 << bits, tb.U(2**64 - 1))
-        self.values = np.zeros(1 << bits, np.float32)
-        at = self._slot(keys)
-        todo = np.arange(len(keys))
-        while len(todo):
-            free = todo[self.keys[at[todo]] == tb.U(2**64 - 1)]
-            _, one = np.unique(at[free], return_index=True)
-            put = free[one]
-            self.keys[at[put]], self.values[at[put]] = keys[put], values[put]
-            todo = todo[self.keys[at[todo]] != keys[todo]]
-            at[todo] = (at[todo] + 1) & ((1 << bits) - 1)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * tb.U(0x9E3779B97F4A7C15)) >> tb.U(64 - self.bits)).astype(np.int64)
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        """Values of keys that are all present."""
-        at = self._slot(keys)
-        out = self.values[at]
-        wrong = np.flatnonzero(self.keys[at] != keys)
-        where = at[wrong]
-        while len(wrong):
-            where = (where + 1) & ((1 << self.bits) - 1)
-            good = self.keys[where] == keys[wrong]
-            out[wrong[good]] = self.values[where[good]]
-            wrong, where = wrong[~good], where[~good]
-        return out
-
-
 _PACKED = "bucket int, chunk long, docs int, grams binary, words binary, counts binary, ids array<long>, held array<boolean>, sizes binary, texts binary"
 
 
@@ -432,10 +397,6 @@ def _answer(t: pa.Table, table: pa.Table, buckets: int) -> pa.Table:
     return pa.Table.from_pylist(out, pa.schema(list(_ANSWER.items())))
 
 
-def _by_bucket(keys: np.ndarray, to: np.ndarray, buckets: int) -> np.ndarray:
-    return np.concatenate([keys[:0], *(keys[at] for _, at in _dealt(to, buckets))])
-
-
 _SCORED = "doc_id long, held_out boolean, symbols long, n_tokens long, n_known long, sums double, score double, distinct long"
 
 
@@ -452,17 +413,25 @@ def _texts(t: pa.Table, depth: int) -> pa.Table:
         edges.append(a)
     part = lambda a, z: (data[off[a] : off[z]], off[a : z + 1] - off[a])
     hashes = lambda a, z: (lambda starts, ends, row: (tb.span_hashes(data[off[a] : off[z]], starts, ends), row))(*tb.words(*part(a, z)))
-    keys = _unique(np.concatenate([_unique(grams(*part(a, z), depth)[0])[0] for a, z in pairwise(edges)]))[0]
-    table = Table(_by_bucket(keys, bucket_of(context(keys, depth, NEAR), buckets), buckets), np.concatenate([expand(r.pop("logp"), np.float32) for r in rows]))
-    del keys
-    words = np.unique(np.concatenate([np.unique(hashes(a, z)[0]) for a, z in pairwise(edges)]))
-    trained = np.concatenate([expand(r["trained"], np.int64) for r in rows])
-    named = _by_bucket(words, bucket_of(words, buckets), buckets)
-    order = np.argsort(named)
-    trained, score, sums, known, tokens = trained[order], np.zeros(n), np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    sorted_ = []
     for a, z in pairwise(edges):
         key, edge = grams(*part(a, z), depth)
-        so_far = np.r_[0.0, np.cumsum(table(key), dtype=np.float64)]
+        order = np.argsort(key).astype(np.int32)
+        own, count = _unique(key[order])
+        sorted_.append((order, own, count, edge))
+    keys = _unique(np.concatenate([x[1] for x in sorted_]))[0]
+    asked = np.argsort(bucket_of(context(keys, depth, NEAR), buckets), kind="stable")
+    logp = np.empty(len(keys), np.float32)
+    logp[asked] = np.concatenate([expand(r.pop("logp"), np.float32) for r in rows])
+    words = np.unique(np.concatenate([np.unique(hashes(a, z)[0]) for a, z in pairwise(edges)]))
+    trained = np.concatenate([expand(r["trained"], np.int64) for r in rows])
+    trained_of = np.empty(len(words), np.int64)
+    trained_of[np.argsort(bucket_of(words, buckets), kind="stable")] = trained
+    trained, score, sums, known, tokens = trained_of, np.zeros(n), np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for (a, z), (order, own, count, edge) in zip(pairwise(edges), sorted_, strict=True):
+        value = np.empty(len(order), np.float32)
+        value[order] = np.repeat(logp[np.searchsorted(keys, own)], count)
+        so_far = np.r_[0.0, np.cumsum(value, dtype=np.float64)]
         score[a:z] = so_far[edge[1:]] - so_far[edge[:-1]]
         h, row = hashes(a, z)
         c = trained[np.searchsorted(words, h)]

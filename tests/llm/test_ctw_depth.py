@@ -51,10 +51,19 @@ def test_base_and_code_length(spark):
         assert abs(r.bits_per_byte + r.score * math.log2(10) / (len((dict(rows)[r.doc_id] or "").encode()) + 1)) < 1e-9
 
 
-def test_beats_the_word_base_on_held_out_prose(spark):
+def test_beats_the_word_base_where_words_depend_on_each_other(spark):
     rng = random.Random(6)
     words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(400)]
-    rows = [(i, " ".join(rng.choices(words, weights=[1 / (k + 1) for k in range(400)], k=200))) for i in range(400)]
+    after = [rng.choices(range(400), k=4) for _ in words]
+
+    def text():
+        at, out = rng.randrange(400), []
+        for _ in range(200):
+            out.append(words[at])
+            at = rng.choice(after[at])
+        return " ".join(out)
+
+    rows = [(i, text()) for i in range(400)]
     got = [r for r in ctw.score(spark.createDataFrame(rows, SCHEMA)).collect() if r.held_out]
     assert len(got) > 50 and sum(r.score for r in got) > sum(r.base_score for r in got)
 
