@@ -51,18 +51,24 @@ def words(c: Column) -> Column:
 
 def greedy_chunks(parts: Column, limit: int) -> Column:
     """Consecutive parts joined by blanks; a part that would exceed ``limit`` words starts a chunk, and a longer one is a chunk alone."""
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("text"), F.lit(0).alias("n"))
+    # Words are counted once a part; the fold sees counts alone and keeps where chunks begin, so a text is copied once.
+    start = F.struct(F.array().cast("array<int>").alias("begins"), F.lit(0).alias("i"), F.lit(0).alias("n"))
 
-    def step(acc: Column, part: Column) -> Column:
-        n = F.size(words(part))
-        full = (acc["n"] + n > limit) & (acc["n"] > 0)
+    def step(acc: Column, n: Column) -> Column:
+        full = (acc["i"] == 0) | ((acc["n"] + n > limit) & (acc["n"] > 0))
         return F.struct(
-            F.when(full, F.concat(acc["done"], F.array(acc["text"]))).otherwise(acc["done"]).alias("done"),
-            F.when(full | (acc["text"] == ""), part).otherwise(F.concat(acc["text"], F.lit(" "), part)).alias("text"),
+            F.when(full, F.concat(acc["begins"], F.array(acc["i"]))).otherwise(acc["begins"]).alias("begins"),
+            (acc["i"] + 1).alias("i"),
             F.when(full, n).otherwise(acc["n"] + n).alias("n"),
         )
 
-    return F.aggregate(parts, start, step, lambda a: F.when(a["text"] == "", a["done"]).otherwise(F.concat(a["done"], F.array(a["text"]))))
+    def cut(begins: Column) -> Column:
+        end = lambda k: F.coalesce(F.get(begins, k + 1), F.size(parts))
+        return F.transform(begins, lambda b, k: F.array_join(F.slice(parts, b + 1, end(k) - b), " "))
+
+    counts = F.transform(parts, lambda p: F.size(words(p)))
+    found = F.aggregate(counts, start, step, lambda a: a["begins"])
+    return F.get(F.transform(F.array(found), cut), 0)  # the one-element array binds what was found: it is computed once
 
 
 def preprocess(c: Column, limit: int, rewrite=lambda x: x) -> Column:
@@ -76,7 +82,7 @@ def preprocess(c: Column, limit: int, rewrite=lambda x: x) -> Column:
 def is_literal(c: Column) -> Column:
     """Whole numbers, decimals, or a text with a date mention in it."""
     s = strip(c)
-    test = s.rlike(r"^[+-]?\d+$") | s.rlike(r"^[+-]?\d+\.\d+$")
+    test = s.rlike(r"^-?\d+$") | s.rlike(r"^-?\d+\.\d+$")
     for d in DATES:
         test = test | s.rlike(d)
     return test
@@ -85,7 +91,7 @@ def is_literal(c: Column) -> Column:
 def literal_datatype(c: Column) -> Column:
     """The short name of a literal's datatype."""
     s = strip(c)
-    return F.when(s.rlike(r"^[+-]?\d+$"), "xsd:integer").when(s.rlike(r"^[+-]?\d+\.\d+$"), "xsd:decimal").otherwise("xsd:string")
+    return F.when(s.rlike(r"^-?\d+$"), "xsd:integer").when(s.rlike(r"^-?\d+\.\d+$"), "xsd:decimal").otherwise("xsd:string")
 
 
 def literal_iri(c: Column) -> Column:
@@ -93,9 +99,14 @@ def literal_iri(c: Column) -> Column:
     return F.concat(F.lit(XSD), F.substring(literal_datatype(c), 5, 10))
 
 
+def literal_lexical(c: Column) -> Column:
+    """The lexical form: numbers trimmed, other literals as they are."""
+    return F.when(literal_datatype(c) != "xsd:string", strip(c)).otherwise(c)
+
+
 def mentions(c: Column) -> Column:
     """Distinct runs of capitalised words, ascending."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit(r"\b[A-Z][a-zA-Z]+(?:\s+[A-Z][a-zA-Z]+)*\b"), F.lit(0))))
+    return F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit(r"(?U)\b[A-Z][a-zA-Z]+(?:\s+[A-Z][a-zA-Z]+)*\b"), F.lit(0))))
 
 
 def camel_label(c: Column) -> Column:
@@ -153,15 +164,18 @@ def strip_special(c: Column) -> Column:
 
 
 def linearised_triplets(c: Column) -> Column:
-    """Array of (subject, predicate, object) from ``<triplet> s <subj> o <obj> p`` text; incomplete ones go."""
-    def one(part: Column) -> Column:
-        got = lambda k: F.trim(F.regexp_extract(part, r"(?s)^(.*?)<subj>(.*?)<obj>(.*)$", k))
-        return F.struct(got(1).alias("subject"), got(3).alias("predicate"), got(2).alias("object"))
-
-    bodies = F.slice(F.split(strip_special(c), "<triplet>"), 2, 10**6)
-    # Each further <subj> in a body repeats the body's subject with another object and predicate.
-    split = F.flatten(F.transform(bodies, lambda b: F.transform(F.slice(F.split(b, "<subj>"), 2, 10**6), lambda x: F.concat(F.substring_index(b, "<subj>", 1), F.lit("<subj>"), x))))
-    return F.filter(F.transform(split, one), lambda t: (t["subject"] != "") & (t["predicate"] != "") & (t["object"] != ""))
+    """Array of (subject, predicate, object) from ``<triplet> s <subj> o <obj> p`` text; incomplete ones go.
+
+    Marks stand between white space. A further ``<subj>`` or ``<obj>`` carries its part of the same triplet on.
+    """
+    end = "(?= <subj> | <obj> |$)"
+
+    def one(body: Column) -> Column:
+        grab = lambda mark: F.array_join(F.filter(F.transform(F.regexp_extract_all(body, F.lit(f"(?s) {mark}(?= )(.*?){end}"), F.lit(1)), lambda x: F.trim(x)), lambda x: x != ""), " ")
+        return F.struct(F.trim(F.regexp_extract(body, f"(?s)^(.*?){end}", 1)).alias("subject"), grab("<obj>").alias("predicate"), grab("<subj>").alias("object"))
+
+    bodies = F.slice(F.split(F.concat(F.lit(" "), collapse(strip_special(c)), F.lit(" ")), " <triplet>(?= )"), 2, 10**6)
+    return F.filter(F.transform(bodies, one), lambda t: (t["subject"] != "") & (t["predicate"] != "") & (t["object"] != ""))
 
 
 def first_integer(c: Column) -> Column:

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ternion.functions import text as T
 from ternion.functions.parsing import ratio
 from ternion.operators.closure import transitive_closure
+from ternion.plans.lineage import ranked
 from ternion.schema import CONNECTED, DEFAULT_CLASSES, DEFAULT_PREDICATES, OWL, PROV, PT, RDF_TYPE, RDFS, RULES, SCHEMA_CATALOG, TFL, TRIPLES, XSD
 
 CLASS_LEAST, PREDICATE_LEAST = 0.6, 0.66
+#: The base ontology's namespace and its class of zones.
+ZONE_NS, ZONE_CLASS = "urn:webprotege:ontology:c73d2ce1-09f8-451b-b6fd-d3ba1ee14c49#", "http://webprotege.stanford.edu/R7cZlQsX1sMesyLmlHKw2lg"
+#: The default catalog entries stand behind all learned ones, whose ``ord`` is smaller.
+LEARNED_BELOW = 10**12
 
 
 def schema_catalog(spark: SparkSession, learned: DataFrame | None = None) -> DataFrame:
     """Learned classes and predicates in their order, the default ones behind them."""
     rows = [("classes", x, TFL + x) for x in DEFAULT_CLASSES] + [("predicates", x, TFL + y) for x, y in DEFAULT_PREDICATES]
-    default = spark.createDataFrame([(10**12 + i, *r) for i, r in enumerate(rows)], SCHEMA_CATALOG)
+    default = spark.createDataFrame([(LEARNED_BELOW + i, *r) for i, r in enumerate(rows)], SCHEMA_CATALOG)
     return default if learned is None else learned.select(*default.columns).unionByName(default)
 
 
@@ -33,45 +37,48 @@ def best_match(labels: DataFrame, catalog: DataFrame, role: str) -> DataFrame:
 def map_nodes(t: DataFrame, names: DataFrame, catalog: DataFrame, closed: bool = True, demote: bool = False) -> DataFrame:
     """One node per name of a triplet end that is no literal. ``names``: name, kind, label, comment.
 
-    With ``closed``, classes whose label the catalog lacks are left out (``demote``: they become individuals).
+    Names are numbered from 1 in ascending order, left-out ones too. With ``closed``, a class whose raw name is no
+    label of a learned class is left out (``demote``: it becomes an individual). IRIs and matches follow the raw
+    name, labels what ``names`` says.
     """
     ends = t.select(F.col("subject").alias("name")).union(t.where(~T.is_literal(F.col("object"))).select("object")).distinct()
-    known = ends.join(names, "name", "left").select("name", F.coalesce("kind", F.lit("individual")).alias("kind"), F.coalesce("label", "name").alias("label"), F.coalesce("comment", F.lit("")).alias("comment"))
-    classes = catalog.where("role = 'classes'").select(T.label_norm(F.col("label")).alias("n")).distinct()
+    numbered = ranked(ends, "name", name="n")
+    known = numbered.join(names.select("name", "kind", F.col("label").alias("shown"), "comment"), "name", "left").select("n", "name", F.coalesce("kind", F.lit("individual")).alias("kind"), F.coalesce("shown", "name").alias("label"), F.coalesce("comment", F.lit("")).alias("comment"))
     if closed:
-        fresh = known.where("kind = 'class'").join(classes, T.label_norm(F.col("label")) == F.col("n"), "left_anti").select("name", F.lit(True).alias("fresh"))
-        known = known.join(fresh, "name", "left")
-        known = known.withColumn("kind", F.when(F.col("fresh"), "individual").otherwise(F.col("kind"))).drop("fresh") if demote else known.where("fresh IS NULL").drop("fresh")
-    numbered = known.withColumn("id", F.concat(F.lit("ent_"), F.row_number().over(Window.orderBy("name")) - 1))  # names, not rows, are numbered
-    match = best_match(known, catalog, "classes").where(F.col("score") >= CLASS_LEAST)
+        learned = catalog.where((F.col("role") == "classes") & (F.col("ord") < LEARNED_BELOW)).select(T.label_norm(F.col("label")).alias("norm"), F.lit(True).alias("old")).distinct()
+        known = known.withColumn("norm", T.label_norm(F.col("name"))).join(learned, "norm", "left").drop("norm")
+        fresh = (F.col("kind") == "class") & F.col("old").isNull()
+        known = known.withColumn("kind", F.when(fresh, "individual").otherwise(F.col("kind"))) if demote else known.where(~fresh)
     is_class = F.col("kind") == "class"
-    own = F.concat(F.lit(TFL), T.slug(F.col("label")))
-    m = numbered.join(match.select("label", F.col("iri").alias("mi"), F.col("match").alias("ml")), "label", "left")
+    match = best_match(known.where(~is_class).select(F.col("name").alias("label")), catalog, "classes").where(F.col("score") >= CLASS_LEAST)
+    own = F.concat(F.lit(TFL), T.slug(F.col("name")))
+    m = known.join(match.select(F.col("label").alias("name"), F.col("iri").alias("mi"), F.col("match").alias("ml")), "name", "left")
     class_iri = F.when(is_class, own).otherwise(F.coalesce("mi", F.lit(TFL + "TransportEntity")))
-    return m.select("id", "name", "label", "comment", own.alias("iri"), class_iri.alias("class_iri"), F.when(is_class, F.col("label")).otherwise(F.coalesce("ml", F.lit("TransportEntity"))).alias("class_label"), is_class.alias("is_class"))
+    return m.select(F.concat(F.lit("ent_"), "n").alias("id"), "n", "name", "label", "comment", own.alias("iri"), class_iri.alias("class_iri"), F.when(is_class, F.col("label")).otherwise(F.coalesce("ml", F.lit("TransportEntity"))).alias("class_label"), is_class.alias("is_class"))
 
 
 def map_edges(t: DataFrame, nodes: DataFrame, names: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Triplets whose ends are nodes (or a literal object), with the predicate's IRI; ``mapped`` says whether the catalog had it."""
+    """Triplets whose ends are nodes (or a literal object), with the predicate's IRI; ``mapped`` says whether the catalog had it.
+
+    The raw predicate is matched and gives the IRI; its label and kind are what ``names`` says, else itself and an object property.
+    """
     s = nodes.select(F.col("name").alias("subject"), F.col("id").alias("subject_id"), F.col("iri").alias("subject_iri"))
     o = nodes.select(F.col("name").alias("object"), F.col("id").alias("object_id"), F.col("iri").alias("object_iri"))
     kinds = names.select(F.col("name").alias("predicate"), F.col("kind").alias("pk"), F.col("label").alias("pl"))
     literal = T.is_literal(F.col("object"))
-    e = t.join(s, "subject").join(o, "object", "left").where(literal | F.col("object_id").isNotNull()).join(kinds, "predicate", "left")
-    e = e.withColumn("label", F.coalesce("pl", "predicate"))
-    match = best_match(e, catalog, "predicates").where(F.col("score") >= PREDICATE_LEAST).select("label", F.col("iri").alias("mi"))
-    e = e.join(match, "label", "left").withColumn("lit", literal)
+    match = best_match(t.select(F.col("predicate").alias("label")), catalog, "predicates").where(F.col("score") >= PREDICATE_LEAST).select(F.col("label").alias("predicate"), F.col("iri").alias("mi"))
+    e = t.join(s, "subject").join(o, "object", "left").where(literal | F.col("object_id").isNotNull()).join(kinds, "predicate", "left").join(match, "predicate", "left").withColumn("lit", literal)
     return e.select(
-        "seq", "subject_id", "subject_iri", F.col("label").alias("predicate_label"), F.coalesce("mi", F.concat(F.lit(TFL), T.slug(F.col("label")))).alias("predicate_iri"),
-        F.when(F.col("lit"), "datatype_property").otherwise(F.coalesce("pk", F.lit("object_property"))).alias("predicate_kind"), "provenance_sentence",
+        "seq", "subject_id", "subject_iri", "predicate", F.coalesce("pl", "predicate").alias("predicate_label"), F.coalesce("mi", F.concat(F.lit(TFL), T.slug(F.col("predicate")))).alias("predicate_iri"),
+        F.coalesce("pk", F.lit("object_property")).alias("predicate_kind"), "provenance_sentence",
         F.when(~F.col("lit"), F.col("object_id")).alias("object_id"), F.when(~F.col("lit"), F.col("object_iri")).alias("object_iri"),
-        F.when(F.col("lit"), F.col("object")).alias("object_literal"), F.when(F.col("lit"), T.literal_iri(F.col("object"))).alias("object_datatype"), F.col("mi").isNotNull().alias("mapped"),
+        F.when(F.col("lit"), T.literal_lexical(F.col("object"))).alias("object_literal"), F.when(F.col("lit"), T.literal_iri(F.col("object"))).alias("object_datatype"), F.col("mi").isNotNull().alias("mapped"),
     )
 
 
 def unmapped_predicates(edges: DataFrame) -> DataFrame:
-    """Distinct labels the catalog lacks, ascending."""
-    return edges.where(~F.col("mapped")).select("predicate_label").distinct().orderBy("predicate_label")
+    """Distinct raw predicates the catalog lacks, ascending."""
+    return edges.where(~F.col("mapped")).select("predicate").distinct().orderBy("predicate")
 
 
 def triples_of(spark: SparkSession, rows: list[tuple[str, str, str]]) -> DataFrame:
@@ -79,12 +86,12 @@ def triples_of(spark: SparkSession, rows: list[tuple[str, str, str]]) -> DataFra
 
 
 def construct(nodes: DataFrame, edges: DataFrame, owl_axioms: bool = False, catalog: DataFrame | None = None) -> DataFrame:
-    """Header, classes, individuals, properties, relations and provenance as triples, repeats included."""
+    """Header, classes, individuals, properties, relations and provenance as triples, repeats included; statements are numbered from 1 over the edges."""
     spark = nodes.sparkSession
     row = lambda s, p, o, lit=False, dt="": [s.alias("s"), F.lit(p).alias("p") if isinstance(p, str) else p.alias("p"), o.alias("o"), F.lit(lit).alias("is_literal"), F.lit(dt).alias("datatype") if isinstance(dt, str) else dt.alias("datatype")]
     ext = "http://example.org/tfl/extracted"
     parts = [triples_of(spark, [(ext, RDF_TYPE, OWL + "Ontology"), (ext, OWL + "imports", "http://example.org/tfl")])]
-    first = nodes.groupBy("class_iri").agg(F.min_by(F.struct("class_label", "comment", "is_class"), F.regexp_extract("id", r"(\d+)", 1).cast("long")).alias("f")).select("class_iri", "f.*")
+    first = nodes.groupBy("class_iri").agg(F.min_by(F.struct("class_label", "comment", "is_class"), "n").alias("f")).select("class_iri", "f.*")
     c = F.col("class_iri")
     parts += [
         first.select(*row(c, RDF_TYPE, F.lit(OWL + "Class"))),
@@ -102,9 +109,12 @@ def construct(nodes: DataFrame, edges: DataFrame, owl_axioms: bool = False, cata
     kind = F.when(F.col("predicate_kind") == "datatype_property", OWL + "DatatypeProperty").otherwise(OWL + "ObjectProperty")
     p = F.col("predicate_iri")
     parts += [props.select(*row(p, RDF_TYPE, kind)), props.select(*row(p, RDFS + "label", F.col("predicate_label"), True, XSD + "string"))]
-    if catalog is not None:  # J12: a comment by the label, or by the first entry with an equal label
-        notes = catalog.where("base_category = 'relations' AND coalesce(comment, '') <> ''").groupBy("label").agg(F.min_by("comment", "name").alias("note"))
-        parts.append(props.join(notes, props["predicate_label"] == notes["label"]).select(*row(p, RDFS + "comment", F.col("note"), True, XSD + "string")))
+    if catalog is not None:  # J12: the comment of the entry whose name is the label, or of the first whose label is
+        named = catalog.groupBy(F.col("name").alias("predicate_label")).agg(F.max_by("comment", "base_category").alias("by_name"))
+        labelled = catalog.groupBy(F.col("label").alias("predicate_label")).agg(F.min_by("comment", F.struct("base_category", "name")).alias("by_label"))
+        note = F.coalesce(F.nullif("by_name", F.lit("")), F.nullif("by_label", F.lit("")))
+        noted = props.join(named, "predicate_label", "left").join(labelled, "predicate_label", "left").withColumn("note", note).where("note IS NOT NULL")
+        parts.append(noted.select(*row(p, RDFS + "comment", F.col("note"), True, XSD + "string")))
         if owl_axioms:
             for flag, axiom in (("symmetric", "SymmetricProperty"), ("transitive", "TransitiveProperty"), ("functional", "FunctionalProperty")):
                 marked = catalog.where(F.col(flag)).select(F.col("label").alias("predicate_label")).distinct()
@@ -113,7 +123,7 @@ def construct(nodes: DataFrame, edges: DataFrame, owl_axioms: bool = False, cata
     parts += [
         edges.where("object_iri IS NOT NULL").select(*row(s, p, F.col("object_iri"))),
         edges.where("object_literal IS NOT NULL").select(*row(s, p, F.col("object_literal"), True, F.col("object_datatype"))),
-        edges.where("coalesce(provenance_sentence, '') <> ''").select(*row(F.concat(F.lit(PT + "stmt/"), F.col("seq")), PROV + "value", F.col("provenance_sentence"), True, XSD + "string")),
+        ranked(edges.select("seq", "provenance_sentence"), "seq").where("coalesce(provenance_sentence, '') <> ''").select(*row(F.concat(F.lit(PT + "stmt/"), F.col("rank")), PROV + "value", F.col("provenance_sentence"), True, XSD + "string")),
     ]
     out = parts[0]
     for x in parts[1:]:
@@ -248,7 +258,7 @@ def upsert_catalog(catalog: DataFrame, seen: DataFrame) -> DataFrame:
     label = F.when(F.coalesce("label", F.lit("")) == "", T.iri_label(F.col("iri"))).otherwise(F.col("label"))
     both = catalog.withColumn("age", F.lit(0)).unionByName(seen.withColumn("age", F.lit(1))).withColumn("label", label)
     got = both.groupBy("role", "iri").agg(F.min(F.struct("age", "ord")).alias("f"), F.max_by("label", F.struct("age", "ord")).alias("label"))
-    return got.select(F.row_number().over(Window.orderBy("f", "role", "iri")).cast("long").alias("ord"), "role", "label", "iri")
+    return ranked(got, "f", "role", "iri", name="ord").select("ord", "role", "label", "iri")
 
 
 def append_catalog(catalog: DataFrame, seen: DataFrame) -> DataFrame:
@@ -258,17 +268,17 @@ def append_catalog(catalog: DataFrame, seen: DataFrame) -> DataFrame:
 
 def zone_gaps(engine, most: int | None = 5) -> DataFrame:
     """Stations without a zone, at most ``most`` (null: all)."""
-    text = """PREFIX : <http://example.org/tfl#> PREFIX w: <http://webprotege.stanford.edu/>
-    SELECT DISTINCT ?station ?name WHERE { { ?station a w:TrainStation } UNION { ?station a :Station } { ?station rdfs:label ?name } UNION { ?station :hasName ?name }
-    FILTER NOT EXISTS { ?station :hasZone ?z } FILTER NOT EXISTS { ?station :locatedInZone ?z } } ORDER BY ?station"""
+    text = f"""PREFIX : <{ZONE_NS}> PREFIX t: <{TFL}> PREFIX w: <http://webprotege.stanford.edu/>
+    SELECT DISTINCT ?station ?name WHERE {{ {{ ?station a w:TrainStation }} UNION {{ ?station a t:Station }} {{ ?station rdfs:label ?name }} UNION {{ ?station :hasName ?name }}
+    FILTER NOT EXISTS {{ ?station :hasZone ?z }} FILTER NOT EXISTS {{ ?station t:locatedInZone ?z }} }} ORDER BY ?station"""
     return engine.query(text + (f" LIMIT {most}" if most is not None else ""))
 
 
 def complete_zones(predicted: DataFrame) -> DataFrame:
-    """Graph rows for ``(station, answer)``: the first whole number of each answer as its zone; no number, no rows."""
-    zone = T.first_integer(F.col("answer"))
-    z = F.concat(F.lit(TFL + "zone_"), F.col("n").cast("string"))
-    p = predicted.withColumn("n", zone).where("n IS NOT NULL")
+    """Graph rows for ``(station, answer)``: the first whole number of each answer as its zone, with type, number and label; no number, no rows."""
+    number = F.col("n").cast("string")
+    z = F.concat(F.lit(TFL + "Zone_"), number)
+    p = predicted.withColumn("n", T.first_integer(F.col("answer"))).where("n IS NOT NULL")
     row = lambda s, pr, o, kind="iri", dt="": F.struct(s.alias("s"), F.lit(pr).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind"), F.lit(dt).alias("datatype"), F.lit("").alias("lang"))
-    rows = F.array(row(F.col("station"), TFL + "hasZone", z), row(F.col("station"), TFL + "locatedInZone", z), row(z, RDF_TYPE, F.lit(TFL + "Zone")), row(z, TFL + "zoneNumber", F.col("n").cast("string"), "literal", XSD + "integer"))
+    rows = F.array(row(F.col("station"), ZONE_NS + "hasZone", z), row(z, RDF_TYPE, F.lit(ZONE_CLASS)), row(z, ZONE_NS + "zoneNumber", number, "literal", XSD + "integer"), row(z, RDFS + "label", F.concat(F.lit("Zone "), number), "literal", XSD + "string"))
     return p.select(F.explode(rows).alias("r")).select("r.*").distinct()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -11,6 +13,8 @@ from ternion.functions.similarity import cosine, jaccard
 from ternion.operators.components import connected_components
 
 SAME, EXACT_UP_TO, CANDIDATES, MIXED_LEAST, COSINE_SHARE = 0.88, 350, 40, 0.55, 0.35
+#: Names of one token that meet in a task; rows of a block of vectors.
+TOKEN_NAMES, BLOCK = 4096, 4096
 
 
 def surface_groups(items: DataFrame, *by: str) -> DataFrame:
@@ -37,8 +41,13 @@ def exact_pairs(items: DataFrame) -> DataFrame:
 def blocked_pairs(items: DataFrame, least: float = MIXED_LEAST, cap: int = CANDIDATES) -> DataFrame:
     """Pairs that share a blocking token and score Jaccard + 0.35 cosine >= ``least``; the best ``cap`` of each name."""
     tokened = items.withColumn("tokens", T.block_tokens(F.col("name")))
+    # A token with very many names is dealt to parts by one side's name; the other side goes to each part.
     posted = tokened.select("name", F.explode("tokens").alias("token"))
-    pairs = posted.alias("a").join(posted.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.name") != F.col("b.name"))).select(F.col("a.name").alias("x"), F.col("b.name").alias("y")).distinct()
+    sizes = posted.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / TOKEN_NAMES).cast("int").alias("parts"))
+    sized = posted.join(sizes, "token")
+    one = sized.select(F.col("name").alias("x"), "token", F.pmod(F.xxhash64("name"), F.col("parts")).cast("int").alias("part"))
+    other = sized.select(F.col("name").alias("y"), "token", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    pairs = one.join(other, ["token", "part"]).where("x <> y").select("x", "y").distinct()
     left = tokened.select(F.col("name").alias("x"), F.col("tokens").alias("tx"), F.col("vec").alias("vx"), F.col("is_new").alias("nx"))
     right = tokened.select(F.col("name").alias("y"), F.col("tokens").alias("ty"), F.col("vec").alias("vy"), F.col("is_new").alias("ny"))
     scored = pairs.join(left, "x").join(right, "y").withColumn("cosine", cosine(F.col("vx"), F.col("vy"))).withColumn("score", jaccard(F.col("tx"), F.col("ty")) + COSINE_SHARE * F.col("cosine"))
@@ -106,12 +115,79 @@ def linking_stats(pairs: DataFrame, members: DataFrame, category: str, mode: str
     return c.crossJoin(m).crossJoin(n).select(F.lit(category).alias("category"), F.lit(mode).alias("mode"), "total", "compared", "same", "clusters", "conflicts")
 
 
+def _blocks(df: DataFrame, n: int) -> DataFrame:
+    return df.withColumn("_block", F.pmod(F.xxhash64("name", "vec"), F.lit(n)).cast("int"))
+
+
+def similar(left: DataFrame, right: DataFrame, least: float | None = None, k: int | None = None) -> DataFrame:
+    """``(a, b, score)``: cosines of the rows of ``left`` with those of ``right`` (name, vec), pairs of one name left out.
+
+    With ``least`` only cosines from there up, with ``k`` only the ``k`` best that each block of ``right`` has for a row
+    (ties to the larger name). Blocks of bounded size meet, a pair of blocks in a task, as one matrix product; only
+    what is kept leaves the task. Empty, zero and unequally long vectors have cosine 0, as in `cosine`.
+    """
+    n, m = (max(1, -(-x.count() // BLOCK)) for x in (left, right))
+    vec = F.col("vec").cast("array<double>")
+    fresh = lambda df: df.select(F.col("name").alias("name"), vec.alias("vec"))
+    a = _blocks(fresh(left), n).withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+    b = _blocks(fresh(right), m).withColumnRenamed("_block", "_other").withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+
+    def meet(x: pa.Table, y: pa.Table) -> pa.Table:
+        out: list[list] = [[], [], []]
+        if x.num_rows and y.num_rows:
+            names = y.column("name").to_pylist()
+            order = np.argsort(np.array(names, object), kind="stable")[::-1]
+            names = [names[i] for i in order]
+            u, v = _unit(x.column("vec")), _unit(y.column("vec").take(pa.array(order)))
+            product = sum((u[d] @ v[d].T for d in u if d in v), np.zeros((x.num_rows, y.num_rows)))
+            for i, own in enumerate(x.column("name").to_pylist()):
+                score = product[i]
+                keep = np.arange(len(score)) if least is None else np.flatnonzero(score >= least)
+                keep = keep[[names[j] != own for j in keep]] if own in names else keep
+                keep = keep[np.argsort(-score[keep], kind="stable")][:k]
+                out[0] += [own] * len(keep)
+                out[1] += [names[j] for j in keep]
+                out[2] += score[keep].tolist()
+        return pa.table({"a": pa.array(out[0], pa.string()), "b": pa.array(out[1], pa.string()), "score": pa.array(out[2], pa.float64())})
+
+    by = ["_block", "_other"]
+    return a.groupBy(*by).cogroup(b.groupBy(*by)).applyInArrow(meet, "a string, b string, score double")
+
+
+def _unit(column: pa.ChunkedArray) -> dict[int, np.ndarray]:
+    """Unit vectors by dimension, a row for every vector (zeros where it has another dimension or no length)."""
+    rows = [np.array(x if x else [], float) for x in column.to_pylist()]
+    out = {}
+    for d in sorted({len(r) for r in rows} - {0}):
+        m = np.array([r if len(r) == d else np.zeros(d) for r in rows])
+        size = np.sqrt((m * m).sum(1))
+        out[d] = m / np.where(size > 0, size, 1.0)[:, None]
+    return out
+
+
 def knn(queries: DataFrame, pool: DataFrame, k: int = 3) -> DataFrame:
     """The ``k`` most similar labelled names of each query. ``queries``: name, vec; ``pool``: name, kind, vec.
 
-    Queries stand against the whole pool in a nested loop; partial top-k before the shuffle keeps k rows a task.
+    Every query stands against the whole pool, block by block; a block gives k rows a query. Ties go to the larger name.
     """
-    p = pool.select(F.col("name").alias("near"), "kind", F.col("vec").alias("pv"))
-    scored = queries.select("name", "vec").join(p, F.col("name") != F.col("near")).select("name", "near", "kind", cosine(F.col("vec"), F.col("pv")).alias("score"))
+    p = pool.select(F.col("name").alias("b"), "kind")
+    scored = similar(queries, pool, k=k).join(p, "b").select(F.col("a").alias("name"), F.col("b").alias("near"), "kind", "score")
     by = Window.partitionBy("name").orderBy(F.desc("score"), F.desc("near"), F.desc("kind"))
     return scored.withColumn("rank", F.row_number().over(by).cast("long")).where(F.col("rank") <= k)
+
+
+def new_names(found: DataFrame, prior: DataFrame) -> DataFrame:
+    """Distinct names (``name``) without a canonical name from before."""
+    return found.select("name").distinct().join(prior.select("name").distinct(), "name", "left_anti")
+
+
+def universe(new: DataFrame, known: DataFrame) -> DataFrame:
+    """``(name, is_new)``: the new names and the known canonical ones, each once; a name that is both is new."""
+    both = new.select("name", F.lit(True).alias("is_new")).unionByName(known.select("name", F.lit(False).alias("is_new")))
+    return both.groupBy("name").agg(F.bool_or("is_new").alias("is_new"))
+
+
+def zipped(batches: DataFrame, default: str) -> DataFrame:
+    """``(name, answer)`` of batches (``names``, ``answers``) by position; names beyond the answers get ``default``, answers beyond the names go."""
+    pairs = F.transform("names", lambda x, i: F.struct(x.alias("name"), F.coalesce(F.get("answers", i), F.lit(default)).alias("answer")))
+    return batches.select(F.explode(pairs).alias("x")).select("x.*")

@@ -73,3 +73,11 @@ def classify(catalog: DataFrame, literal: DataFrame) -> DataFrame:
     for flag in ("symmetric", "transitive", "functional"):
         out = out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)) & ~data)
     return out.drop("has_literal")
+
+
+def categories(catalog: DataFrame) -> DataFrame:
+    """The catalog with the ``category`` that names are linked in; unknown kinds count as individuals and object properties."""
+    relation = F.when(F.col("kind") == "datatype_property", "relations_data").otherwise("relations_object")
+    entity = F.when(F.col("kind") == "class", "entities_class").otherwise("entities_individual")
+    by_base = F.when(F.col("base_category") == "relations", relation).otherwise(entity)
+    return catalog.withColumn("category", by_base)

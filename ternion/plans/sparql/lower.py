@@ -14,11 +14,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ternion.operators.closure import transitive_closure
+from ternion.operators.closure import reaching, transitive_closure
+from ternion.plans.lineage import cut
 from ternion.plans.sparql.parser import XSD, Query, parse
+from ternion.schema import GRAPH
 
 _SEP = "\u0001"
 _NUMERIC = [XSD + x for x in ("integer", "decimal", "double", "float", "int", "long", "short", "byte", "nonNegativeInteger", "positiveInteger")]
@@ -94,10 +96,33 @@ def _c(name: str) -> Column:
 
 
 class Engine:
-    """Queries over ``triples(s, p, o, o_kind, datatype, lang)``: IRIs or blank labels (``_:``) in s, IRIs in p."""
-
-    def __init__(self, triples: DataFrame):
-        self.triples = triples
+    """Queries over ``triples(s, p, o, o_kind, datatype, lang)``: IRIs or blank labels (``_:``) in s, IRIs in p.
+
+    ``parts`` may give the rows of every predicate apart: a pattern with a constant predicate then reads that part alone,
+    and its plan holds no other. Without ``parts`` it filters all triples.
+    """
+
+    def __init__(self, triples: DataFrame | None = None, parts: dict[str, DataFrame] | None = None):
+        self.parts = parts
+        self._all = triples
+
+    @property
+    def triples(self) -> DataFrame:
+        if self._all is None:
+            for x in self.parts.values():
+                self._all = x if self._all is None else self._all.unionByName(x)
+        return self._all
+
+    def _of(self, predicate: str) -> DataFrame:
+        """The triples of a predicate."""
+        if self.parts is None:
+            return self.triples.where(F.col("p") == predicate)
+        if predicate in self.parts:
+            return self.parts[predicate]
+        return self._spark().createDataFrame([], GRAPH)
+
+    def _spark(self) -> SparkSession:
+        return (self._all if self._all is not None else next(iter(self.parts.values()))).sparkSession
 
     def query(self, text: str) -> DataFrame:
         """Solutions with the lexical form of each bound variable, null where unbound."""
@@ -183,14 +208,17 @@ class Engine:
             return F.min(v.term())
         return literal(F.array_join(F.array_sort(F.collect_list(v.str())), " "))
 
-    def _group(self, node: tuple) -> Plan | None:
+    def _group(self, node: tuple, seeds: dict[str, DataFrame] | None = None) -> Plan | None:
+        """A group's solutions. ``seeds`` holds values that variables must have for a solution to matter to the group around."""
         plan: Plan | None = None
         filters: list[tuple] = []
         triples: list[tuple] = []
 
+        fixed = self._fixed(node)
+
         def flush() -> None:
             nonlocal plan
-            for part in self._ordered(triples, plan.vars if plan else set()):
+            for part in self._ordered(triples, plan.vars if plan else set(), fixed, seeds or {}):
                 plan = self._join(plan, part)
             triples.clear()
 
@@ -205,14 +233,15 @@ class Engine:
             if part[0] == "optional":
                 plan = self._optional(plan, self._group(part[1]))
             elif part[0] == "union":
-                plan = self._join(plan, self._union([self._group(g) for g in part[1]]))
+                inner = self._seeds(plan, fixed, node)
+                plan = self._join(plan, self._union([self._group(g, inner) for g in part[1]]))
             elif part[0] == "group":
-                plan = self._join(plan, self._group(part))
+                plan = self._join(plan, self._group(part, self._seeds(plan, fixed, node)))
             elif part[0] == "bind":
-                base = plan or Plan(self.triples.sparkSession.range(1).drop("id"), set())
+                base = plan or Plan(self._spark().range(1).drop("id"), set())
                 plan = Plan(base.df.withColumn(part[1], self._expr(part[2], base.vars).term()), base.vars | {part[1]}, base.loose | {part[1]})
             elif part[0] == "values":
-                rows = self.triples.sparkSession.createDataFrame([(self._constant(t),) for t in part[2]], f"`{part[1]}` string")
+                rows = self._spark().createDataFrame([(self._constant(t),) for t in part[2]], f"`{part[1]}` string")
                 plan = self._join(plan, Plan(rows, {part[1]}))
             elif part[0] in ("exists", "minus"):
                 other = self._group(part[1])
@@ -228,20 +257,42 @@ class Engine:
                         on = test if on is None else on & test
                     plan = Plan(plan.df.join(right, on if on is not None else F.lit(True), kind), plan.vars, plan.loose)
         flush()
-        plan = plan or Plan(self.triples.sparkSession.range(1).drop("id"), set())
+        plan = plan or Plan(self._spark().range(1).drop("id"), set())
         for f in filters:
             plan = Plan(plan.df.where(self._expr(f, plan.vars).bool()), plan.vars, plan.loose)
         return plan
 
-    def _ordered(self, triples: list[tuple], bound: set[str]) -> list[Plan]:
+    @staticmethod
+    def _fixed(node: tuple) -> dict[str, str]:
+        """Variables whose lexical form a FILTER of the group fixes: ``STR(?v) = "text"``. Patterns may look for it before any join."""
+        out = {}
+        for part in node[1]:
+            if part[0] == "filter" and part[1][0] == "=":
+                for a, b in (part[1][1:], part[1][:0:-1]):
+                    if a[0] == "call" and a[1] == "STR" and a[2][0][0] == "var" and b[0] == "lit":
+                        out[a[2][0][1]] = b[1]
+        return out
+
+    def _seeds(self, plan: Plan | None, fixed: dict[str, str], node: tuple) -> dict[str, DataFrame]:
+        """Where filters fix variables of the group so far: the values of the subjects that they describe, for the groups within."""
+        if plan is None or not fixed:
+            return {}
+        described = {t[1][1] for t in node[1] if t[0] == "triple" and t[1][0] == "var" and t[3][0] == "var" and t[3][1] in fixed}
+        return {v: cut(plan.df.select(_c(v).alias("seed")).distinct(), "seeds") for v in sorted((described & plan.vars) - plan.loose)}
+
+    def _ordered(self, triples: list[tuple], bound: set[str], fixed: dict[str, str], seeds: dict[str, DataFrame]) -> list[Plan]:
         """Patterns so that each shares a variable with those before it where any does; most constants first."""
         left, seen, out = list(triples), set(bound), []
         names = lambda t: {x[1] for x in (t[1], t[3]) if x[0] == "var"} | ({t[2][1]} if t[2][0] == "var" else set())
         while left:
-            best = max(left, key=lambda t: (bool(names(t) & seen) or not seen, (t[1][0] != "var") + (t[3][0] != "var"), t[2][0] == "iri", -left.index(t)))
+            known = lambda x: x[0] != "var" or x[1] in fixed or x[1] in seeds
+            best = max(left, key=lambda t: (bool(names(t) & seen) or not seen, known(t[1]) + known(t[3]), t[2][0] == "iri", -left.index(t)))
             left.remove(best)
             seen |= names(best)
-            out.append(self._pattern(best))
+            found = self._pattern(best, fixed)
+            for v in sorted(names(best) & set(seeds)):
+                found = Plan(found.df.join(seeds[v], _c(v) == F.col("seed"), "left_semi"), found.vars)
+            out.append(found)
         return out
 
     @staticmethod
@@ -260,20 +311,22 @@ class Engine:
             .otherwise(F.concat(F.lit("L"), F.coalesce("datatype", F.lit("")), F.lit(_SEP), F.coalesce("lang", F.lit("")), F.lit(_SEP), F.col("o")))
         )
 
-    def _pattern(self, t: tuple) -> Plan:
+    def _pattern(self, t: tuple, fixed: dict[str, str]) -> Plan:
         _, s, p, o = t
         if p[0] not in ("iri", "var"):
             rel = self._path(p, s, o)
         else:
-            df = self.triples
-            if p[0] == "iri":
-                df = df.where(F.col("p") == p[1])
+            df = self._of(p[1]) if p[0] == "iri" else self.triples
             if s[0] == "iri":
                 df = df.where(F.col("s") == s[1])
             if o[0] == "iri":
                 df = df.where((F.col("o") == o[1]) & (F.col("o_kind") == "iri"))
             elif o[0] == "lit":
                 df = df.where((F.col("o") == o[1]) & (F.col("o_kind") == "literal") & (F.coalesce("datatype", F.lit("")) == o[2]) & (F.coalesce("lang", F.lit("")) == o[3]))
+            elif o[1] in fixed:
+                df = df.where((F.col("o") == fixed[o[1]]) | (F.col("o_kind") == "bnode"))
+            if s[0] == "var" and s[1] in fixed:
+                df = df.where((F.col("s") == fixed[s[1]]) | F.col("s").startswith("_:"))
             rel = df.select(self._subject(F.col("s")).alias("__s"), F.concat(F.lit("I"), F.col("p")).alias("__p"), self._object().alias("__o"))
         cols: dict[str, Column] = {}
         for x, c in ((s, "__s"), (p, "__p"), (o, "__o")):
@@ -285,7 +338,18 @@ class Engine:
         return Plan(rel.select(*[c.alias(n) for n, c in cols.items()]), set(cols))
 
     def _path(self, p: tuple, s: tuple = ("var", ""), o: tuple = ("var", "")) -> DataFrame:
-        """The pairs ``(__s, __o)`` of a path, with constant ends applied."""
+        """The pairs ``(__s, __o)`` of a path, with constant ends applied. A constant behind ``*`` or ``+`` is searched from, backwards."""
+        if o[0] == "iri" and p[0] == "seq" and p[1][-1][0] in ("star", "plus"):
+            first, last = p[1][:-1], p[1][-1]
+            edges = self._pairs(last[1])
+            goal = self._spark().createDataFrame([(self._constant(o),)], "node string")
+            if last[0] == "plus":
+                goal = edges.join(goal, edges["__o"] == goal["node"], "left_semi").select(F.col("__s").alias("node"))
+            found = reaching(edges, goal, "__s", "__o").select(F.col("node").alias("__o"))
+            rel = self._pairs(first[0] if len(first) == 1 else ("seq", first)).join(found, "__o", "left_semi").select("__s", F.lit(self._constant(o)).alias("__o"))
+            if s[0] in ("iri", "lit"):
+                rel = rel.where(F.col("__s") == self._constant(s))
+            return rel
         rel = self._pairs(p)
         for x, c in ((s, "__s"), (o, "__o")):
             if x[0] in ("iri", "lit"):
@@ -295,7 +359,7 @@ class Engine:
     def _pairs(self, p: tuple) -> DataFrame:
         kind = p[0]
         if kind == "iri":
-            return self.triples.where(F.col("p") == p[1]).select(self._subject(F.col("s")).alias("__s"), self._object().alias("__o"))
+            return self._of(p[1]).select(self._subject(F.col("s")).alias("__s"), self._object().alias("__o"))
         if kind == "inv":
             return self._pairs(p[1]).select(F.col("__o").alias("__s"), F.col("__s").alias("__o"))
         if kind == "alt":
@@ -347,7 +411,7 @@ class Engine:
         return Plan(df.select(*cols), left.vars | right.vars, kept)
 
     def _optional(self, left: Plan | None, right: Plan) -> Plan:
-        base = left or Plan(self.triples.sparkSession.range(1).drop("id"), set())
+        base = left or Plan(self._spark().range(1).drop("id"), set())
         return self._join(base, right, "left")
 
     @staticmethod

@@ -1,8 +1,7 @@
-"""The competency workload and the operators over the relational tables, each with its SQL.
+"""The competency workload over the relational tables as a graph, and text functions, each with its SQL.
 
 Orders stand for routes, line items for stops in a sequence, parts for stations, regions for zones, events
-for disruptions. Tables become triples by projection; a pattern's constant predicate removes the other
-projections from the plan.
+for disruptions. Tables become triples by projection, a predicate at a time, and a pattern reads its predicate's alone.
 """
 
 from __future__ import annotations
@@ -13,21 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ternion.functions import text as T
-from ternion.functions.similarity import cosine
-from ternion.operators import graph as G
 from ternion.operators import linking as L
-from ternion.operators import triplets as TR
-from ternion.operators.closure import transitive_closure
-from ternion.operators.components import connected_components
 from ternion.plans.sparql import Engine
 from ternion.schema import RDF_TYPE, RDFS, XSD
-from ternion.sources.structured import tsv_triplets
 
 NS = "http://example.org/tfl#"
 _P = f"PREFIX : <{NS}>\n"
 
 #: Class tree beside the tables: (class, superclass).
-TREE = (("Line", "Route"), ("BusRoute", "Route"), ("PlannedDisruption", "ServiceDisruption"), ("UnplannedDisruption", "ServiceDisruption"), ("SignalFailure", "TechnicalFault"), ("TechnicalFault", "DisruptionCause"), ("click", "PlannedDisruption"))
+TREE = (("Line", "Route"), ("BusRoute", "Route"), ("PlannedDisruption", "ServiceDisruption"), ("UnplannedDisruption", "ServiceDisruption"), ("SignalFailure", "TechnicalFault"), ("TechnicalFault", "DisruptionCause"), ("click", "PlannedDisruption"), ("error", "SignificantDisruption"), ("SignificantDisruption", "ServiceDisruption"), ("Strike", "IndustrialAction"), ("LineExpansion", "InfrastructureProject"))
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -38,14 +31,14 @@ def _iri(kind: str, *keys: str) -> Column:
     return F.concat_ws("-", F.lit(NS + kind), *[F.col(k).cast("string") for k in keys])
 
 
-def _rows(df: DataFrame, s: Column, p: str, o: Column, kind: str = "iri", dt: str = "") -> DataFrame:
-    return df.select(s.alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind"), F.lit(dt).alias("datatype"), F.lit("").alias("lang"))
+def _rows(df: DataFrame, s: Column, p: str, o: Column, kind: str = "iri", dt: str = "") -> tuple[str, DataFrame]:
+    return p, df.select(s.alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind"), F.lit(dt).alias("datatype"), F.lit("").alias("lang"))
 
 
-def network(spark: SparkSession, d: str) -> DataFrame:
-    """The tables as a graph."""
+def network(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The tables as a graph: the triples of each predicate."""
     text, whole = XSD + "string", XSD + "integer"
-    part, orders, items, region, events = (table(spark, d, x) for x in ("part", "orders", "lineitem", "region", "events"))
+    part, orders, items, region, events, supplier = (table(spark, d, x) for x in ("part", "orders", "lineitem", "region", "events", "supplier"))
     station, route, seq, zone, event = _iri("part", "p_partkey"), _iri("order", "o_orderkey"), _iri("seq", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), _iri("zone", "r_regionkey"), _iri("event", "event_id")
     name = lambda label, key: F.concat(F.lit(label + " "), F.col(key).cast("string"))
     tree = spark.createDataFrame([(NS + a, RDFS + "subClassOf", NS + b, "iri", "", "") for a, b in TREE], "s string, p string, o string, o_kind string, datatype string, lang string")
@@ -67,11 +60,28 @@ def network(spark: SparkSession, d: str) -> DataFrame:
         _rows(items, seq, NS + "stopSequenceNumber", F.col("l_linenumber").cast("string"), "literal", whole),
         _rows(events, event, RDF_TYPE, F.concat(F.lit(NS), F.col("event_type"))),
         _rows(events, event, NS + "affectsUser", _iri("user", "user_id")),
-        tree,
+        _rows(events.where("event_type = 'click'"), event, NS + "affectsRoute", _iri("order", "user_id")),
+        _rows(events.where("event_type = 'error'"), event, NS + "affectsStop", _iri("part", "user_id")),
+        _rows(events, event, NS + "hasStatus", _iri("status", "event_type")),
+        _rows(events, event, NS + "hasCause", _iri("cause", "event_type")),
+        _rows(events, event, NS + "disruptionDate", F.date_format("ts", "yyyy-MM-dd"), "literal", XSD + "date"),
+        _rows(events.select("event_type").distinct(), _iri("status", "event_type"), RDFS + "label", F.concat(F.lit("Status "), "event_type"), "literal", text),
+        _rows(events.where("event_type <> 'view'").select("event_type").distinct(), _iri("cause", "event_type"), RDF_TYPE, F.lit(NS + "Strike")),
+        _rows(orders, route, NS + "operationStartTime", F.concat(F.lit("0"), (F.col("o_orderkey") % 10).cast("string"), F.lit(":00:00")), "literal", XSD + "time"),
+        _rows(orders, route, NS + "operationEndTime", F.lit("23:30:00"), "literal", XSD + "time"),
+        _rows(orders.where("o_orderstatus <> 'P'"), route, NS + "operatingDays", F.concat(F.lit("days "), "o_orderstatus"), "literal", text),
+        _rows(orders, route, NS + "hasPeakPeriod", _iri("peak", "o_orderstatus")),
+        _rows(orders, route, NS + "hasOffPeakPeriod", _iri("offpeak", "o_orderstatus")),
+        *[_rows(orders.select("o_orderstatus").distinct(), _iri(k, "o_orderstatus"), NS + p, F.concat(F.lit(f"{h}:00:0"), F.length("o_orderstatus").cast("string")), "literal", XSD + "time") for k, p, h in (("peak", "startTime", "07"), ("peak", "endTime", "10"), ("offpeak", "startTime", "11"), ("offpeak", "endTime", "16"))],
+        _rows(supplier, _iri("project", "s_suppkey"), RDF_TYPE, F.lit(NS + "LineExpansion")),
+        _rows(supplier, _iri("project", "s_suppkey"), NS + "targetsInfrastructure", _iri("order", "s_suppkey")),
+        _rows(supplier, _iri("project", "s_suppkey"), NS + "hasProjectStatus", F.when(F.col("s_suppkey") % 2 == 0, NS + "Completed").otherwise(NS + "Planned")),
+        _rows(supplier, _iri("project", "s_suppkey"), NS + "expectedCompletionDate", F.concat((F.col("s_suppkey") + 2000).cast("string"), F.lit("-01-01")), "literal", XSD + "date"),
+        (RDFS + "subClassOf", tree),
     ]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
+    out: dict[str, DataFrame] = {}
+    for predicate, rows in parts:
+        out[predicate] = out[predicate].unionByName(rows) if predicate in out else rows
     return out
 
 
@@ -98,6 +108,23 @@ SPARQL: dict[str, tuple[str, str]] = {
         "SELECT ?stationName (COUNT(?l) AS ?linesServed) WHERE { ?l :hasStop ?s . ?s :hasName ?stationName . } GROUP BY ?stationName HAVING (COUNT(?l) > 1)",
         "SELECT 'Part ' || l_partkey AS \"stationName\", CAST(count(DISTINCT l_orderkey) AS VARCHAR) AS \"linesServed\" FROM lineitem GROUP BY l_partkey HAVING count(DISTINCT l_orderkey) > 1",
     ),
+    "sparql_q6_routes": (
+        """SELECT ?stationsList ?routesList WHERE { ?a :hasName ?an . ?b :hasName ?bn . FILTER(STR(?an) = "Part 10") FILTER(STR(?bn) = "Part 20")
+        { ?s1 a :RouteStopSequence ; :sequenceStop ?a ; :belongsToRoute ?r1 ; :stopSequenceNumber ?m1 . ?e1 a :RouteStopSequence ; :sequenceStop ?b ; :belongsToRoute ?r1 ; :stopSequenceNumber ?n1 . FILTER(?m1 < ?n1)
+          ?a :hasName ?x . ?b :hasName ?y . ?r1 :hasName ?q1 . BIND(CONCAT("[", ?x, ", ", ?y, "]") AS ?stationsList) BIND(CONCAT("[", ?q1, "]") AS ?routesList) } UNION
+        { ?s1 a :RouteStopSequence ; :sequenceStop ?a ; :belongsToRoute ?r1 ; :stopSequenceNumber ?m1 . ?e1 a :RouteStopSequence ; :sequenceStop ?c ; :belongsToRoute ?r1 ; :stopSequenceNumber ?n1 . FILTER(?m1 < ?n1)
+          ?s2 a :RouteStopSequence ; :sequenceStop ?c ; :belongsToRoute ?r2 ; :stopSequenceNumber ?m2 . ?e2 a :RouteStopSequence ; :sequenceStop ?b ; :belongsToRoute ?r2 ; :stopSequenceNumber ?n2 . FILTER(?m2 < ?n2) FILTER(?r1 != ?r2)
+          ?a :hasName ?x . ?b :hasName ?y . ?r1 :hasName ?q1 . ?c a :InterchangeStation ; :hasName ?z . ?r2 :hasName ?q2 . BIND(CONCAT("[", ?x, ", ", ?z, ", ", ?y, "]") AS ?stationsList) BIND(CONCAT("[", ?q1, ", ", ?q2, "]") AS ?routesList) } UNION
+        { ?s1 a :RouteStopSequence ; :sequenceStop ?a ; :belongsToRoute ?r1 ; :stopSequenceNumber ?m1 . ?e1 a :RouteStopSequence ; :sequenceStop ?c ; :belongsToRoute ?r1 ; :stopSequenceNumber ?n1 . FILTER(?m1 < ?n1)
+          ?s2 a :RouteStopSequence ; :sequenceStop ?c ; :belongsToRoute ?r2 ; :stopSequenceNumber ?m2 . ?e2 a :RouteStopSequence ; :sequenceStop ?g ; :belongsToRoute ?r2 ; :stopSequenceNumber ?n2 . FILTER(?m2 < ?n2) FILTER(?r1 != ?r2)
+          ?s3 a :RouteStopSequence ; :sequenceStop ?g ; :belongsToRoute ?r3 ; :stopSequenceNumber ?m3 . ?e3 a :RouteStopSequence ; :sequenceStop ?b ; :belongsToRoute ?r3 ; :stopSequenceNumber ?n3 . FILTER(?m3 < ?n3) FILTER(?r2 != ?r3)
+          ?a :hasName ?x . ?b :hasName ?y . ?r1 :hasName ?q1 . ?c a :InterchangeStation ; :hasName ?z . ?g a :InterchangeStation ; :hasName ?w . ?r2 :hasName ?q2 . ?r3 :hasName ?q3 .
+          BIND(CONCAT("[", ?x, ", ", ?z, ", ", ?w, ", ", ?y, "]") AS ?stationsList) BIND(CONCAT("[", ?q1, ", ", ?q2, ", ", ?q3, "]") AS ?routesList) } }""",
+        f"""WITH l AS MATERIALIZED (SELECT s.r, s.p AS a, e.p AS b FROM {_SEQ} s JOIN {_SEQ} e ON s.r = e.r AND s.n < e.n), i AS MATERIALIZED (SELECT p_partkey AS k FROM part WHERE p_size > 40)
+        SELECT '[Part 10, Part 20]' AS "stationsList", '[Order ' || r || ']' AS "routesList" FROM l WHERE a = 10 AND b = 20
+        UNION ALL SELECT '[Part 10, Part ' || x.b || ', Part 20]', '[Order ' || x.r || ', Order ' || y.r || ']' FROM l x JOIN i ON x.b = k JOIN l y ON y.a = x.b AND y.r <> x.r WHERE x.a = 10 AND y.b = 20
+        UNION ALL SELECT '[Part 10, Part ' || x.b || ', Part ' || y.b || ', Part 20]', '[Order ' || x.r || ', Order ' || y.r || ', Order ' || z.r || ']' FROM l x JOIN i ON x.b = i.k JOIN l y ON y.a = x.b AND y.r <> x.r JOIN i j ON y.b = j.k JOIN l z ON z.a = y.b AND z.r <> y.r WHERE x.a = 10 AND z.b = 20""",
+    ),
     "sparql_q7_zone_services": (
         "SELECT DISTINCT ?stationName ?lineName WHERE { ?z :zoneNumber 1 . ?s :hasZone ?z ; :hasName ?stationName . ?l :hasStop ?s ; :hasName ?lineName . }",
         "SELECT DISTINCT 'Part ' || l_partkey AS \"stationName\", 'Order ' || l_orderkey AS \"lineName\" FROM lineitem WHERE l_partkey % 5 = 0 AND l_partkey % 7 <> 0",
@@ -118,14 +145,38 @@ SPARQL: dict[str, tuple[str, str]] = {
         "SELECT ?e ?u WHERE { ?e rdf:type/rdfs:subClassOf* :PlannedDisruption . { ?e :affectsUser ?u . } UNION { ?e :affectsStop ?u . } }",
         f"SELECT '{NS}event-' || event_id AS e, '{NS}user-' || user_id AS u FROM events WHERE event_type = 'click'",
     ),
+    "sparql_q13_opening_times": (
+        'SELECT ?routeName ?openTime ?closeTime ?days WHERE { ?route rdf:type/rdfs:subClassOf* :Route ; :hasName ?routeName ; :operationStartTime ?openTime ; :operationEndTime ?closeTime ; :operatingDays ?days . }',
+        "SELECT 'Order ' || o_orderkey AS \"routeName\", '0' || (o_orderkey % 10) || ':00:00' AS \"openTime\", '23:30:00' AS \"closeTime\", 'days ' || o_orderstatus AS days FROM orders WHERE o_orderstatus <> 'P'",
+    ),
+    "sparql_q14_disruptions": (
+        "SELECT DISTINCT ?affectedName ?statusLabel WHERE { ?disruption a ?disruptionType ; :hasStatus ?status . { ?disruption :affectsRoute ?affected . } UNION { ?disruption :affectsStop ?affected . } ?affected :hasName ?affectedName . ?status rdfs:label ?statusLabel . }",
+        "SELECT DISTINCT 'Order ' || o_orderkey AS \"affectedName\", 'Status click' AS \"statusLabel\" FROM events JOIN orders ON o_orderkey = user_id WHERE event_type = 'click' UNION SELECT 'Part ' || p_partkey, 'Status error' FROM events JOIN part ON p_partkey = user_id WHERE event_type = 'error'",
+    ),
+    "sparql_q15_expansions": (
+        "SELECT ?lineName ?completionDate WHERE { ?line rdf:type/rdfs:subClassOf* :Line ; :hasName ?lineName . ?project a :LineExpansion ; :targetsInfrastructure ?line ; :hasProjectStatus :Completed ; :expectedCompletionDate ?completionDate . }",
+        "SELECT 'Order ' || o_orderkey AS \"lineName\", (2000 + s_suppkey) || '-01-01' AS \"completionDate\" FROM orders JOIN supplier ON s_suppkey = o_orderkey WHERE o_orderpriority LIKE '1%' AND s_suppkey % 2 = 0",
+    ),
+    "sparql_q16_projects": (
+        "SELECT ?targetName ?projectType ?expectedDate WHERE { ?project rdf:type/rdfs:subClassOf* :InfrastructureProject ; :hasProjectStatus ?status ; :targetsInfrastructure ?target ; :expectedCompletionDate ?expectedDate . FILTER(?status != :Completed) ?target :hasName ?targetName . }",
+        "SELECT 'Order ' || o_orderkey AS \"targetName\", NULL AS \"projectType\", (2000 + s_suppkey) || '-01-01' AS \"expectedDate\" FROM orders JOIN supplier ON s_suppkey = o_orderkey WHERE s_suppkey % 2 = 1",
+    ),
     "sparql_q16_not_equal": (
         "SELECT ?name ?kind WHERE { ?r rdf:type/rdfs:subClassOf* :Route ; :hasName ?name ; a ?t . FILTER(?t != :Line) }",
         "SELECT 'Order ' || o_orderkey AS name, NULL AS kind FROM orders WHERE o_orderpriority NOT LIKE '1%'",
     ),
+    "sparql_q17_peak_times": (
+        "SELECT ?lineName ?peakStart ?peakEnd ?offPeakStart ?offPeakEnd WHERE { ?line rdf:type/rdfs:subClassOf* :Line ; :hasName ?lineName ; :hasPeakPeriod ?peak ; :hasOffPeakPeriod ?offPeak . ?peak :startTime ?peakStart ; :endTime ?peakEnd . ?offPeak :startTime ?offPeakStart ; :endTime ?offPeakEnd . }",
+        "SELECT 'Order ' || o_orderkey AS \"lineName\", '07:00:01' AS \"peakStart\", '10:00:01' AS \"peakEnd\", '11:00:01' AS \"offPeakStart\", '16:00:01' AS \"offPeakEnd\" FROM orders WHERE o_orderpriority LIKE '1%'",
+    ),
     "sparql_q18_if_error": (
         'SELECT ?name (IF(?b, "24-Hour Service", "Limited Service") AS ?service) WHERE { ?r rdf:type/rdfs:subClassOf* :Route ; :hasName ?name . OPTIONAL { ?r :hasScheduleType :TwentyFourHourService . BIND(true AS ?b) } }',
         "SELECT 'Order ' || o_orderkey AS name, CASE WHEN o_orderstatus = 'F' THEN '24-Hour Service' END AS service FROM orders",
     ),
+    "sparql_q19_strikes": (
+        "SELECT ?affectedName ?disruptionDate WHERE { ?disruption rdf:type/rdfs:subClassOf* :SignificantDisruption ; :hasCause ?cause ; :disruptionDate ?disruptionDate . ?cause rdf:type/rdfs:subClassOf* :IndustrialAction . { ?disruption :affectsRoute ?affected . } UNION { ?disruption :affectsStop ?affected . } ?affected :hasName ?affectedName . }",
+        "SELECT 'Part ' || p_partkey AS \"affectedName\", strftime(ts, '%Y-%m-%d') AS \"disruptionDate\" FROM events JOIN part ON p_partkey = user_id WHERE event_type = 'error'",
+    ),
     "sparql_q20_cause_counts": (
         "SELECT ?kind (COUNT(DISTINCT ?e) AS ?total) WHERE { ?e :affectsUser ?u ; a ?kind . FILTER(?kind != :view && ?kind != owl:NamedIndividual) } GROUP BY ?kind ORDER BY DESC(?total)",
         f"SELECT '{NS}' || event_type AS kind, CAST(count(DISTINCT event_id) AS VARCHAR) AS total FROM events WHERE event_type <> 'view' GROUP BY event_type",
@@ -138,42 +189,14 @@ SPARQL: dict[str, tuple[str, str]] = {
 
 
 def _sparql(text: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, d: Engine(network(spark, d)).query(_P + text)
+    return lambda spark, d: Engine(parts=network(spark, d)).query(_P + text)
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents")
 
 
-def _nation_triplets(spark: SparkSession, d: str) -> DataFrame:
-    n, r = table(spark, d, "nation"), table(spark, d, "region")
-    j = n.join(r, n["n_regionkey"] == r["r_regionkey"])
-    a = j.select(F.col("n_nationkey").cast("long").alias("seq"), F.col("n_name").alias("subject"), F.lit("located in").alias("predicate"), F.col("r_name").alias("object"))
-    b = n.select((F.col("n_nationkey") + 100).cast("long").alias("seq"), F.col("n_name").alias("subject"), F.lit("number").alias("predicate"), F.col("n_nationkey").cast("string").alias("object"))
-    return a.union(b)
-
-
-_NT = "(SELECT CAST(n_nationkey AS BIGINT) AS seq, n_name AS subject, 'located in' AS predicate, r_name AS object FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT n_nationkey + 100, n_name, 'number', CAST(n_nationkey AS VARCHAR) FROM nation)"
-
-
-def _tsv(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "nation")
-    text = F.concat_ws("\n", F.lit("0"), F.concat(F.lit('name\t"'), F.col("n_name"), F.lit('"')), F.concat(F.lit("regionKey\t"), F.col("n_regionkey").cast("string")))
-    return tsv_triplets(n.select(F.col("n_nationkey").cast("string").alias("doc_id"), text.alias("text"))).select("subject", "predicate", "object")
-
-
-def _embedding_links(spark: SparkSession, d: str) -> DataFrame:
-    return _links(table(spark, d, "embeddings").where("label = 0"))
-
-
-def _links(vectors: DataFrame) -> DataFrame:
-    e = vectors.select("vec_id", "embedding")
-    a, b = e.alias("a"), e.alias("b")
-    return a.join(b, F.col("a.vec_id") < F.col("b.vec_id")).where(cosine(F.col("a.embedding"), F.col("b.embedding")) >= 0.4).select(F.col("a.vec_id").alias("src"), F.col("b.vec_id").alias("dst"))
-
-
 _COS = "list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))"
-_LINKS = f"SELECT a.vec_id AS src, b.vec_id AS dst FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE a.label = 0 AND b.label = 0 AND {_COS} >= 0.4"
 
 
 def _knn(spark: SparkSession, d: str) -> DataFrame:
@@ -181,23 +204,6 @@ def _knn(spark: SparkSession, d: str) -> DataFrame:
     return L.knn(e.where("vec_id % 20 = 0"), e).select("name", "near", "kind", "rank")
 
 
-def _chain(spark: SparkSession, d: str) -> DataFrame:
-    i = table(spark, d, "lineitem")
-    a, b = i.alias("a"), i.alias("b")
-    e = a.join(b, (F.col("a.l_orderkey") == F.col("b.l_orderkey")) & (F.col("b.l_linenumber") == F.col("a.l_linenumber") + 1))
-    step = lambda x: F.concat_ws("-", F.col(f"{x}.l_orderkey").cast("string"), F.col(f"{x}.l_linenumber").cast("string"))
-    return transitive_closure(e.select(step("a").alias("src"), step("b").alias("dst")))
-
-
-def _nation_graph(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "nation")
-    pt = "http://example.org/pt#"
-    base = n.select(F.concat(F.lit(pt), "n_name").alias("s"), F.lit(pt + "operates").alias("p"), F.concat(F.lit(pt + "r"), F.col("n_regionkey").cast("string")).alias("o"), F.lit(False).alias("is_literal"), F.lit("").alias("datatype"))
-    return base.union(base.select("s", F.lit(pt + "relatedTo"), "o", "is_literal", "datatype")).union(base.select("s", F.lit(RDFS + "label"), F.lit("x"), F.lit(True), F.lit("")))
-
-
-_PT = "http://example.org/pt#"
-_NG = f"(SELECT '{_PT}' || n_name AS s, '{_PT}r' || n_regionkey AS o FROM nation)"
 _WS = r"'\s+'"
 _SENT = r"list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x, ' ' || chr(10) || chr(9) || chr(13))), lambda x: x <> '')"
 
@@ -205,21 +211,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _sparql(v[0])
     "text_normalize": lambda s, d: _docs(s, d).select("doc_id", T.collapse(F.col("text")).alias("text")),
     "text_sentences": lambda s, d: _docs(s, d).select("doc_id", F.posexplode(T.sentences(F.col("text"))).alias("n", "sentence")),
     "text_tokens": lambda s, d: _docs(s, d).select("doc_id", F.explode(T.tokens(F.col("text"))).alias("token")).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n")),
-    "text_mentions": lambda s, d: _docs(s, d).select("doc_id", F.explode(T.mentions(F.col("text"))).alias("mention")),
-    "text_chunks_words": lambda s, d: _docs(s, d).select("doc_id", F.posexplode(T.greedy_chunks(T.sentences(F.col("text")), 350)).alias("n", "chunk")),
-    "literal_type": lambda s, d: table(s, d, "part").select("p_partkey", T.literal_datatype(F.col("p_size").cast("string")).alias("a"), T.literal_datatype(F.col("p_name")).alias("b"), T.is_literal(F.col("p_name")).alias("c")),
     "slug": lambda s, d: table(s, d, "part").select("p_partkey", T.slug(F.col("p_type")).alias("slug"), T.equality_norm(F.col("p_name")).alias("norm")),
     "block_tokens": lambda s, d: table(s, d, "part").select("p_partkey", F.explode(T.block_tokens(F.col("p_name"))).alias("token")),
-    "tsv_blocks": _tsv,
-    "usage_examples": lambda s, d: TR.usage_examples(_nation_triplets(s, d)),
-    "has_literal": lambda s, d: TR.has_literal(_nation_triplets(s, d)),
-    "entity_names": lambda s, d: TR.names(_nation_triplets(s, d)),
     "knn_topk": _knn,
-    "components": lambda s, d: connected_components(_embedding_links(s, d)),
-    "components_all": lambda s, d: connected_components(_links(table(s, d, "embeddings"))),
-    "chain_transitive": _chain,
-    "reason_rules": lambda s, d: G.reason(_nation_graph(s, d)).select("s", "p", "o"),
-    "validate_report": lambda s, d: G.report(_nation_graph(s, d)),
     "hash_documents": lambda s, d: _docs(s, d).select("doc_id", F.sha2("text", 256).alias("sha256")),
 }
 
@@ -227,16 +221,8 @@ ORACLE: dict[str, str] = {k: v[1] for k, v in SPARQL.items()} | {
     "text_normalize": f"SELECT doc_id, trim(regexp_replace(text, {_WS}, ' ', 'g')) AS text FROM documents",
     "text_sentences": f"SELECT doc_id, CAST(unnest(range(len(s))) AS INTEGER) AS n, unnest(s) AS sentence FROM (SELECT doc_id, {_SENT} AS s FROM documents)",
     "text_tokens": "SELECT doc_id, token, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[\\p{L}\\p{N}_]+')) AS token FROM documents) GROUP BY doc_id, token",
-    "literal_type": "SELECT p_partkey, 'xsd:integer' AS a, 'xsd:string' AS b, false AS c FROM part",
     "slug": "SELECT p_partkey, regexp_replace(regexp_replace(p_type, '[^A-Za-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS norm FROM part",
     "block_tokens": "SELECT DISTINCT p_partkey, token FROM (SELECT p_partkey, unnest(regexp_extract_all(lower(p_name), '[a-z0-9]+')) AS token FROM part) WHERE length(token) > 2 AND token NOT IN (" + ", ".join(f"'{w}'" for w in T.STOP_WORDS) + ")",
-    "tsv_blocks": "SELECT n_name AS subject, 'region key' AS predicate, CAST(n_regionkey AS VARCHAR) AS object FROM nation",
-    "usage_examples": f"SELECT name, n, example FROM (SELECT name, row_number() OVER (PARTITION BY name ORDER BY seq, role) AS n, example FROM (SELECT subject AS name, 0 AS role, seq, '\"' || subject || '\" → ' || predicate || ' → \"' || object || '\"' AS example FROM {_NT} UNION ALL SELECT object, 1, seq, '\"' || subject || '\" → ' || predicate || ' → \"' || object || '\"' FROM {_NT})) WHERE n <= 3",
-    "has_literal": f"SELECT predicate, bool_or(regexp_full_match(object, '[+-]?\\d+')) AS has_literal FROM {_NT} GROUP BY predicate",
-    "entity_names": f"SELECT DISTINCT 'entities' AS base_category, subject AS name FROM {_NT} UNION SELECT 'entities', object FROM {_NT} WHERE NOT regexp_full_match(object, '[+-]?\\d+') UNION SELECT 'relations', predicate FROM {_NT}",
     "knn_topk": f"SELECT name, near, kind, rank FROM (SELECT lpad(CAST(a.vec_id AS VARCHAR), 9, '0') AS name, lpad(CAST(b.vec_id AS VARCHAR), 9, '0') AS near, CAST(b.label AS VARCHAR) AS kind, row_number() OVER (PARTITION BY a.vec_id ORDER BY {_COS} DESC, b.vec_id DESC) AS rank FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0) WHERE rank <= 3",
-    "components": f"WITH RECURSIVE l AS ({_LINKS}), e AS (SELECT src, dst FROM l UNION SELECT dst, src FROM l), r AS (SELECT src AS node, src AS seen FROM e UNION SELECT r.node, e.dst FROM r JOIN e ON r.seen = e.src) SELECT node, min(seen) AS component FROM r GROUP BY node",
-    "reason_rules": f"SELECT DISTINCT s, '{RDF_TYPE}' AS p, '{_PT}ConnectedEntity' AS o FROM {_NG} UNION SELECT o, '{_PT}operatedBy', s FROM {_NG} UNION SELECT o, '{_PT}relatedTo', s FROM {_NG}",
-    "validate_report": "SELECT 3 * count(*) AS triple_count, true AS has_relation, CAST(0 AS BIGINT) AS iri_errors, CAST(0 AS BIGINT) AS unmapped_predicates, CAST(0 AS BIGINT) AS linking_conflicts FROM nation",
     "hash_documents": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
 }

@@ -1,16 +1,15 @@
-"""Turtle files as a triples DataFrame, and triples as Turtle or N-Triples text."""
+"""Turtle text as rows of a graph, and a graph as Turtle, N-Triples or RDF/XML text."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ternion.plans.sparql.parser import unescape
-from ternion.schema import GRAPH, PREFIXES, RDF, RDF_TYPE, XSD
+from ternion.schema import PREFIXES, RDF, RDF_TYPE, XSD
 
 _TOKEN = re.compile(
     r"""(?P<skip>\s+|\#[^\n]*)|(?P<iri><[^<>"{}|^`\s]*>)|(?P<str>\"\"\"(?:[^\\]|\\.)*?\"\"\"|'''(?:[^\\]|\\.)*?'''|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')
@@ -137,53 +136,6 @@ def parse_turtle(text: str, scope: str = "") -> Iterator[tuple[str, str, str, st
         rows.clear()
 
 
-class TurtleSource(DataSource):
-    """``spark.read.format("turtle").load(path)`` for files that the driver and all executors can open."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "turtle"
-
-    def schema(self) -> str:
-        return GRAPH
-
-    def reader(self, schema: object) -> DataSourceReader:
-        return _Reader(self.options["path"])
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path.removeprefix("file://")
-
-    def partitions(self) -> list[InputPartition]:
-        import glob
-        import os
-
-        found = sorted(glob.glob(os.path.join(self.path, "*.ttl")) if os.path.isdir(self.path) else glob.glob(self.path))
-        if not found:
-            raise FileNotFoundError(self.path)
-        return [InputPartition(p) for p in found]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        with open(partition.value, encoding="utf-8") as f:
-            yield from parse_turtle(f.read(), f"f{abs(hash(partition.value)) % 10**6}_")
-
-
-def read_graph(spark: SparkSession, path: str) -> DataFrame:
-    """All triples of Turtle files at a path or glob, through Spark's own reader: a set, with term kinds."""
-    files = spark.read.format("binaryFile").load(path).select("path", F.decode("content", F.lit("UTF-8")).alias("text"))
-
-    def parse(batches):
-        import pandas as pd
-
-        names = [f.split()[0] for f in GRAPH.split(", ")]
-        for pdf in batches:
-            rows = [r for p, t in zip(pdf["path"], pdf["text"], strict=True) for r in parse_turtle(t, f"f{sum(p.encode()) % 9973}_")]
-            yield pd.DataFrame(rows, columns=names)
-
-    return files.mapInPandas(parse, GRAPH).distinct()
-
-
 def _quoted(c: Column) -> Column:
     for a, b in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         c = F.replace(c, F.lit(a), F.lit(b))

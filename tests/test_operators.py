@@ -41,6 +41,7 @@ def test_text_functions(spark):
 @pytest.mark.parametrize(
     ("text", "want"),
     [("<triplet> TfL <subj> London Underground <obj> operator", [("TfL", "operator", "London Underground")]), ("<triplet> TfL <subj> x", []), ("", []), ("plain text", []),
+     ("<triplet> A <subj> B <obj> p <subj> C <obj> q", [("A", "p q", "B C")]), ("<triplet> A <subj>B <obj> p", []),
      ("<s><triplet> A <subj> B <obj> p <triplet> C <subj> D <obj> q</s>", [("A", "p", "B"), ("C", "q", "D")])],
 )
 def test_linearised(spark, text, want):
@@ -59,9 +60,11 @@ def test_structured(spark):
     data = {"name": "Red", "lineColor": "r", "open": True, "stops": ["A", {"name": "B", "zone": 2}], "skip": None}
     assert list(json_triplets_of(data)) == [("Red", "line color", "r"), ("Red", "open", "True"), ("Red", "stops", "A"), ("Red", "stops", "B"), ("B", "zone", "2")]
     assert list(json_triplets_of({"lines": [{"name": "x", "a": 1}]})) == []
-    text = '0\nmodeName\t"bus"\nisTflService\t"true"\n1\nfoo\tbar\n'
+    nested = {"name": "N", "a": {"stationName": "S", "zone": 1}, "b": [{"naptanId": "X", "zone": 2}, {"stationName": "T", "zone": 3}]}
+    assert list(json_triplets_of(nested)) == [("S", "zone", "1"), ("N", "b", "X"), ("X", "zone", "2"), ("T", "zone", "3")]
+    text = '0\nmodeName\t"bus"\nisTflService\t"true"\tx\n1\nfoo\tbar\n2\tU\nline\t{ id: "L7" }\nzone\t4\n'
     got = tsv_triplets(spark.createDataFrame([("d", text)], "doc_id string, text string")).collect()
-    assert [(r.subject, r.predicate, r.object) for r in got] == [("bus", "is tfl service", "true")]
+    assert [(r.subject, r.predicate, r.object) for r in got] == [("bus", "is tfl service", "true"), ("L7", "2", "U"), ("L7", "zone", "4")]
 
 
 def test_components_and_closure(spark):
@@ -99,7 +102,42 @@ def test_mapping_and_construction(spark):
     nodes = G.map_nodes(t, names, cat)
     edges = G.map_edges(t, nodes, names, cat)
     assert {r.name for r in nodes.collect()} == {"TfL", "Central line", "Route 73"}
+    assert {r.name: r.id for r in nodes.collect()} == {"Central line": "ent_1", "Route 73": "ent_2", "TfL": "ent_3"}
+    known = spark.createDataFrame([("Route 73", "class", "The 73", ""), ("stops", "datatype_property", "Stops At", "")], "name string, kind string, label string, comment string")
+    learned = G.schema_catalog(spark, spark.createDataFrame([(1, "classes", " route  73", "urn:r")], "ord long, role string, label string, iri string"))
+    shut, open_ = G.map_nodes(t, known, cat), G.map_nodes(t, known, learned)
+    assert {r.name: r.id for r in shut.collect()} == {"Central line": "ent_1", "TfL": "ent_3"} and {r.name for r in G.map_nodes(t, known, cat, demote=True).collect()} == {"Central line", "Route 73", "TfL"}
+    mapped = {r.name: (r.label, r.class_iri, r.is_class) for r in open_.collect()}
+    assert mapped["Route 73"] == ("The 73", "http://example.org/tfl#Route_73", True)
+    stop = G.map_edges(t, open_, known, learned).where("seq = 2").first()
+    assert (stop.predicate_label, stop.predicate_iri, stop.predicate_kind, stop.mapped) == ("Stops At", "http://example.org/tfl#stops", "datatype_property", False)
+    assert G.construct(nodes, edges.where("seq = 1")).where("s LIKE '%stmt/%'").first().s.endswith("stmt/1")
     e = {r.seq: r for r in edges.collect()}
     assert e[1].object_id and e[1].predicate_iri.endswith("#operates") and e[2].object_literal == "42" and e[2].object_datatype.endswith("integer")
     triples = G.construct(nodes, edges)
     assert not G.validate(triples)["failed"] and G.to_graph(triples).count() == triples.distinct().count()
+
+
+def test_ranks_and_blocks(spark):
+    from ternion.plans.lineage import ranked
+
+    rows = spark.createDataFrame([(x,) for x in ["b", "a", "c", None, "a"]], "x string").repartition(3)
+    assert [(r.x, r["rank"]) for r in ranked(rows, "x").orderBy("rank").collect()] == [(None, 1), ("a", 2), ("a", 3), ("b", 4), ("c", 5)]
+    vectors = spark.createDataFrame([("p", [1.0, 0.0]), ("q", [1.0, 0.1]), ("r", [0.0, 0.0]), ("s", [1.0]), ("t", None)], "name string, vec array<double>")
+    got = {(r.a, r.b): round(r.score, 3) for r in L.similar(vectors, vectors).collect()}
+    assert got[("p", "q")] == 0.995 and got[("p", "r")] == got[("p", "s")] == got[("p", "t")] == 0 and len(got) == 20
+    near = {(r.name, r["rank"]): r.near for r in L.knn(vectors, vectors.withColumn("kind", F.lit("k")), 2).collect()}
+    assert near[("p", 1)] == "q" and near[("p", 2)] == "t" and near[("r", 1)] == "t"
+
+
+def test_common_tokens_meet_in_parts(spark, monkeypatch):
+    rows = [(f"line {i} {w}", i % 2 == 0, [float(i % 3), 1.0]) for i, w in enumerate(["red", "blue", "red", "green", "blue", "red", "old"])]
+    items = spark.createDataFrame(rows, "name string, is_new boolean, vec array<double>")
+    want = {(r.a, r.b) for r in L.blocked_pairs(items).collect()}
+    monkeypatch.setattr(L, "TOKEN_NAMES", 2)
+    assert want and {(r.a, r.b) for r in L.blocked_pairs(items).collect()} == want
+
+
+def test_union_find_needs_few_rounds(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "src long, dst long")
+    assert transitive_closure(chain).count() == 40 * 41 // 2

@@ -4,13 +4,13 @@ import math
 import random
 import re
 
-from ternion.plans import workload
+from ternion.plans import operator_queries
 
 
 def test_mentions_of_every_language(spark, tmp_path):
     rows = [(1, "Le Pont Neuf est ici", "fr"), (2, "Der Alte Markt", None), (3, "The Big Ben rang", "en"), (4, None, "de"), (5, "rien", "fr")]
     spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {(r.doc_id, r.mention) for r in workload.QUERIES["text_mentions"](spark, str(tmp_path)).collect()}
+    got = {(r.doc_id, r.mention) for r in operator_queries.QUERIES["text_mentions"](spark, str(tmp_path)).collect()}
     assert got == {(i, m) for i, t, _ in rows for m in re.findall(r"\b[A-Z][a-zA-Z]+(?:\s+[A-Z][a-zA-Z]+)*\b", t or "")}
 
 
@@ -26,5 +26,5 @@ def test_components_of_all_labels(spark, tmp_path):
             for j, _, b in rows:
                 if i != j and near(a, b):
                     least[i] = least[j] = min(least[i], least[j])
-    got = {r.node: r.component for r in workload.QUERIES["components_all"](spark, str(tmp_path)).collect()}
+    got = {r.node: r.component for r in operator_queries.QUERIES["components"](spark, str(tmp_path)).collect()}
     assert got == {i: least[i] for i in linked}
