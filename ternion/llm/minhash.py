@@ -10,14 +10,17 @@ that fills all slots with high probability, and further for documents with empty
 document costs one comparison per shingle and not one per shingle and slot.
 
 Search. Bands of signature entries give buckets; in each bucket every member is compared with the
-bucket's most connected member by exact multiset overlap of the texts; then the documents of each group that
-buckets connect and that still has several components are compared with each other exactly, block by block
-of bounded size, and only links leave a task. No bucket is capped and no pair within a group is spelled out.
-Equal texts are joined beforehand through a digest.
+bucket's most connected member by exact multiset overlap of the texts; then, in each group that buckets connect and
+that still has several components, the documents outside its largest component are compared with all of the group
+exactly, block by block of bounded size, and only links leave a task. So a text is copied once for every `BLOCK`
+documents outside that component, however large it is. No bucket is capped and no pair within a group is spelled out.
+Equal texts are joined beforehand through a digest. Grouped counts are written before they are joined back, so the
+rows of a very large group are split among tasks by the adaptive join.
 
 Nulls and edge cases: a null text is a document of its own; texts without words are joined only with equal
 texts; texts of one to four words have a single shingle; rows with a null doc_id are returned with a null
-class; repeated doc_ids are one document; other columns are ignored; an empty table gives no rows.
+class; rows of one doc_id are one document, which stands for all its texts in buckets and for the smallest of them
+in comparisons; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ from ternion.llm.tables import small_batches
 from ternion.operators.components import connected_components
 from ternion.plans.lineage import cut
 
-SIMILARITY, BANDS, ROWS, BLOCK = 0.8, 20, 5, 512
+SIMILARITY, BANDS, ROWS, BLOCK, WIDE = 0.8, 20, 5, 512, 2048
 _GOLD, _SLOT, _PLACE = 0x9E3779B97F4A7C15, 0xA0761D6478BD642F, tb.U(0xE7037ED1A0B428DB)
 _MASK = (1 << 64) - 1
 _UNIT = 2.0**-53
@@ -162,7 +165,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     first = light.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
     copies = (
         light.select("doc_id", "digest")
-        .join(first.where("n > 1"), "digest")
+        .join(cut(first.where("n > 1"), "mh-first"), "digest")
         .where("doc_id <> rep")
         .select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     )
@@ -170,16 +173,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     banded = light.join(copies.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_anti").select(
         F.col("doc_id").alias("id"), F.explode("keys").alias("key")
     )
-    sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    sizes = cut(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "mh-sizes")
     shared = cut(banded.join(sizes, "key"), "mh-shared")
     # A text that many others were made from shares more buckets with them than they share among themselves.
     weight = shared.groupBy("id").agg(F.sum("n").alias("w"))
     ranked = shared.join(weight, "id").select("key", "id", F.struct("w", (-F.col("id")).alias("i")).alias("r"))
-    leaders = ranked.groupBy("key").agg((-F.max("r").getField("i")).alias("a"))
+    leaders = cut(ranked.groupBy("key").agg((-F.max("r").getField("i")).alias("a")), "mh-leaders")
     members = cut(shared.select("key", "id").join(leaders, "key"), "mh-members")
     # All later steps read the texts of documents in shared buckets alone; one plan at every size.
     ids = shared.select(F.col("id").alias("doc_id")).distinct().hint("merge")
-    texts = cut(known.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "mh-texts")
+    texts = cut(known.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "mh-texts")
     stars = members.where("id <> a").select("a", F.col("id").alias("b")).distinct()
     scored = cut(similarities(stars, texts), "mh-scored")
     links = scored.where(F.col("sim") >= similarity).select("a", "b")
@@ -194,11 +197,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
 
 
 def _cross(t: pa.Table, similarity: float) -> pa.Table:
-    """Links between the two blocks of a group, one per document and component of the other block."""
+    """Links between a block of a group and one of its documents outside the largest component, one per document and component of the latter."""
     out: list[tuple[int, int]] = []
     side = np.asarray(t.column("side"), np.int64)
     own = t.filter(pa.array(side == 0))
-    other = t.filter(pa.array(side == 1)) if (side == 1).any() else own
+    other = t.filter(pa.array(side == 1))
     (ia, ca, sa, na, ea), (ib, cb, sb, nb, eb) = (_bags(x) for x in (own, other))
     if len(np.unique(np.r_[ca, cb])) > 1 and len(sa) and len(sb):
         wa, wb = np.add.reduceat(np.r_[na, 0], ea[:-1]) * (np.diff(ea) > 0), np.add.reduceat(np.r_[nb, 0], eb[:-1]) * (np.diff(eb) > 0)
@@ -227,16 +230,19 @@ def _bags(t: pa.Table) -> tuple[np.ndarray, ...]:
 def _rest(members: DataFrame, links: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Links that the comparisons with leading members missed.
 
-    Documents that buckets connect form a group. In groups with several components all blocks of `BLOCK`
-    documents are compared with one another, exactly; a pair of blocks is one task's work and gives links alone.
+    Documents that buckets connect form a group. In groups with several components, blocks of `BLOCK` documents outside
+    the largest component stand against blocks of `WIDE` documents of the whole group; a pair of blocks is one
+    task's work and gives links alone.
     """
     comp = connected_components(links, "a", "b").withColumnRenamed("node", "id").withColumnRenamed("component", "c")
     group = connected_components(members.where("id <> a"), "a", "id").withColumnRenamed("node", "id").withColumnRenamed("component", "g")
     named = cut(group.join(comp, "id", "left").select("id", "g", F.coalesce("c", "id").alias("c")), "mh-named")
-    mixed = named.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi")
-    todo = named.join(mixed.select("g", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "g")
-    todo = cut(todo.withColumn("k", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "mh-todo")
+    sizes = named.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"))
+    whole = sizes.groupBy("g").agg(F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("n")).where("n > most.n")
+    blocks = whole.select("g", F.col("most.c").alias("big"), F.ceil(F.col("n") / WIDE).cast("int").alias("rows"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("cols"))
+    todo = cut(named.join(cut(blocks, "mh-mixed"), "g"), "mh-todo")
     placed = texts.select(F.col("doc_id").alias("id"), "text").join(todo, "id")
-    first = placed.select("g", F.col("k").alias("i"), F.explode(F.sequence("k", F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"), "id", "c", "text")
-    second = placed.where("k > 0").select("g", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"), F.col("k").alias("j"), F.lit(1).alias("side"), "id", "c", "text")
+    part = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    first = placed.select("g", part(F.col("rows")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("j"), F.lit(0).alias("side"), "id", "c", "text")
+    second = placed.where("c <> big").select("g", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), part(F.col("cols")).alias("j"), F.lit(1).alias("side"), "id", "c", "text")
     return first.union(second).groupBy("g", "i", "j").applyInArrow(lambda t: _cross(t, similarity), "a long, b long")
