@@ -5,7 +5,7 @@ Strings are judged on the input. Every such string has one anchor, its rarest-ha
 equal strings have equal anchors; consecutive strings with one anchor are a run, and a run's bytes are its
 context.
 
-1. Anchors are counted as packed 64-bit words per bucket: which occur twice, and in which blocks of documents.
+1. Anchors are counted as 64-bit words per bucket: which occur twice, and in which blocks of documents.
 2. Blocks send the distinct contexts of repeated anchors, each with its smallest doc_id, to the anchor's shard.
 3. A shard orders the suffixes of its contexts by external induced sorting with common prefixes
    (`ternion.llm.induced`); neighbours that share ``length`` bytes are one string, whose smallest doc_id goes
@@ -13,7 +13,7 @@ context.
 4. Blocks mark the strings that have a smaller doc_id elsewhere and cut the covered bytes.
 
 Equal texts are joined by digest beforehand: every copy but the one with the smallest doc_id is covered whole
-if it has ``length`` bytes. A frequent passage comes to its shard once per block and not once per document;
+if it has ``length`` bytes. Blocks, buckets and shards grow in number with the bytes of the texts. A frequent passage comes to its shard once per block and not once per document;
 what a shard holds follows the distinct repeated text, and its queues spill.
 
 Nulls and edge cases: a null text is empty; a null doc_id counts as larger than all others; rows with equal
@@ -37,12 +37,12 @@ from ternion.llm.tables import small_batches
 from ternion.plans.lineage import cut
 
 LENGTH, PART, BLOCK_BYTES = 50, 24, 8 << 20
-_HASH_BITS = 44
+SHARD_BYTES = 16 << 20
 _LAST = 2**63 - 1
 
 
 def runs(data: np.ndarray, off: np.ndarray, length: int = LENGTH, part: int = PART) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of strings with one anchor: anchor hash (44 bits), first and last string start, row."""
+    """Runs of strings with one anchor: anchor hash, first and last string start, row."""
     n = len(data)
     none = np.zeros(0, np.int64)
     if n < length:
@@ -74,7 +74,7 @@ def runs(data: np.ndarray, off: np.ndarray, length: int = LENGTH, part: int = PA
     new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
     first = np.flatnonzero(new)
     last = np.r_[first[1:], len(q)] - 1
-    return h[anchor[first]] >> tb.U(64 - _HASH_BITS), q[first], q[last], row[first]
+    return h[anchor[first]], q[first], q[last], row[first]
 
 
 def _least(best: np.ndarray, index: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,29 +84,35 @@ def _least(best: np.ndarray, index: np.ndarray, shift: int) -> tuple[np.ndarray,
 
 
 def _anchors(docs: pa.Table, marks: pa.Table, buckets: int) -> pa.Table:
-    """Packed (anchor, block) words of a block of documents, by bucket."""
+    """The anchors of a block of documents by bucket, each twice at most."""
     held = [np.zeros(0, tb.U)]
     for part, data, off, _ in _block(docs, marks):
         h, _, _, _ = runs(data, off)
-        held.append(h << tb.U(20) | tb.U(part.column("block")[0].as_py()))
+        held.append(h)
     words = np.sort(np.concatenate(held))
+    words = words[np.r_[np.ones(min(2, len(words)), bool), words[2:] != words[:-2]]]
     parts = np.split(words, np.searchsorted(words, (np.arange(1, buckets) * ((1 << 64) // buckets)).astype(tb.U)))
     some = [k for k, p in enumerate(parts) if len(p)]
-    return pa.table({"bucket": pa.array(some, pa.int32()), "words": pa.array([parts[k].tobytes() for k in some], pa.binary())})
+    block = [docs.column("block")[0].as_py()] * len(some) if some else []
+    return pa.table({"bucket": pa.array(some, pa.int32()), "block": pa.array(block, pa.int32()), "words": pa.array([parts[k].tobytes() for k in some], pa.binary())})
 
 
 def _repeated(t: pa.Table) -> pa.Table:
     """The anchors of a bucket that occur twice, by block."""
-    words = np.sort(np.concatenate([np.frombuffer(x, tb.U) for x in t.column("words").to_pylist()]))
-    h = words >> tb.U(20)
+    words = [np.frombuffer(x, tb.U) for x in t.column("words").to_pylist()]
+    h, block = np.concatenate(words), np.repeat(np.asarray(t.column("block").combine_chunks(), np.int64), [len(x) for x in words])
+    del words
+    order = np.argsort(h, kind="stable")
+    h, block = h[order], block[order]
     twice = np.zeros(len(h), bool)
     twice[1:] = h[1:] == h[:-1]
     twice[:-1] |= twice[1:]
-    words = np.unique(words[twice])
-    block = (words & tb.U((1 << 20) - 1)).astype(np.int64)
-    order = np.argsort(block, kind="stable")
-    kinds, at = np.unique(block[order], return_index=True)
-    h = (words >> tb.U(20))[order]
+    h, block = h[twice], block[twice]
+    order = np.lexsort((h, block))
+    h, block = h[order], block[order]
+    fresh = np.r_[True, (h[1:] != h[:-1]) | (block[1:] != block[:-1])] if len(h) else np.zeros(0, bool)
+    h, block = h[fresh], block[fresh]
+    kinds, at = np.unique(block, return_index=True)
     return pa.table({"block": pa.array(kinds.astype(np.int32)), "anchors": pa.array([x.tobytes() for x in (np.split(h, at[1:]) if len(kinds) else [])], pa.binary())})
 
 
@@ -293,7 +299,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     first = keyed.groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c"))
     copies = cut(keyed.join(first.where("c > 1"), "digest").where("id > rep").select("id", "digest", "n"), "sa-copies")
     total = keyed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("b")).first()["b"]
-    blocks = min(1 << 20, max(parts, -(-total // BLOCK_BYTES)))
+    blocks, shards = max(parts, -(-total // BLOCK_BYTES)), max(4 * parts, -(-total // SHARD_BYTES))
+    buckets = max(parts, blocks // 8)
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int").alias("block")
     # The three uses of the texts by block share one exchange.
     texts = rows.select("doc_id", "text", block(F.coalesce("doc_id", F.lit(_LAST)))).groupBy("block")
@@ -301,13 +308,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     marks = marks.select("block", "id", "digest", F.lit(None).cast("binary").alias("anchors"))
     found = (
         texts.cogroup(marks.groupBy("block"))
-        .applyInArrow(lambda a, b: _anchors(a, b, parts), "bucket int, words binary")
+        .applyInArrow(lambda a, b: _anchors(a, b, buckets), "bucket int, block int, words binary")
         .groupBy("bucket")
         .applyInArrow(_repeated, "block int, anchors binary")
     )
     found = found.select("block", F.lit(None).cast("long").alias("id"), F.lit(None).cast("binary").alias("digest"), "anchors")
     contexts = texts.cogroup(found.union(marks).groupBy("block")).applyInArrow(
-        lambda a, b: _contexts(a, b, 4 * parts), "shard int, block int, sizes binary, low binary, high binary, bytes binary"
+        lambda a, b: _contexts(a, b, shards), "shard int, block int, sizes binary, low binary, high binary, bytes binary"
     )
     judged = contexts.groupBy("shard").applyInArrow(_shard, "block int, names binary, counts binary, values binary")
     judged = judged.select("block", F.lit(None).cast("long").alias("id"), F.lit(None).cast("binary").alias("digest"), "names", "counts", "values")
