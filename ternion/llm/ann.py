@@ -14,8 +14,11 @@ cut into salted parts and its queries into salted blocks, each of bounded size,
 vectors is many tasks. Each part gives at most k candidates per query, and the best k of these
 are chosen after partial selection.
 
-Sample: at most ``SAMPLE`` vectors, the smallest by hashed id, for k-means alone. Lists: ``LISTS`` at every size (fewer below ``LIST_ROWS`` rows a list), so the
-copies of a query and the candidates it gets grow with the parts alone. A query's first bound is its distance to
+Sample: at most ``SAMPLE`` vectors, the smallest by hashed id, for k-means and the probes alone. Lists grow with the square root of
+the rows, from ``LISTS`` (fewer below ``LIST_ROWS`` rows a list) to a list for every ``LIST_ROWS`` sampled vectors. How many of
+them a query probes is measured: as many as hold a share ``PROBED`` of the true neighbours of ``ASKED`` sampled vectors
+within the sample. Clustered vectors need few lists; where the neighbours lie in all directions, as with nearly isotropic ones,
+most of them, and the work grows with the product of queries and rows. A query's first bound is its distance to
 the (2k+2)-th nearest of at most ``ANCHORS`` sampled vectors that lie in its probed lists. Centroids, anchors and norms are the only broadcast data, bounded by these.
 
 Nulls and edge cases: vectors null, empty, zero, with null or non-finite components, or of a dimension other
@@ -36,7 +39,7 @@ from pyspark.sql.window import Window
 from ternion.llm import textbytes as tb
 from ternion.plans.lineage import cut
 
-K, SAMPLE, ANCHORS, LISTS, SHELVES, LIST_ROWS, PROBED, COLUMNS, CONFIDENCE, PART_ROWS, QUERY_ROWS, SEED = 20, 20_000, 2048, 64, 8, 8, 0.7, 16, 2.1, 16_384, 8192, 7
+K, SAMPLE, ANCHORS, LISTS, SHELVES, LIST_ROWS, PROBED, ASKED, COLUMNS, CONFIDENCE, PART_ROWS, QUERY_ROWS, SEED = 20, 20_000, 2048, 64, 8, 8, 0.97, 512, 16, 2.1, 65_536, 32_768, 7
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -130,6 +133,23 @@ def first_bound(q: np.ndarray, probed: np.ndarray, anchor: np.ndarray, home: np.
     return out
 
 
+def probes(x: np.ndarray, c: np.ndarray, k: int, share: float) -> int:
+    """How many nearest lists hold ``share`` of the ``k`` true neighbours of the first rows of ``x`` (lifted as candidates) among all rows."""
+    asked, home, rank = x[:ASKED], nearest(x, c), np.zeros(0, np.int64)
+    k = min(k, len(x) - 1)
+    if not k:
+        return len(c)
+    for a in range(0, len(asked), 64):
+        q = asked[a : a + 64]
+        score = q[:, :-1] @ x[:, :-1].T  # the queries' own last component is 0
+        score[np.arange(len(q)), a + np.arange(len(q))] = -np.inf
+        best = np.argpartition(-score, k - 1, axis=1)[:, :k]
+        d = (c * c).sum(1)[None] - 2 * np.c_[q[:, :-1], np.zeros(len(q))] @ c.T
+        place = np.argsort(np.argsort(d, axis=1, kind="stable"), axis=1, kind="stable")
+        rank = np.r_[rank, np.take_along_axis(place, home[best], axis=1).reshape(-1)]
+    return int(np.quantile(rank, share, method="higher")) + 1 if len(rank) else len(c)
+
+
 def _reach(seen: int, dims: int) -> float:
     """How far a partial distance over ``seen`` dimensions may go, as a share of the whole distance's bound."""
     return 1.0 if seen == dims else seen / dims * (1 + CONFIDENCE / np.sqrt(seen)) ** 2
@@ -149,10 +169,11 @@ def search(
     most, dims = float(np.sqrt(stats["m"])), stats["d"] + 1
     turn = _rotation(dims)
     rows = base.orderBy(F.xxhash64("id")).limit(SAMPLE).select("v").toArrow()
-    lists = min(LISTS, -(-stats["n"] // LIST_ROWS))
-    centre = kmeans(_lift(_matrix(rows.column("v").combine_chunks()), most, False) @ turn, lists)
-    probes = max(1, min(len(centre), int(np.ceil(probed * len(centre)))))
-    anchors = _lift(_matrix(rows.column("v").combine_chunks())[:ANCHORS], most, False) @ turn
+    sample = _lift(_matrix(rows.column("v").combine_chunks()), most, False)
+    lists = min(max(LISTS, int(np.sqrt(stats["n"]) / 8)), -(-len(sample) // LIST_ROWS))
+    plain = kmeans(sample, lists)
+    asking = probes(sample, plain, k, probed)
+    centre, anchors = plain @ turn, sample[:ANCHORS] @ turn
     shared = spark.sparkContext.broadcast((centre, anchors, nearest(anchors, centre)))
 
     def deal(query: bool):
@@ -162,7 +183,7 @@ def search(
                 if not batch.num_rows:
                     continue
                 x = _lift(_matrix(batch.column("v")), most, query) @ turn
-                near = nearest(x, c, probes if query else 1).reshape(batch.num_rows, -1)
+                near = nearest(x, c, asking if query else 1).reshape(batch.num_rows, -1)
                 if not query:
                     yield pa.RecordBatch.from_arrays([pa.array((near[:, 0] % SHELVES).astype(np.int32)), pa.array(near[:, 0].astype(np.int32)), batch.column("id"), batch.column("v")], ["shelf", "list", "id", "v"])
                     continue
@@ -197,7 +218,7 @@ def search(
             q_ids, q_v = np.asarray(right.column("id").combine_chunks(), np.int64), _matrix(right.column("v").combine_chunks())
             lifted, far = _lift(q_v, most, True) @ turn, np.asarray(right.column("far").combine_chunks(), np.float64)
             lists_of = right.column("lists").combine_chunks()
-            probing = np.zeros((len(q_ids), LISTS), bool)
+            probing = np.zeros((len(q_ids), lists), bool)
             probing[np.repeat(np.arange(len(q_ids)), np.diff(np.asarray(lists_of.offsets))), np.asarray(lists_of.flatten())] = True
             for a in range(0, len(q_ids), 256):
                 hits = []
