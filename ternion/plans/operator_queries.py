@@ -18,7 +18,7 @@ from ternion.operators import linking as L
 from ternion.operators import triplets as TR
 from ternion.operators.closure import transitive_closure
 from ternion.operators.components import connected_components
-from ternion.plans.lineage import cut
+from ternion.plans.lineage import cut, ranked
 from ternion.schema import CONNECTED, OWL, PROV, PT, RDF_TYPE, RDFS, SCHEMA_CATALOG, TFL, TRIPLES, XSD
 from ternion.sources import files, sinks, structured, turtle
 
@@ -298,14 +298,13 @@ def surface_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def items(spark: SparkSession, d: str) -> DataFrame:
-    """Distinct part names with their types, each with a vector; every other one is new."""
-    named = table(spark, d, "part").groupBy(F.concat_ws(" ", "p_name", "p_type").alias("name")).agg(F.min("p_partkey").alias("k"))
-    e = table(spark, d, "embeddings")
-    n = e.agg(F.count(F.lit(1)).alias("size"))
-    return named.crossJoin(F.broadcast(n)).join(e, F.col("k") % F.col("size") == F.col("vec_id")).select("name", (F.col("k") % 2 == 0).alias("is_new"), F.col("embedding").alias("vec"))  # one row of sizes
+    """Distinct part names with their types, each with the vector of its place among them; every other one is new."""
+    named = table(spark, d, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("name")).distinct()
+    e = table(spark, d, "embeddings").select(F.col("vec_id").alias("k"), F.col("embedding").alias("vec"))
+    return ranked(named, "name", start=0, name="k").join(e, "k").select("name", (F.col("k") % 2 == 0).alias("is_new"), "vec")
 
 
-_ITEMS = "(SELECT name, k % 2 = 0 AS is_new, CAST(embedding AS DOUBLE[]) AS vec FROM (SELECT p_name || ' ' || p_type AS name, min(p_partkey) AS k FROM part GROUP BY 1) JOIN embeddings ON vec_id = k % (SELECT count(*) FROM embeddings))"
+_ITEMS = "(SELECT name, k % 2 = 0 AS is_new, CAST(embedding AS DOUBLE[]) AS vec FROM (SELECT name, row_number() OVER (ORDER BY name) - 1 AS k FROM (SELECT DISTINCT p_name || ' ' || p_type AS name FROM part)) JOIN embeddings ON vec_id = k)"
 
 
 @query(f"WITH i AS MATERIALIZED (SELECT *, {_tokens('name')} AS t FROM {_ITEMS}), s AS (SELECT a.name AS x, b.name AS y, a.is_new OR b.is_new AS fresh, len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) + 0.35 * list_cosine_similarity(a.vec, b.vec) AS score FROM i a JOIN i b ON a.name <> b.name AND list_has_any(a.t, b.t)), k AS (SELECT *, row_number() OVER (PARTITION BY x ORDER BY score DESC, y DESC) AS rn FROM s WHERE score >= 0.55) SELECT DISTINCT least(x, y) AS a, greatest(x, y) AS b FROM k WHERE rn <= 40 AND fresh")
