@@ -29,7 +29,7 @@ SCALE, WORDS = 8, 5
 
 def sketch(text: Column, scale: int = SCALE, words: int = WORDS) -> Column:
     """The retained shingle hashes of a text, distinct and ascending."""
-    limit = F.lit(-(2**63) + 2**64 // scale)
+    limit = F.lit(min(2**63 - 1, -(2**63) + 2**64 // scale))
     parts = F.transform(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
 
     def joined(h: Column) -> Column:
