@@ -1,8 +1,9 @@
 """Connected components by alternating large-star and small-star steps.
 
-Every step is a grouped minimum (partially aggregated before the shuffle) joined back to the edges, so a
-vertex with very many neighbours never gathers them in one task. The number of steps grows with the
-logarithm of the largest component's diameter. Each step is cut to the shared folder.
+Every step is a grouped minimum (partially aggregated before the shuffle), written and then joined back to the
+edges: as the join reads both sides through exchanges of its own, the adaptive plan splits a vertex with very many
+neighbours among tasks. The number of steps grows with the logarithm of the largest component's diameter. Each step is
+cut to the shared folder.
 """
 
 from __future__ import annotations
@@ -40,12 +41,12 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     if seen[0]:
         for _ in range(max_rounds):
             both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-            least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+            least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc-least")
             large = (
                 both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
             )
             large = cut(large, "cc-large")
-            low = large.groupBy("u").agg(F.min("v").alias("m"))
+            low = cut(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
             small = (
                 large.join(low, "u")
                 .where("v <> m")

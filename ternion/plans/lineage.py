@@ -7,6 +7,8 @@ recomputation with another outcome, and nothing lives on one machine's disk only
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 _KEY = "spark.checkpoint.dir"
+_WRITTEN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,6 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_KEY} to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="ternion-")
+        atexit.register(shutil.rmtree, found, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
@@ -31,7 +35,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
@@ -62,3 +68,11 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_written(spark: SparkSession) -> int:
+    """Delete all that cuts of this process have written, once no DataFrame made so far is needed; returns how many paths went."""
+    n = len(_WRITTEN)
+    while _WRITTEN:
+        drop_scratch(spark, _WRITTEN.pop())
+    return n
