@@ -20,7 +20,8 @@ from ternion.operators import linking as L
 from ternion.operators import providers as P
 from ternion.operators import triplets as TR
 from ternion.plans import tbox
-from ternion.plans.lineage import cut
+from ternion.plans.lineage import cut, ranked
+from ternion.plans.shipping import ship
 from ternion.plans.sparql import Engine, split_corpus
 from ternion.plans.sparql.lower import tool_query
 from ternion.schema import GRAPH, RDFS, SCHEMA_CATALOG, TRIPLES
@@ -224,6 +225,7 @@ def run_folder(spark: SparkSession, folder: str, out: str, provider: P.ModelProv
 
     Unchanged files are replayed from the state. ``batch``: all changed files at once; ``sequential``: one by one.
     """
+    ship(spark)
     provider = provider or P.LocalProvider()
     found = cut(files.scan_files(spark, folder, patterns), "doc-files")
     state = State.load(spark, out)
@@ -266,6 +268,7 @@ def ingest_ontology(spark: SparkSession, folder: str, out: str, provider: P.Mode
 
     Unchanged files are left out if the state has entries. A term with a context of eight words is described by it.
     """
+    ship(spark)
     provider = provider or P.LocalProvider()
     state = State.load(spark, out)
     found = files.scan_files(spark, folder, patterns).select("path", "sha256")
@@ -281,7 +284,7 @@ def ingest_ontology(spark: SparkSession, folder: str, out: str, provider: P.Mode
     role = F.when(F.col("base_category") == "entities", "classes").otherwise("predicates")
     seen = entries.select(F.lit(0).cast("long").alias("ord"), role.alias("role"), "label", "iri")
     catalog = G.append_catalog(state.catalog, seen)
-    catalog = cut(G.ranked(catalog, "ord", "role", "iri", name="place").select(F.col("place").alias("ord"), "role", "label", "iri"), "owl-catalog")
+    catalog = cut(ranked(catalog, "ord", "role", "iri", name="place").select(F.col("place").alias("ord"), "role", "label", "iri"), "owl-catalog")
     key = ["base_category", "name"]
     protected = TR.categories(entries).select("category", F.col("label").alias("surface"), F.col("label").alias("canonical"))
     before = state.catalog.groupBy("role").count().collect()
@@ -334,6 +337,7 @@ ZONE_PROMPT = "What London Transport Zone is '{name}' located in? Answer with on
 def complete(graph: DataFrame, provider: P.ModelProvider | None = None, out: str | None = None, most: int | None = 5) -> DataFrame:
     """The graph with predicted zones and the alignment of what the ontology lacks; ``out`` gets the graph and an analysis."""
     spark = graph.sparkSession
+    ship(spark)
     gaps = cut(P.zone_answers(G.zone_gaps(Engine(graph), most), provider or P.LocalProvider()), "zones")
     aligned = spark.createDataFrame([(s, p, o, "iri", "", "") for s, p, o in tbox.COMPLETION], GRAPH)
     done = graph.select(*[c.split()[0] for c in GRAPH.split(", ")]).unionByName(G.complete_zones(gaps)).unionByName(aligned).distinct()
