@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 
 from ternion.functions import parsing
 from ternion.functions import text as T
+from ternion.operators import components
 from ternion.operators import graph as G
 from ternion.operators import linking as L
 from ternion.operators.closure import transitive_closure
 from ternion.operators.components import connected_components
+from ternion.plans.lineage import cut
 from ternion.schema import PT, RDF_TYPE, TRIPLES
 from ternion.sources.structured import json_triplets_of, tsv_triplets
 
@@ -74,6 +76,19 @@ def test_components_and_closure(spark):
     assert connected_components(e.limit(0)).count() == 0 and transitive_closure(e.limit(0)).count() == 0
 
 
+def test_few_edges_cost_few_jobs_and_the_same_components(spark, monkeypatch):
+    chain = [(i, i + 1) for i in range(0, 90) if i % 30] + [(80, 3), (40, 40), (200, 200), (None, 1), (2, 1)]
+    long = spark.createDataFrame(chain, "src long, dst long")
+    text = long.select(*[F.concat(F.lit("é"), F.col(c).cast("string")).alias(c) for c in ("src", "dst")])
+    written = []
+    monkeypatch.setattr(components, "cut", lambda df, name="cut": written.append(name) or cut(df, name))
+    few = [sorted(map(tuple, connected_components(x).collect())) for x in (long, text)]
+    assert len(written) == 4
+    monkeypatch.setattr(components, "FEW", 0)
+    assert few == [sorted(map(tuple, connected_components(x).collect())) for x in (long, text)]
+    assert {c for _, c in few[0]} == {1, 31, 200} and len(few[0]) == 91
+
+
 def test_linking(spark):
     items = spark.createDataFrame([("Red Line", True, [1.0, 0.0]), ("red lines", True, [0.9, 0.1]), ("Bus", False, [0.0, 1.0])], "name string, is_new boolean, vec array<double>")
     assert {(r.name, r.rep) for r in L.surface_groups(items).collect()} == {("Red Line", "Red Line"), ("red lines", "Red Line"), ("Bus", "Bus")}
