@@ -12,8 +12,8 @@ document costs one comparison per shingle and not one per shingle and slot.
 Search. Bands of signature entries give buckets; in each bucket every member is compared with the
 bucket's most connected member by exact multiset overlap of the texts; then, in each group that buckets connect and
 that still has several components, the documents outside its largest component are compared with all of the group
-exactly, block by block of bounded size, and only links leave a task. So a text is copied once for every `BLOCK`
-documents outside that component, however large it is. No bucket is capped and no pair within a group is spelled out.
+exactly, block by block of bounded rows and bytes, and only links leave a task. So a text is copied once for every
+`BLOCK` documents or `BLOCK_BYTES` outside that component, however large it is. No bucket is capped and no pair within a group is spelled out.
 Equal texts are joined beforehand through a digest. Grouped counts are written before they are joined back, so the
 rows of a very large group are split among tasks by the adaptive join.
 
@@ -38,6 +38,8 @@ from ternion.operators.components import connected_components
 from ternion.plans.lineage import cut
 
 SIMILARITY, BANDS, ROWS, BLOCK, WIDE = 0.8, 20, 5, 512, 2048
+#: Bytes of text of a block outside the largest component and of one of the whole group, besides their rows.
+BLOCK_BYTES, WIDE_BYTES = 2 << 20, 8 << 20
 _GOLD, _SLOT, _PLACE = 0x9E3779B97F4A7C15, 0xA0761D6478BD642F, tb.U(0xE7037ED1A0B428DB)
 _MASK = (1 << 64) - 1
 _UNIT = 2.0**-53
@@ -140,7 +142,7 @@ def _keys(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in tb.pieces(batch, "ta"):
+        for part in (x for y in tb.pieces(batch, "ta") for x in tb.pieces(y, "tb")):
             sim = weighted_jaccard(part.column("ta"), part.column("tb"))
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(sim)], ["a", "b", "sim"])
 
@@ -182,7 +184,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     members = cut(shared.select("key", "id").join(leaders, "key"), "mh-members")
     # All later steps read the texts of documents in shared buckets alone; one plan at every size.
     ids = shared.select(F.col("id").alias("doc_id")).distinct().hint("merge")
-    texts = cut(known.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "mh-texts")
+    texts = cut(known.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")).withColumn("bytes", F.octet_length("text")), "mh-texts")
     stars = members.where("id <> a").select("a", F.col("id").alias("b")).distinct()
     scored = cut(similarities(stars, texts), "mh-scored")
     links = scored.where(F.col("sim") >= similarity).select("a", "b")
@@ -222,27 +224,39 @@ def _cross(t: pa.Table, similarity: float) -> pa.Table:
 
 
 def _bags(t: pa.Table) -> tuple[np.ndarray, ...]:
-    sh, owner, n = tb.row_bags(t.column("text"))
+    sh, n, size = [np.zeros(0, tb.U)], [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+    for part in (x for batch in t.to_batches() for x in tb.pieces(batch)):
+        hashes, owner, count = tb.row_bags(part.column("text"))
+        sh.append(hashes)
+        n.append(count)
+        size.append(np.bincount(owner, minlength=part.num_rows))
     ids, comp = (np.asarray(t.column(c), np.int64) for c in ("id", "c"))
-    return ids, comp, sh, n, np.searchsorted(owner, np.arange(len(ids) + 1))
+    return ids, comp, np.concatenate(sh), np.concatenate(n), np.cumsum(np.concatenate(size))
 
 
 def _rest(members: DataFrame, links: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Links that the comparisons with leading members missed.
+    """Links that the comparisons with leading members missed; a pair of blocks is one task's work and gives links alone."""
+    return _blocks(members, links, texts).groupBy("g", "i", "j").applyInArrow(lambda t: _cross(t, similarity), "a long, b long")
 
-    Documents that buckets connect form a group. In groups with several components, blocks of `BLOCK` documents outside
-    the largest component stand against blocks of `WIDE` documents of the whole group; a pair of blocks is one
-    task's work and gives links alone.
+
+def _blocks(members: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(g, i, j, side, id, c, text)``: what is compared in groups with several components.
+
+    Documents that buckets connect form a group. Blocks of about `BLOCK` documents or `BLOCK_BYTES` outside the largest
+    component (side 1) stand against blocks of about `WIDE` documents or `WIDE_BYTES` of the whole group (side 0).
     """
     comp = connected_components(links, "a", "b").withColumnRenamed("node", "id").withColumnRenamed("component", "c")
     group = connected_components(members.where("id <> a"), "a", "id").withColumnRenamed("node", "id").withColumnRenamed("component", "g")
-    named = cut(group.join(comp, "id", "left").select("id", "g", F.coalesce("c", "id").alias("c")), "mh-named")
-    sizes = named.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"))
-    whole = sizes.groupBy("g").agg(F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("n")).where("n > most.n")
-    blocks = whole.select("g", F.col("most.c").alias("big"), F.ceil(F.col("n") / WIDE).cast("int").alias("rows"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("cols"))
-    todo = cut(named.join(cut(blocks, "mh-mixed"), "g"), "mh-todo")
+    named = group.join(comp, "id", "left").join(texts.select(F.col("doc_id").alias("id"), "bytes"), "id")
+    named = cut(named.select("id", "g", F.coalesce("c", "id").alias("c"), "bytes"), "mh-named")
+    sizes = named.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    whole = sizes.groupBy("g").agg(F.max(F.struct("n", "c", "bytes")).alias("most"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).where("n > most.n")
+    parts = lambda n, rows, size, most: F.greatest(F.ceil(n / rows), F.ceil(size / most)).cast("int")
+    cols = parts(F.col("n") - F.col("most.n"), BLOCK, F.col("bytes") - F.col("most.bytes"), BLOCK_BYTES)
+    blocks = whole.select("g", F.col("most.c").alias("big"), parts(F.col("n"), WIDE, F.col("bytes"), WIDE_BYTES).alias("rows"), cols.alias("cols"))
+    todo = cut(named.drop("bytes").join(cut(blocks, "mh-mixed"), "g"), "mh-todo")
     placed = texts.select(F.col("doc_id").alias("id"), "text").join(todo, "id")
     part = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
     first = placed.select("g", part(F.col("rows")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("j"), F.lit(0).alias("side"), "id", "c", "text")
     second = placed.where("c <> big").select("g", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), part(F.col("cols")).alias("j"), F.lit(1).alias("side"), "id", "c", "text")
-    return first.union(second).groupBy("g", "i", "j").applyInArrow(lambda t: _cross(t, similarity), "a long, b long")
+    return first.union(second)

@@ -6,7 +6,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ternion.llm import ann, ctw, fingerprints, induced, minhash, mixing, packing, passages, secrets, sharding, toxicity
 
@@ -57,6 +59,33 @@ def test_near_duplicates(docs, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_near_duplicate_blocks_are_bounded_by_bytes_and_rows(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 20_000, raising=False)
+    monkeypatch.setattr(minhash, "WIDE_BYTES", 50_000, raising=False)
+    texts = spark.createDataFrame([(i, f"{i} " + "word " * 200, 1000 + len(f"{i} ")) for i in range(400)], "doc_id long, text string, bytes int")
+    members = spark.createDataFrame([(0, 0, i) for i in range(400)], "key long, a long, id long")
+    links = members.where("id BETWEEN 1 AND 99").select("a", F.col("id").alias("b"))
+    rows = minhash._blocks(members, links, texts).cache()
+    most = {r.side: r.b for r in rows.groupBy("g", "i", "j", "side").agg(F.sum(F.octet_length("text")).alias("b")).groupBy("side").agg(F.max("b").alias("b")).collect()}
+    assert most[0] <= 100_000 and most[1] <= 50_000  # hashing deals about evenly
+    met = {(a.id, b.id) for a, b in _sides(rows)}
+    assert met == {(a, b) for a in range(400) for b in range(100, 400)}
+
+
+def _sides(rows):
+    at = {}
+    for r in rows.collect():
+        at.setdefault((r.g, r.i, r.j), ([], []))[r.side].append(r)
+    return [(a, b) for own, other in at.values() for a in own for b in other]
+
+
+def test_bags_do_not_depend_on_pieces(monkeypatch):
+    t = pa.table({"id": [7, 8, 9, 10], "c": [7, 8, 8, 8], "text": ["a b c d e f a b c d e f", None, "", "one two"]})
+    whole = minhash._bags(t)
+    monkeypatch.setattr(minhash.tb.pieces, "__defaults__", ("text", 1))
+    assert all((a == b).all() for a, b in zip(whole, minhash._bags(t), strict=True)) and whole[4].tolist() == [0, 6, 6, 6, 7]
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(1)
     sh = np.sort(rng.integers(0, 2**63, 60).astype(np.uint64))
