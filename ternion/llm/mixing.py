@@ -54,17 +54,22 @@ def _place(seed: str, epoch: Column) -> Column:
 
 
 def budgets(
-    leaves: DataFrame, budget: Column, levels: Sequence[str], weights: Mapping[str, Mapping[str, int]], default_weight: int, max_epochs: int
+    leaves: DataFrame, budget: DataFrame, levels: Sequence[str], weights: Mapping[str, Mapping[str, int]], default_weight: int, max_epochs: int
 ) -> DataFrame:
-    """``leaves`` (levels, ``tokens``) with ``share``: the tokens each leaf has to give."""
-    flow = leaves.withColumn("cap", (F.col("tokens") * max_epochs).cast(_INT)).withColumn("share", budget.cast(_INT))
+    """``leaves`` (levels, ``tokens``) with ``share``: the tokens each leaf has to give. ``budget``: one row, ``b``.
+
+    Each level reads the leaves once and takes only nodes from the level above, so that the plan, which the driver
+    holds and compiles, grows with the levels and does not double with each.
+    """
+    caps = leaves.withColumn("cap", (F.col("tokens") * max_epochs).cast(_INT))
+    above = budget.select(F.col("b").cast(_INT))
     for depth, level in enumerate(levels):
         names = weights.get(level, {})
         weight = F.lit(default_weight)
         for name, w in names.items():
             weight = F.when(F.col(level) == name, F.lit(w)).otherwise(weight)
         path, parent = list(levels[: depth + 1]), list(levels[:depth])
-        nodes = flow.groupBy(*path).agg(F.sum("cap").cast(_INT).alias("c"), F.first("share").alias("b")).withColumn("w", weight.cast(_INT))
+        nodes = caps.groupBy(*path).agg(F.sum("cap").cast(_INT).alias("c")).join(above, parent or None).withColumn("w", weight.cast(_INT))
         by = Window.partitionBy(*parent).orderBy((F.col("c").cast("double") / F.col("w").cast("double")), *path)
         before, after = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(Window.currentRow, Window.unboundedFollowing)
         nodes = (
@@ -85,8 +90,8 @@ def budgets(
                 .cast(_INT),
             )
         )
-        flow = flow.drop("share").join(nodes.select(*path, F.col("s").alias("share")), path)
-    return flow.withColumn("share", F.col("share").cast("long")).drop("cap")
+        above = nodes.select(*path, F.col("s").alias("b"))
+    return leaves.join(above.withColumnRenamed("b", "share"), list(levels)).withColumn("share", F.col("share").cast("long"))
 
 
 def mix(
@@ -106,9 +111,8 @@ def mix(
     """
     named = docs.select("doc_id", *[F.coalesce(F.col(x).cast("string"), F.lit("")).alias(x) for x in levels], tokens().alias("tokens"), *[F.col(c).alias(f"_k_{c}") for c in carry])
     leaves = cut(named.groupBy(*levels).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")), "mix-leaves")
-    budget = leaves.agg(F.expr(f"CAST(sum(tokens) * {share_percent} AS DECIMAL(38,0)) div 100").alias("budget"))
-    leaves = leaves.join(budget)  # one row
-    plan = budgets(leaves, F.col("budget"), levels, weights or WEIGHTS, default_weight, max_epochs)
+    budget = leaves.agg(F.expr(f"CAST(sum(tokens) * {share_percent} AS DECIMAL(38,0)) div 100").alias("b"))
+    plan = budgets(leaves, budget, levels, weights or WEIGHTS, default_weight, max_epochs)
     plan = cut(
         plan.select(
             *levels,

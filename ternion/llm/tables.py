@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows and bytes of an Arrow batch on its way to Python. Texts may be very long, so both are bounded.
@@ -17,3 +20,10 @@ def small_batches(spark: SparkSession) -> None:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables, through Spark's own reader."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def hand_back() -> None:
+    """Give freed memory back to the system: Arrow's and C's allocators keep it otherwise, and a driver lives on beside its JVM."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
+        trim(0)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
 from ternion.llm import textbytes as tb
-from ternion.llm.tables import small_batches
+from ternion.llm.tables import hand_back, small_batches
 from ternion.plans.lineage import cut
 
 FIT_ROWS, SHRINK, POWER, NEIGHBOURS, BLOCK, FOLDS, THRESHOLD = 6_000, 10.0, 4, 15, 64, 4, 0.3
@@ -230,6 +230,7 @@ def learn(ids: np.ndarray, toxic: np.ndarray, hashes: np.ndarray, owner: np.ndar
             rest, mine = ~own[owner], own[owner]
             part = build(ids[~own], toxic[~own], hashes[rest], place[owner[rest]], n[rest])
             votes[own] = _votes(part, hashes[mine], (np.cumsum(own) - 1)[owner[mine]], n[mine], int(own.sum()))[0]
+            del part  # before the next one is built
     good = ~np.isnan(votes)
     if good.any():
         index.slope, index.shift = _logistic(_logit(votes[good]), toxic[good])
@@ -253,13 +254,23 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Index:
     chosen = cut(marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows), "tox-chosen")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))  # fit_rows rows at most are broadcast
-    table = sample.mapInArrow(_terms, "doc_id long, toxic int, terms array<long>, n array<int>").toArrow()  # fitting rows only
+    parts = _fetched(sample)
+    hand_back()  # what the fetched tables held
+    index = learn(*parts)
+    del parts
+    hand_back()
+    return index
+
+
+def _fetched(sample: DataFrame) -> tuple[np.ndarray, ...]:
+    """What ``learn`` takes, of the fitting rows only; no Arrow table outlives the call."""
+    table = sample.mapInArrow(_terms, "doc_id long, toxic int, terms array<long>, n array<int>").toArrow()
     table = table.sort_by("doc_id").combine_chunks()
-    ids, toxic = np.asarray(table.column("doc_id"), np.int64), (np.asarray(table.column("toxic"), np.int64) > 0).astype(float)
+    ids, toxic = np.array(table.column("doc_id"), np.int64), (np.asarray(table.column("toxic"), np.int64) > 0).astype(float)
     terms, counts = (table.column(c).combine_chunks() for c in ("terms", "n"))
     size = np.diff(np.asarray(terms.offsets)) if len(ids) else np.zeros(0, np.int64)
-    flat = lambda x, kind: np.asarray(x.flatten(), kind) if len(ids) else np.zeros(0, kind)
-    return learn(ids, toxic, flat(terms, np.int64).view(tb.U), np.repeat(np.arange(len(ids)), size), flat(counts, np.int64))
+    flat = lambda x, kind: np.array(x.flatten(), kind) if len(ids) else np.zeros(0, kind)
+    return ids, toxic, flat(terms, np.int64).view(tb.U), np.repeat(np.arange(len(ids)), size), flat(counts, np.int64)
 
 
 def score(docs: DataFrame, index: Index, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -270,6 +281,7 @@ def score(docs: DataFrame, index: Index, carry: tuple[str, ...] = ()) -> DataFra
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(index)
+    hand_back()  # its pickled copy
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value
