@@ -21,6 +21,7 @@ estimates come from the shallower contexts, and they change no other.
 
 Bounds: the depth is the same at every size and all counts are complete. Buckets grow in number with the bytes of
 the texts. One task holds the distinct grams of at least one run of TOP nearest bytes, or what all chunks ask of one run of NEAR.
+A counting task sends its grams beyond GRAMS distinct ones and starts anew; trees are evaluated FOREST grams at a time, or one run of TOP.
 Log-probabilities of bytes travel with 16 bits of mantissa.
 
 Nulls and edge cases: null and empty texts are the end symbol alone; a null doc_id is a training row; a zero
@@ -41,10 +42,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ternion.llm import textbytes as tb
-from ternion.llm.tables import small_batches
+from ternion.llm.tables import hand_back, small_batches
 from ternion.plans.lineage import cut
 
 DEPTH, TOP, NEAR, CHUNK_BYTES, BUCKET_BYTES = 7, 3, 4, 8 << 20, 8 << 20
+#: Distinct grams: that a task counts before it sends them, that wait to be added to these, of trees that are evaluated together.
+GRAMS, WAITING, FOREST = 6_000_000, 1_500_000, 100_000
 _HALF = math.log(0.5)
 _TEXT, _QUICK = pa.Codec("zstd", compression_level=6), pa.Codec("zstd", compression_level=1)
 
@@ -115,11 +118,27 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (tb.mix(keys) >> tb.U(40)).astype(np.int64) % buckets
 
 
-def _dealt(to: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Each bucket with rows, and these in their order."""
+def _dealt(x: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket with rows, and these in their order. Equal words of ``x`` stand together: runs are dealt, not rows."""
+    first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, np.int64)
+    to, size = bucket_of(x[first], buckets), np.diff(np.r_[first, len(x)])
     order, edge = np.argsort(to, kind="stable"), np.r_[0, np.cumsum(np.bincount(to, minlength=buckets))]
     for b in np.flatnonzero(np.diff(edge)).tolist():
-        yield b, order[edge[b] : edge[b + 1]]
+        run = order[edge[b] : edge[b + 1]]
+        n = size[run]
+        yield b, np.repeat(first[run] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def _known(k: np.ndarray, c: np.ndarray, keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Adds what waits in the lists, and leaves them empty, to the counts of ascending words; places, words and counts of those that are not among them."""
+    new, n = _merge(keys, counts)
+    keys.clear()
+    counts.clear()
+    at = np.searchsorted(k, new)
+    found = at < len(k)
+    found[found] = k[at[found]] == new[found]
+    c[at[found]] += n[found]
+    return at[~found], new[~found], n[~found]
 
 
 _COUNTED = "bucket int, grams binary, counts binary"
@@ -127,11 +146,10 @@ _COUNTED = "bucket int, grams binary, counts binary"
 
 def _count(batches: Iterator[pa.RecordBatch], depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The grams of a partition with their training counts, by tree bucket."""
-    keys, counts, waiting = [np.zeros(0, tb.U)], [np.zeros(0, np.int64)], 0
+    k, c, keys, counts, waiting = np.zeros(0, tb.U), np.zeros(0, np.int64), [], [], 0
 
     def emit() -> Iterator[pa.RecordBatch]:
-        k, c = _merge(keys, counts)
-        for b, at in _dealt(bucket_of(context(k, depth, TOP), buckets), buckets):
+        for b, at in _dealt(context(k, depth, TOP), buckets):
             yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([squeeze(k[at], True)], pa.binary()), pa.array([squeeze(c[at])], pa.binary())], ["bucket", "grams", "counts"])
 
     for batch in batches:
@@ -140,17 +158,26 @@ def _count(batches: Iterator[pa.RecordBatch], depth: int, buckets: int) -> Itera
             key, edge = grams(tb.FOLD[data], off, depth)
             held = np.repeat(np.asarray(part.column("held_out").to_numpy(zero_copy_only=False), bool), np.diff(edge))
             for rows in (~held, held):
-                k, c = _unique(key[rows])
-                keys.append(k)
-                counts.append(c if rows is not held else np.zeros(len(k), np.int64))
-                waiting += len(k)
-            if waiting > 1_500_000:
-                k, c = _merge(keys, counts)
-                keys, counts, waiting = [k], [c], 0
-                if len(k) > 6_000_000:
+                own, n = _unique(key[rows])
+                keys.append(own)
+                counts.append(n if rows is not held else np.zeros(len(own), np.int64))
+                waiting += len(own)
+            if waiting > WAITING:
+                at, fresh, n = _known(k, c, keys, counts)
+                k = np.insert(k, at, fresh)  # one after the other: neither array is held twice while the other is
+                c = np.insert(c, at, n)
+                waiting = 0
+                if len(k) > GRAMS:
                     yield from emit()
-                    keys, counts = [np.zeros(0, tb.U)], [np.zeros(0, np.int64)]
+                    k, c = k[:0].copy(), c[:0].copy()
+                hand_back()
+    if keys:
+        at, fresh, n = _known(k, c, keys, counts)
+        k = np.insert(k, at, fresh)
+        c = np.insert(c, at, n)
     yield from emit()
+    del k, c
+    hand_back()
 
 
 _LANCZOS_SHIFT = 8
@@ -247,17 +274,30 @@ def _tree(t: pa.Table, depth: int, top: int) -> pa.Table:
     """
     parts = t.select(["grams", "counts"]).to_pylist()
     g, n = _merge([np.zeros(0, tb.U), *(expand(r["grams"], tb.U, True) for r in parts)], [np.zeros(0, np.int64), *(expand(r["counts"], np.int64) for r in parts)])
-    tree = Tree(g, n, depth, top)
-    nodes, values = [], []
-    for level in range(8):
-        key = tree.keys[top][tree.first[top][level]]
-        nodes.append(_parent(key, top) << tb.U(9) | tb.U(1 << level) | (key & tb.U(255)) >> tb.U(8 - level))
-        values.append(tree.pw[top][level])
-    nodes.append(_parent(g >> tb.U(8 * (depth - top + 1)) << tb.U(8), top) << tb.U(9) | tb.U(256) | g & tb.U(255))
-    values.append(n.astype(np.float64))
-    node, inv = np.unique(np.concatenate(nodes), return_inverse=True)
-    value = np.bincount(inv, weights=np.concatenate(values), minlength=len(node))
-    return pa.table({"bucket": pa.array([t.column("bucket")[0].as_py()], pa.int32())} | {k: pa.array([v], pa.binary()) for k, v in (("grams", squeeze(g, True)), ("counts", squeeze(n)), ("node", squeeze(node, True)), ("value", squeeze(value)))})
+    nodes, values = [np.zeros(0, tb.U)], [np.zeros(0)]
+    for a, z in _forest(g, depth, top):
+        own, tree = g[a:z], Tree(g[a:z], n[a:z], depth, top)
+        keys = [tree.keys[top][first] for first in tree.first[top]]
+        node = [_parent(key, top) << tb.U(9) | tb.U(1 << level) | (key & tb.U(255)) >> tb.U(8 - level) for level, key in enumerate(keys)]
+        leaf = _parent(own >> tb.U(8 * (depth - top + 1)) << tb.U(8), top) << tb.U(9) | tb.U(256) | own & tb.U(255)
+        node, value = _merge([*node, leaf], [*tree.pw[top], n[a:z].astype(np.float64)])
+        nodes.append(node)
+        values.append(value)
+    node, value = _merge(nodes, values)
+    out = pa.table({"bucket": pa.array([t.column("bucket")[0].as_py()], pa.int32())} | {k: pa.array([v], pa.binary()) for k, v in (("grams", squeeze(g, True)), ("counts", squeeze(n)), ("node", squeeze(node, True)), ("value", squeeze(value)))})
+    del g, n, nodes, values, parts
+    hand_back()
+    return out
+
+
+def _forest(g: np.ndarray, depth: int, top: int) -> Iterator[tuple[int, int]]:
+    """Ranges of ascending grams, of about FOREST each, that part no run of ``top`` nearest bytes: such runs share no node of depth ``top`` or more."""
+    x = context(g, depth, top)
+    starts, a = np.r_[np.flatnonzero(np.r_[True, x[1:] != x[:-1]]), len(x)], 0
+    while a < len(x):
+        z = int(starts[max(np.searchsorted(starts, a, "right"), np.searchsorted(starts, a + FOREST, "right") - 1)])
+        yield a, z
+        a = z
 
 
 def _parent(key: np.ndarray, depth: int) -> np.ndarray:
@@ -307,17 +347,19 @@ def fit(docs: DataFrame, depth: int = DEPTH, buckets: int = 1) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 g, n = expand(r["grams"], tb.U, True), expand(r["counts"], np.int64)
-                tree, total = Tree(g, n, depth, top), np.zeros(len(g))
-                over = _parent(g >> tb.U(8 * (depth - top + 1)) << tb.U(8), top) << tb.U(9)
-                for level in range(8):
-                    p = tree.estimate(level)[0]
-                    if shared.value is not None:
-                        keys, a, b = shared.value
-                        at = np.searchsorted(keys, over | tb.U(2 << level) | (g & tb.U(255)) >> tb.U(7 - level))
-                        p = a[at] + b[at] * p
-                    total += np.log10(p)
+                total = np.zeros(len(g))
+                for start, end in _forest(g, depth, top):
+                    own, tree = g[start:end], Tree(g[start:end], n[start:end], depth, top)
+                    over = _parent(own >> tb.U(8 * (depth - top + 1)) << tb.U(8), top) << tb.U(9)
+                    for level in range(8):
+                        p = tree.estimate(level)[0]
+                        if shared.value is not None:
+                            keys, a, b = shared.value
+                            at = np.searchsorted(keys, over | tb.U(2 << level) | (own & tb.U(255)) >> tb.U(7 - level))
+                            p = a[at] + b[at] * p
+                        total[start:end] += np.log10(p)
                 logp = ((total.astype(np.float32).view(np.uint32) + np.uint32(128)) & np.uint32(0xFFFFFF00)).view(np.float32)
-                for b, rows in _dealt(bucket_of(context(g, depth, NEAR), buckets), buckets):
+                for b, rows in _dealt(context(g, depth, NEAR), buckets):
                     yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([squeeze(g[rows], True)], pa.binary()), pa.array([squeeze(logp[rows])], pa.binary())], ["bucket", "grams", "logp"])
 
     return trees.select("grams", "counts").mapInArrow(final, _VALUED)
@@ -336,8 +378,8 @@ def _pack(batches: Iterator[pa.RecordBatch], depth: int, buckets: int) -> Iterat
         g = _unique(np.concatenate(keys))[0]
         w, c = _merge(words, counts)
         keys.clear()
-        by_gram = dict(_dealt(bucket_of(context(g, depth, NEAR), buckets), buckets))
-        by_word = dict(_dealt(bucket_of(w, buckets), buckets))
+        by_gram = dict(_dealt(context(g, depth, NEAR), buckets))
+        by_word = dict(_dealt(w, buckets))
         bearer, none = (pid + serial) % buckets, np.zeros(0, np.int64)
         for b in sorted({bearer, *by_gram, *by_word}):  # one row a batch: a chunk is never copied as a whole
             at, own = by_gram.get(b, none), by_word.get(b, none)
@@ -364,6 +406,7 @@ def _pack(batches: Iterator[pa.RecordBatch], depth: int, buckets: int) -> Iterat
                 yield from emit()
                 keys, words, counts, ids, held, texts, sizes, size = [], [], [], [], [], [], [], 0
                 serial += 1
+                hand_back()
     if ids:
         yield from emit()
 
@@ -394,6 +437,8 @@ def _answer(t: pa.Table, table: pa.Table, buckets: int) -> pa.Table:
             | {"distinct": int((trained > 0).sum()) if k == 0 else 0}
         )
         at += len(w)
+    del parts, rows, keys, logp, order, words, every, inv, trained
+    hand_back()
     return pa.Table.from_pylist(out, pa.schema(list(_ANSWER.items())))
 
 
@@ -418,11 +463,11 @@ def _texts(t: pa.Table, depth: int) -> pa.Table:
         key, edge = grams(*part(a, z), depth)
         order = np.argsort(key).astype(np.int32)
         own, count = _unique(key[order])
-        sorted_.append((order, own, count, edge))
+        sorted_.append((order, own, count.astype(np.int32), edge))
     keys = _unique(np.concatenate([x[1] for x in sorted_]))[0]
-    asked = np.argsort(bucket_of(context(keys, depth, NEAR), buckets), kind="stable")
-    logp = np.empty(len(keys), np.float32)
-    logp[asked] = np.concatenate([expand(r.pop("logp"), np.float32) for r in rows])
+    logp, values = np.empty(len(keys), np.float32), {r["bucket"]: r.pop("logp") for r in rows}
+    for b, at in _dealt(context(keys, depth, NEAR), buckets):
+        logp[at] = expand(values.pop(b), np.float32)
     words = np.unique(np.concatenate([np.unique(hashes(a, z)[0]) for a, z in pairwise(edges)]))
     trained = np.concatenate([expand(r["trained"], np.int64) for r in rows])
     trained_of = np.empty(len(words), np.int64)
@@ -440,6 +485,8 @@ def _texts(t: pa.Table, depth: int) -> pa.Table:
         tokens[a:z] = np.bincount(row, minlength=z - a) + 1
     distinct = np.zeros(n, np.int64)
     distinct[0] = sum(r["distinct"] for r in rows)
+    del sorted_, keys, logp, values, value, so_far, key, order, own, count, data
+    hand_back()
     return pa.table({"doc_id": pa.array(bearer["ids"], pa.int64()), "held_out": pa.array(bearer["held"]), "symbols": pa.array(np.diff(off) + 1), "n_tokens": pa.array(tokens), "n_known": pa.array(known), "sums": pa.array(sums), "score": pa.array(score), "distinct": pa.array(distinct)})
 
 
