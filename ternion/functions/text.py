@@ -81,11 +81,10 @@ def preprocess(c: Column, limit: int, rewrite=lambda x: x) -> Column:
 
 def is_literal(c: Column) -> Column:
     """Whole numbers, decimals, or a text with a date mention in it."""
-    s = strip(c)
-    test = s.rlike(r"^-?\d+$") | s.rlike(r"^-?\d+\.\d+$")
+    test = c.rlike(r"^(?U:\s*)-?\d+(?:\.\d+)?(?U:\s*)$")
     for d in DATES:
-        test = test | s.rlike(d)
-    return test
+        test = test | c.rlike(d)
+    return c.rlike(r"\d") & test  # each of them has a digit
 
 
 def literal_datatype(c: Column) -> Column:
@@ -116,8 +115,7 @@ def camel_label(c: Column) -> Column:
 
 def slug(c: Column) -> Column:
     """Runs of other characters than A-Z, a-z, 0-9 as one underscore, none at the ends; ``item`` if nothing stays."""
-    s = F.regexp_replace(F.regexp_replace(strip(c), "[^A-Za-z0-9]+", "_"), "^_+|_+$", "")
-    return F.when(s == "", "item").otherwise(s)
+    return F.regexp_replace(F.btrim(F.regexp_replace(c, "[^A-Za-z0-9]+", "_"), F.lit("_")), "^$", "item")
 
 
 def label_norm(c: Column) -> Column:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ternion.functions import text as T
-from ternion.functions.parsing import ratio
+from ternion.functions.parsing import ratio_from
 from ternion.operators.closure import transitive_closure
-from ternion.plans.lineage import ranked
+from ternion.plans.lineage import cut, ranked
 from ternion.schema import CONNECTED, DEFAULT_CLASSES, DEFAULT_PREDICATES, OWL, PROV, PT, RDF_TYPE, RDFS, RULES, SCHEMA_CATALOG, TFL, TRIPLES, XSD
 
 CLASS_LEAST, PREDICATE_LEAST = 0.6, 0.66
@@ -25,13 +27,27 @@ def schema_catalog(spark: SparkSession, learned: DataFrame | None = None) -> Dat
     return default if learned is None else learned.select(*default.columns).unionByName(default)
 
 
-def best_match(labels: DataFrame, catalog: DataFrame, role: str) -> DataFrame:
-    """The best catalog entry of each distinct label by matching ratio (> 0), the first of equals: label, iri, match, score."""
-    side = catalog.where(F.col("role") == role).select("ord", F.col("label").alias("match"), "iri")
-    pairs = labels.select("label").distinct().crossJoin(side)  # the catalog is schema, not data
-    scored = pairs.withColumn("score", ratio(T.label_norm(F.col("label")), T.label_norm(F.col("match")))).where("score > 0")
-    best = scored.groupBy("label").agg(F.max_by(F.struct("iri", "match", "score"), F.struct("score", -F.col("ord"))).alias("x"))
-    return best.select("label", "x.iri", "x.match", "x.score")
+def _form(side: DataFrame) -> Callable[[Column], Column]:
+    """A normal label with every character that no entry (``norm``) has as one and the same mark: its ratio to each entry stays what it was."""
+    chars = {r[0] for r in side.select(F.explode(F.split("norm", "")).alias("c")).distinct().collect()} - {""}
+    mark = next(chr(i) for i in range(0xE000, 0xF900) if chr(i) not in chars)
+    other = "[^" + "".join(f"\\x{{{ord(c):x}}}" for c in sorted(chars)) + "]" if chars else "(?s)."
+    return lambda label: F.regexp_replace(T.label_norm(label), other, mark)
+
+
+def best_match(labels: DataFrame, catalog: DataFrame, role: str, least: float = 0.0) -> DataFrame:
+    """The best catalog entry of each distinct label by matching ratio (> 0, ``least`` or more), the first of equals: label, iri, match, score.
+
+    The ratio sees where characters are equal. Those that no entry has never are, so labels that differ in them alone
+    (as by their numbers) share a form, and a form is compared once.
+    """
+    side = cut(catalog.where(F.col("role") == role).select("ord", F.col("label").alias("match"), "iri", T.label_norm(F.col("label")).alias("norm")), "catalog")
+    form = _form(side)
+    formed = labels.select("label", form(F.col("label")).alias("form"))
+    pairs = formed.select("form").distinct().crossJoin(F.broadcast(side))  # the catalog is schema, not data
+    scored = pairs.withColumn("score", ratio_from(least)(F.col("form"), F.col("norm"))).where("score > 0")
+    best = scored.groupBy("form").agg(F.max_by(F.struct("iri", "match", "score"), F.struct("score", -F.col("ord"))).alias("x"))
+    return formed.join(cut(best.select("form", "x.*"), "matches"), "form").select("label", "iri", "match", "score").distinct()
 
 
 def map_nodes(t: DataFrame, names: DataFrame, catalog: DataFrame, closed: bool = True, demote: bool = False) -> DataFrame:
@@ -46,11 +62,11 @@ def map_nodes(t: DataFrame, names: DataFrame, catalog: DataFrame, closed: bool =
     known = numbered.join(names.select("name", "kind", F.col("label").alias("shown"), "comment"), "name", "left").select("n", "name", F.coalesce("kind", F.lit("individual")).alias("kind"), F.coalesce("shown", "name").alias("label"), F.coalesce("comment", F.lit("")).alias("comment"))
     if closed:
         learned = catalog.where((F.col("role") == "classes") & (F.col("ord") < LEARNED_BELOW)).select(T.label_norm(F.col("label")).alias("norm"), F.lit(True).alias("old")).distinct()
-        known = known.withColumn("norm", T.label_norm(F.col("name"))).join(learned, "norm", "left").drop("norm")
+        known = known.withColumn("norm", T.label_norm(F.col("name"))).join(F.broadcast(learned), "norm", "left").drop("norm")
         fresh = (F.col("kind") == "class") & F.col("old").isNull()
         known = known.withColumn("kind", F.when(fresh, "individual").otherwise(F.col("kind"))) if demote else known.where(~fresh)
     is_class = F.col("kind") == "class"
-    match = best_match(known.where(~is_class).select(F.col("name").alias("label")), catalog, "classes").where(F.col("score") >= CLASS_LEAST)
+    match = cut(best_match(known.where(~is_class).select(F.col("name").alias("label")), catalog, "classes", CLASS_LEAST), "class-matches")
     own = F.concat(F.lit(TFL), T.slug(F.col("name")))
     m = known.join(match.select(F.col("label").alias("name"), F.col("iri").alias("mi"), F.col("match").alias("ml")), "name", "left")
     class_iri = F.when(is_class, own).otherwise(F.coalesce("mi", F.lit(TFL + "TransportEntity")))
@@ -65,9 +81,11 @@ def map_edges(t: DataFrame, nodes: DataFrame, names: DataFrame, catalog: DataFra
     s = nodes.select(F.col("name").alias("subject"), F.col("id").alias("subject_id"), F.col("iri").alias("subject_iri"))
     o = nodes.select(F.col("name").alias("object"), F.col("id").alias("object_id"), F.col("iri").alias("object_iri"))
     kinds = names.select(F.col("name").alias("predicate"), F.col("kind").alias("pk"), F.col("label").alias("pl"))
-    literal = T.is_literal(F.col("object"))
-    match = best_match(t.select(F.col("predicate").alias("label")), catalog, "predicates").where(F.col("score") >= PREDICATE_LEAST).select(F.col("label").alias("predicate"), F.col("iri").alias("mi"))
-    e = t.join(s, "subject").join(o, "object", "left").where(literal | F.col("object_id").isNotNull()).join(kinds, "predicate", "left").join(match, "predicate", "left").withColumn("lit", literal)
+    # Predicates are few and each has very many triplets: what is known of one is written first, so that it goes to the triplets and not they to it.
+    predicates = cut(t.select("predicate").distinct(), "predicates")
+    match = best_match(predicates.withColumnRenamed("predicate", "label"), catalog, "predicates", PREDICATE_LEAST).select(F.col("label").alias("predicate"), F.col("iri").alias("mi"))
+    known = cut(predicates.join(kinds, "predicate", "left").join(match, "predicate", "left"), "known-predicates")
+    e = t.withColumn("lit", T.is_literal(F.col("object"))).join(s, "subject").join(o, "object", "left").where(F.col("lit") | F.col("object_id").isNotNull()).join(known, "predicate", "left")
     return e.select(
         "seq", "subject_id", "subject_iri", "predicate", F.coalesce("pl", "predicate").alias("predicate_label"), F.coalesce("mi", F.concat(F.lit(TFL), T.slug(F.col("predicate")))).alias("predicate_iri"),
         F.coalesce("pk", F.lit("object_property")).alias("predicate_kind"), "provenance_sentence",
@@ -91,7 +109,7 @@ def construct(nodes: DataFrame, edges: DataFrame, owl_axioms: bool = False, cata
     row = lambda s, p, o, lit=False, dt="": [s.alias("s"), F.lit(p).alias("p") if isinstance(p, str) else p.alias("p"), o.alias("o"), F.lit(lit).alias("is_literal"), F.lit(dt).alias("datatype") if isinstance(dt, str) else dt.alias("datatype")]
     ext = "http://example.org/tfl/extracted"
     parts = [triples_of(spark, [(ext, RDF_TYPE, OWL + "Ontology"), (ext, OWL + "imports", "http://example.org/tfl")])]
-    first = nodes.groupBy("class_iri").agg(F.min_by(F.struct("class_label", "comment", "is_class"), "n").alias("f")).select("class_iri", "f.*")
+    first = cut(nodes.groupBy("class_iri").agg(F.min_by(F.struct("class_label", "comment", "is_class"), "n").alias("f")).select("class_iri", "f.*"), "classes")
     c = F.col("class_iri")
     parts += [
         first.select(*row(c, RDF_TYPE, F.lit(OWL + "Class"))),
@@ -105,7 +123,7 @@ def construct(nodes: DataFrame, edges: DataFrame, owl_axioms: bool = False, cata
         ind.select(*row(i, RDFS + "label", F.col("label"), True, XSD + "string")),
         ind.where("comment <> ''").select(*row(i, RDFS + "comment", F.col("comment"), True, XSD + "string")),
     ]
-    props = edges.groupBy("predicate_iri").agg(F.min_by(F.struct("predicate_label", "predicate_kind"), "seq").alias("f")).select("predicate_iri", "f.*")
+    props = cut(edges.groupBy("predicate_iri").agg(F.min_by(F.struct("predicate_label", "predicate_kind"), "seq").alias("f")).select("predicate_iri", "f.*"), "properties")
     kind = F.when(F.col("predicate_kind") == "datatype_property", OWL + "DatatypeProperty").otherwise(OWL + "ObjectProperty")
     p = F.col("predicate_iri")
     parts += [props.select(*row(p, RDF_TYPE, kind)), props.select(*row(p, RDFS + "label", F.col("predicate_label"), True, XSD + "string"))]

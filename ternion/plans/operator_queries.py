@@ -432,26 +432,31 @@ _EDGES = f"""(SELECT seq, s.id AS subject_id, s.iri AS subject_iri, predicate, C
   FROM (SELECT *, {_is_literal('object')} AS lit FROM {_T}) t JOIN {_NODES} s ON s.name = subject LEFT JOIN {_NODES} o ON o.name = object WHERE lit OR o.id IS NOT NULL)"""
 
 
-def _mapped(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Nodes and edges of the triplets, written once for the steps that follow."""
-    t, names, found = cut(triplets(spark, d), "mapped-triplets"), _names(spark, d), _learned(spark)
-    nodes = cut(G.map_nodes(t, names, found), "mapped-nodes")
-    return nodes, cut(G.map_edges(t, nodes, names, found), "mapped-edges")
+def _nodes(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
+    """Triplets, what is known of their names, the catalog, and the nodes, written once for the steps that follow."""
+    t, names, found = cut(triplets(spark, d), "mapped-triplets"), cut(_names(spark, d), "names"), _learned(spark)
+    return t, names, found, cut(G.map_nodes(t, names, found), "mapped-nodes")
+
+
+def _edges(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges of the triplets."""
+    t, names, found, nodes = _nodes(spark, d)
+    return nodes, G.map_edges(t, nodes, names, found)
 
 
 @query(f"SELECT id, name, label, comment, iri, class_iri, class_label, is_class FROM {_NODES}")
 def closed_schema_nodes(spark: SparkSession, d: str) -> DataFrame:
-    return _mapped(spark, d)[0].drop("n")
+    return _nodes(spark, d)[3].drop("n")
 
 
 @query(f"SELECT * FROM {_EDGES}")
 def mapped_edges(spark: SparkSession, d: str) -> DataFrame:
-    return _mapped(spark, d)[1]
+    return _edges(spark, d)[1]
 
 
 @query(f"SELECT DISTINCT predicate FROM {_EDGES} WHERE NOT mapped")
 def unmapped_predicates(spark: SparkSession, d: str) -> DataFrame:
-    return G.unmapped_predicates(_mapped(spark, d)[1])
+    return G.unmapped_predicates(_edges(spark, d)[1])
 
 
 def _out(s: str, p: str, o: str, source: str, datatype: str | None = None) -> str:
@@ -474,8 +479,8 @@ _CONSTRUCTED = " UNION ALL ".join([
 
 
 def constructed(spark: SparkSession, d: str) -> DataFrame:
-    nodes, edges = _mapped(spark, d)
-    return G.construct(nodes, edges, catalog=_names(spark, d).withColumn("base_category", F.when(F.col("kind") == "class", "entities").otherwise("relations")))
+    nodes, edges = _edges(spark, d)
+    return G.construct(nodes, cut(edges, "mapped-edges"), catalog=_names(spark, d).withColumn("base_category", F.when(F.col("kind") == "class", "entities").otherwise("relations")))
 
 
 @query(_CONSTRUCTED)
