@@ -211,9 +211,12 @@ def owl_closure(graph: DataFrame) -> DataFrame:
 
 
 def functional_violations(graph: DataFrame, functional: DataFrame | None = None) -> DataFrame:
-    """``(s, p, n)`` where a functional property has several values. ``functional``: p; else the graph's own declarations."""
+    """``(s, p, n)`` where a functional property has several values. ``functional``: p; else the graph's own declarations.
+
+    Properties are schema, not data: they go to the triples, as one property's triples may be nearly all.
+    """
     f = functional if functional is not None else graph.where((F.col("p") == RDF_TYPE) & (F.col("o") == OWL + "FunctionalProperty")).select(F.col("s").alias("p"))
-    return graph.join(f.distinct(), "p").groupBy("s", "p").agg(F.count_distinct("o").alias("n")).where("n > 1")
+    return graph.join(F.broadcast(f.distinct()), "p").groupBy("s", "p").agg(F.count_distinct("o").alias("n")).where("n > 1")
 
 
 def disjoint_violations(types: DataFrame, disjoint: DataFrame) -> DataFrame:
