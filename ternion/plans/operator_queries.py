@@ -319,7 +319,8 @@ _LINKS = f"SELECT a.vec_id AS src, b.vec_id AS dst FROM embeddings a JOIN embedd
 def links(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of all vectors with a cosine of 0.4 or more, the smaller id first."""
     e = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("name"), F.col("embedding").alias("vec"))
-    return L.similar(e, e, least=0.4).select(F.col("a").cast("long").alias("src"), F.col("b").cast("long").alias("dst")).where("src < dst")
+    pairs = L.similar_pairs(e, 0.4).select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+    return pairs.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"))
 
 
 @query(_LINKS)
