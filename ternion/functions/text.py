@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -71,12 +73,19 @@ def greedy_chunks(parts: Column, limit: int) -> Column:
     return F.get(F.transform(F.array(found), cut), 0)  # the one-element array binds what was found: it is computed once
 
 
-def preprocess(c: Column, limit: int, rewrite=lambda x: x) -> Column:
-    """A short text whole, a long one by chunks of sentences, each through ``rewrite`` (null: kept); all empty: unchanged."""
-    whole = F.coalesce(rewrite(c), c)
-    parts = F.array_join(F.transform(greedy_chunks(sentences(c, True), limit), lambda x: F.coalesce(rewrite(x), x)), " ")
-    out = F.when(F.size(words(c)) <= limit, whole).otherwise(parts)
-    return F.when(strip(out) == "", c).otherwise(out)
+def preprocess(c: Column, limit: int, rewrite: Callable[[Column], Column] | None = None) -> Column:
+    """A short text whole, a long one by chunks of sentences, each through ``rewrite`` (null: kept); all empty: unchanged.
+
+    Without ``rewrite`` the chunks would be joined as they were cut, so the sentences are joined at once.
+    """
+    short = F.size(words(c)) <= limit
+    if rewrite is None:
+        out = F.when(short, c).otherwise(F.array_join(sentences(c, True), " "))
+    else:
+        parts = F.array_join(F.transform(greedy_chunks(sentences(c, True), limit), lambda x: F.coalesce(rewrite(x), x)), " ")
+        out = F.when(short, F.coalesce(rewrite(c), c)).otherwise(parts)
+    # The one-element array binds the result: it is made once and looked at twice.
+    return F.get(F.transform(F.array(out), lambda x: F.when(x.rlike(r"(?U)\S"), x).otherwise(c)), 0)
 
 
 def is_literal(c: Column) -> Column:
