@@ -155,9 +155,8 @@ def to_graph(triples: DataFrame) -> DataFrame:
     return full.select("s", "p", "o", F.when(F.col("is_literal"), "literal").when(F.col("o").startswith("_:"), "bnode").otherwise("iri").alias("o_kind"), F.coalesce("datatype", F.lit("")).alias("datatype"), F.lit("").alias("lang")).distinct()
 
 
-def _fresh(inferred: DataFrame, triples: DataFrame) -> DataFrame:
-    key = ["s", "p", "o", "is_literal", "datatype"]
-    return inferred.select(*key).distinct().join(triples.select(*key), key, "left_anti")
+#: Triples that meet in a task when what is new is told from what was there.
+TASK_TRIPLES = 500_000
 
 
 def reason(triples: DataFrame, rules: tuple = RULES) -> DataFrame:
@@ -169,7 +168,12 @@ def reason(triples: DataFrame, rules: tuple = RULES) -> DataFrame:
     table = triples.sparkSession.createDataFrame([(p, q) for _, p, q in rules], "p string, q string")
     typed = base.where(F.col("p") != RDF_TYPE).select("s", F.lit(RDF_TYPE).alias("p"), F.lit(CONNECTED).alias("o"))
     swapped = base.join(F.broadcast(table), "p").select(F.col("o").alias("s"), F.col("q").alias("p"), F.col("s").alias("o"))  # rules, not data
-    return _fresh(typed.unionByName(swapped).select("s", "p", "o", F.lit(False).alias("is_literal"), F.lit("").alias("datatype")), triples)
+    # Inferred and given triples are told apart in one exchange, by parts that follow the rows; only given ones that could be inferred count.
+    given = base.where("datatype = ''").join(F.broadcast(table.select(F.col("q").alias("p")).union(triples.sparkSession.range(1).select(F.lit(RDF_TYPE))).distinct()), "p", "left_semi")
+    parts = max(int(triples.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-base.count() // TASK_TRIPLES))
+    both = typed.unionByName(swapped).withColumn("old", F.lit(False)).unionByName(given.select("s", "p", "o", F.lit(True).alias("old")))
+    fresh = both.repartition(parts, "s", "p", "o").groupBy("s", "p", "o").agg(F.bool_or("old").alias("old")).where("NOT old")
+    return fresh.select("s", "p", "o", F.lit(False).alias("is_literal"), F.lit("").alias("datatype"))
 
 
 def owl_closure(graph: DataFrame) -> DataFrame:
@@ -177,34 +181,39 @@ def owl_closure(graph: DataFrame) -> DataFrame:
 
     Unions as domain or range (blank nodes) give no type. Full description-logic reasoning is out of scope.
     """
-    g = graph.select("s", "p", "o", "o_kind", "datatype", "lang").distinct()
+    g = cut(graph.select("s", "p", "o", "o_kind", "datatype", "lang"), "owl")
+    # Axioms are written apart: they are few, and so go to the facts, which are not dealt by predicate or class.
+    told = [RDFS + x for x in ("subClassOf", "subPropertyOf", "domain", "range")] + [OWL + x for x in ("equivalentClass", "equivalentProperty", "inverseOf", "propertyChainAxiom")]
+    axioms = cut(g.where(F.col("p").isin(told) | F.col("p").endswith("#first") | F.col("p").endswith("#rest") | ((F.col("p") == RDF_TYPE) & F.col("o").startswith(OWL))).distinct(), "owl-axioms")
     iri = lambda df: df.select("s", "p", "o", F.lit("iri").alias("o_kind"), F.lit("").alias("datatype"), F.lit("").alias("lang"))
-    of = lambda p: g.where((F.col("p") == p) & (F.col("o_kind") == "iri")).select(F.col("s").alias("src"), F.col("o").alias("dst"))
+    of = lambda p: axioms.where((F.col("p") == p) & (F.col("o_kind") == "iri")).select(F.col("s").alias("src"), F.col("o").alias("dst"))
     both = lambda e: e.union(e.select("dst", "src"))
     sub = transitive_closure(of(RDFS + "subClassOf").union(both(of(OWL + "equivalentClass"))))
     subp = transitive_closure(of(RDFS + "subPropertyOf").union(both(of(OWL + "equivalentProperty")))).where("src <> dst")
-    facts = g.join(subp, g["p"] == subp["src"]).select("s", F.col("dst").alias("p"), "o", "o_kind", "datatype", "lang").union(g).distinct()
+    # Repeats are harmless until the end, where one exchange drops them.
+    facts = g.join(subp, g["p"] == subp["src"]).select("s", F.col("dst").alias("p"), "o", "o_kind", "datatype", "lang").union(g)
     links = facts.where("o_kind <> 'literal'")
-    inverse = both(of(OWL + "inverseOf")).distinct()
+    inverse = cut(both(of(OWL + "inverseOf")).distinct(), "owl-inverse")
     inv = links.join(inverse, links["p"] == inverse["src"]).select(F.col("o").alias("s"), F.col("dst").alias("p"), F.col("s").alias("o"))
-    kind = lambda k: g.where((F.col("p") == RDF_TYPE) & (F.col("o") == OWL + k)).select(F.col("s").alias("p"))
+    kind = lambda k: axioms.where((F.col("p") == RDF_TYPE) & (F.col("o") == OWL + k)).select(F.col("s").alias("p")).distinct()
     sym = links.join(kind("SymmetricProperty"), "p").select(F.col("o").alias("s"), "p", F.col("s").alias("o"))
-    links = iri(inv).union(iri(sym)).union(links).distinct()
-    lists = g.where(F.col("p") == OWL + "propertyChainAxiom").select(F.col("s").alias("q"), F.col("o").alias("l1"))
-    nxt = g.where(F.col("p").endswith("#first")).select(F.col("s").alias("l"), F.col("o").alias("f"))
-    rest = g.where(F.col("p").endswith("#rest")).select(F.col("s").alias("l"), F.col("o").alias("r"))
-    two = lists.join(nxt.withColumnsRenamed({"l": "l1", "f": "p1"}), "l1").join(rest.withColumnsRenamed({"l": "l1", "r": "l2"}), "l1").join(nxt.withColumnsRenamed({"l": "l2", "f": "p2"}), "l2").select("q", "p1", "p2")
-    x, y = links.select(F.col("s").alias("a"), F.col("p").alias("p1"), F.col("o").alias("m")), links.select(F.col("s").alias("m"), F.col("p").alias("p2"), F.col("o").alias("b"))
-    chained = x.join(two, "p1").join(y, ["m", "p2"]).select(F.col("a").alias("s"), F.col("q").alias("p"), F.col("b").alias("o"))
-    links = iri(chained).union(links).distinct()
+    links = iri(inv).union(iri(sym)).union(links)
+    lists = axioms.where(F.col("p") == OWL + "propertyChainAxiom").select(F.col("s").alias("q"), F.col("o").alias("l1"))
+    nxt = axioms.where(F.col("p").endswith("#first")).select(F.col("s").alias("l"), F.col("o").alias("f"))
+    rest = axioms.where(F.col("p").endswith("#rest")).select(F.col("s").alias("l"), F.col("o").alias("r"))
+    two = cut(lists.join(nxt.withColumnsRenamed({"l": "l1", "f": "p1"}), "l1").join(rest.withColumnsRenamed({"l": "l1", "r": "l2"}), "l1").join(nxt.withColumnsRenamed({"l": "l2", "f": "p2"}), "l2").select("q", "p1", "p2").distinct(), "owl-chains")
+    x = links.select(F.col("s").alias("a"), F.col("p").alias("p1"), F.col("o").alias("m")).join(two, "p1").distinct()
+    y = links.select(F.col("s").alias("m"), F.col("p").alias("p2"), F.col("o").alias("b")).join(two.select("p2"), "p2", "left_semi").distinct()
+    chained = cut(x.join(y, ["m", "p2"]).select(F.col("a").alias("s"), F.col("q").alias("p"), F.col("b").alias("o")).distinct(), "owl-chained")
+    links = iri(chained).union(links)
     trans = links.join(kind("TransitiveProperty"), "p")
     ends = transitive_closure(trans.select(F.struct("p", F.col("s").alias("x")).alias("src"), F.struct("p", F.col("o").alias("x")).alias("dst")))
-    links = iri(ends.select(F.col("src.x").alias("s"), F.col("src.p").alias("p"), F.col("dst.x").alias("o"))).union(links).distinct()
-    facts = facts.union(links).distinct()
+    links = iri(ends.select(F.col("src.x").alias("s"), F.col("src.p").alias("p"), F.col("dst.x").alias("o"))).union(links)
+    facts = facts.where("o_kind = 'literal'").union(links)
     dom, ran = of(RDFS + "domain"), of(RDFS + "range")
     typed = facts.join(dom, facts["p"] == dom["src"]).select("s", F.lit(RDF_TYPE).alias("p"), F.col("dst").alias("o"))
     typed = typed.union(links.join(ran, links["p"] == ran["src"]).select(F.col("o").alias("s"), F.lit(RDF_TYPE).alias("p"), F.col("dst").alias("o")).where(~F.col("o").startswith(XSD)))
-    typed = iri(typed).union(facts.where(F.col("p") == RDF_TYPE)).distinct()
+    typed = cut(iri(typed).union(facts.where(F.col("p") == RDF_TYPE)).distinct(), "owl-typed")
     up = typed.join(sub, typed["o"] == sub["src"]).select("s", "p", F.col("dst").alias("o"))
     supers = iri(sub.where("src <> dst").select(F.col("src").alias("s"), F.lit(RDFS + "subClassOf").alias("p"), F.col("dst").alias("o")))
     return facts.union(typed).union(iri(up)).union(supers).distinct()
