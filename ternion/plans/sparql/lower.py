@@ -23,6 +23,8 @@ from ternion.plans.sparql.parser import XSD, Query, parse
 from ternion.schema import GRAPH
 
 _SEP = "\u0001"
+#: Bytes of written solutions up to which the next pattern is joined with them still held.
+HELD = 8 * 2**20
 _NUMERIC = [XSD + x for x in ("integer", "decimal", "double", "float", "int", "long", "short", "byte", "nonNegativeInteger", "positiveInteger")]
 _AGGREGATES = {"COUNT", "SUM", "MIN", "MAX", "AVG", "SAMPLE", "GROUP_CONCAT"}
 
@@ -218,8 +220,11 @@ class Engine:
 
         def flush() -> None:
             nonlocal plan
+            held = bool(fixed or seeds)
             for part in self._ordered(triples, plan.vars if plan else set(), fixed, seeds or {}):
                 plan = self._join(plan, part)
+                if held:
+                    plan, held = self._hold(plan)
             triples.clear()
 
         for part in node[1]:
@@ -262,6 +267,15 @@ class Engine:
             plan = Plan(plan.df.where(self._expr(f, plan.vars).bool()), plan.vars, plan.loose)
         return plan
 
+    @staticmethod
+    def _hold(plan: Plan) -> tuple[Plan, bool]:
+        """The solutions so far, written, and whether they are few: the plan then knows it, and they go to the next pattern's triples, which stay where they are."""
+        if not plan.vars:
+            return plan, True
+        df = cut(plan.df, "solutions")
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return Plan(df, plan.vars, plan.loose), size <= HELD
+
     @staticmethod
     def _fixed(node: tuple) -> dict[str, str]:
         """Variables whose lexical form a FILTER of the group fixes: ``STR(?v) = "text"``. Patterns may look for it before any join."""
@@ -281,12 +295,13 @@ class Engine:
         return {v: cut(plan.df.select(_c(v).alias("seed")).distinct(), "seeds") for v in sorted((described & plan.vars) - plan.loose)}
 
     def _ordered(self, triples: list[tuple], bound: set[str], fixed: dict[str, str], seeds: dict[str, DataFrame]) -> list[Plan]:
-        """Patterns so that each shares a variable with those before it where any does; most constants first."""
+        """Patterns so that each shares a variable with those before it where any does; those with values that are sought first, then most constants."""
         left, seen, out = list(triples), set(bound), []
         names = lambda t: {x[1] for x in (t[1], t[3]) if x[0] == "var"} | ({t[2][1]} if t[2][0] == "var" else set())
         while left:
-            known = lambda x: x[0] != "var" or x[1] in fixed or x[1] in seeds
-            best = max(left, key=lambda t: (bool(names(t) & seen) or not seen, known(t[1]) + known(t[3]), t[2][0] == "iri", -left.index(t)))
+            sought = lambda x: x[0] == "var" and (x[1] in fixed or x[1] in seeds)
+            known = lambda x: x[0] != "var" or sought(x)
+            best = max(left, key=lambda t: (bool(names(t) & seen) or not seen, sought(t[1]) or sought(t[3]), known(t[1]) + known(t[3]), t[2][0] == "iri", -left.index(t)))
             left.remove(best)
             seen |= names(best)
             found = self._pattern(best, fixed)
