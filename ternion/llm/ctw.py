@@ -46,10 +46,12 @@ from ternion.llm.tables import hand_back, small_batches
 from ternion.plans.lineage import cut
 
 DEPTH, TOP, NEAR, CHUNK_BYTES, BUCKET_BYTES = 7, 3, 4, 8 << 20, 8 << 20
-#: Distinct grams: that a task counts before it sends them, that wait to be added to these, of trees that are evaluated together.
-GRAMS, WAITING, FOREST = 6_000_000, 1_500_000, 100_000
-_HALF = math.log(0.5)
-_TEXT, _QUICK = pa.Codec("zstd", compression_level=6), pa.Codec("zstd", compression_level=1)
+#: Distinct grams that a task counts before it sends them; grams, repeated ones too, that wait to be added to these; distinct ones of trees that are evaluated together.
+GRAMS, WAITING, FOREST = 6_000_000, 2_000_000, 100_000
+#: Bytes of the texts, and grams, that one step works on, so that caches hold them; grams that are sorted together.
+PIECE_BYTES, FEW, SORTED = 1 << 18, 1 << 16, 4_000_000
+_HALF, _LOW_HALF = math.log(0.5), np.uint64(0xFFFFFFFF)
+_TEXT, _QUICK = pa.Codec("zstd", compression_level=5), pa.Codec("zstd", compression_level=1)
 
 
 def held_out() -> Column:
@@ -70,10 +72,10 @@ def grams(data: np.ndarray, off: np.ndarray, depth: int) -> tuple[np.ndarray, np
     wide = np.zeros(len(data) + n * gap + 7, np.uint8)
     wide[place] = data
     # Each place's eight last bytes as one word, the newest highest: `depth` + 1 of them, turned by one.
-    key = np.ndarray((len(wide) - 7,), "<u8", wide, strides=(1,)) >> tb.U(8 * (7 - depth))
+    key = np.ndarray((len(wide) - 7,), "<u8", wide, strides=(1,))
+    key = key[np.arange(len(data) + n) + np.repeat(np.arange(n) * (gap - 1), size + 1)] >> tb.U(8 * (7 - depth))
     key = (key << tb.U(8) | key >> tb.U(8 * depth)) & tb.U((1 << 8 * (depth + 1)) - 1)
-    own = np.repeat(np.arange(n) * gap, size + 1) + (np.arange(len(data) + n) - np.repeat(off[:-1] + np.arange(n), size + 1)) + np.repeat(off[:-1], size + 1)
-    return key[own], off + np.arange(n + 1)
+    return key, off + np.arange(n + 1)
 
 
 def context(g: np.ndarray, depth: int, near: int) -> np.ndarray:
@@ -96,20 +98,22 @@ def _unique(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def squeeze(x: np.ndarray, ascending: bool = False) -> bytes:
-    """An array as bytes: the differences of ascending words, laid out plane by plane and compressed."""
+    """An array as bytes: the differences of ascending words, laid out plane by plane and compressed. Counts (int64, not negative) take as few planes as the largest needs."""
     if ascending and len(x):
         x = np.r_[x[:1], x[1:] - x[:-1]]
+    if x.dtype == np.int64 and len(x):
+        x = x.astype(np.min_scalar_type(x.max()))
     raw = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes() if len(x) else b""
-    return len(x).to_bytes(8, "little") + (_QUICK.compress(raw, asbytes=True) if raw else b"")
+    return len(x).to_bytes(7, "little") + bytes([x.itemsize % 8]) + (_QUICK.compress(raw, asbytes=True) if raw else b"")
 
 
 def expand(raw: bytes, kind: type, ascending: bool = False) -> np.ndarray:
     """What `squeeze` was given."""
-    n, width = int.from_bytes(raw[:8], "little"), np.dtype(kind).itemsize
+    n, width = int.from_bytes(raw[:7], "little"), raw[7] or 8
     if not n:
         return np.zeros(0, kind)
     planes = np.frombuffer(_QUICK.decompress(raw[8:], n * width, asbytes=True), np.uint8).reshape(width, n)
-    x = np.ascontiguousarray(planes.T).view(kind).reshape(n)
+    x = np.ascontiguousarray(planes.T).view(f"<u{width}" if kind is np.int64 else kind).reshape(n).astype(kind, copy=False)
     return np.cumsum(x, dtype=kind) if ascending else x
 
 
@@ -129,16 +133,35 @@ def _dealt(x: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
         yield b, np.repeat(first[run] - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
-def _known(k: np.ndarray, c: np.ndarray, keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Adds what waits in the lists, and leaves them empty, to the counts of ascending words; places, words and counts of those that are not among them."""
-    new, n = _merge(keys, counts)
-    keys.clear()
-    counts.clear()
+def _known(k: np.ndarray, c: np.ndarray, learned: list[np.ndarray], held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Adds the grams that wait in the lists, and leaves these empty, to the counts of ascending words; places, words and counts of those that are not among them. Held ones count nothing."""
+    new, n = _drained(learned)
+    other = _drained(held)[0]
+    at = np.searchsorted(new, other)
+    fresh = ~_found(new, at, other)
+    new, n = np.insert(new, at[fresh], other[fresh]), np.insert(n, at[fresh], 0)
     at = np.searchsorted(k, new)
-    found = at < len(k)
-    found[found] = k[at[found]] == new[found]
+    found = _found(k, at, new)
     c[at[found]] += n[found]
-    return at[~found], new[~found], n[~found]
+    found = ~found
+    at = at[found]  # one after the other, as long arrays wait twice meanwhile
+    new = new[found]
+    return at, new, n[found]
+
+
+def _drained(waiting: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words of arrays, which their list gives up, and how often each occurs."""
+    x = np.concatenate([np.zeros(0, tb.U), *waiting])
+    waiting.clear()
+    x.sort()
+    return _unique(x)
+
+
+def _found(k: np.ndarray, at: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Whether ascending words ``k`` hold each of ``x`` at its place."""
+    found = at < len(k)
+    found[found] = k[at[found]] == x[found]
+    return found
 
 
 _COUNTED = "bucket int, grams binary, counts binary"
@@ -146,24 +169,23 @@ _COUNTED = "bucket int, grams binary, counts binary"
 
 def _count(batches: Iterator[pa.RecordBatch], depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The grams of a partition with their training counts, by tree bucket."""
-    k, c, keys, counts, waiting = np.zeros(0, tb.U), np.zeros(0, np.int64), [], [], 0
+    k, c, learned, unseen, waiting = np.zeros(0, tb.U), np.zeros(0, np.int64), [], [], 0
 
     def emit() -> Iterator[pa.RecordBatch]:
         for b, at in _dealt(context(k, depth, TOP), buckets):
             yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([squeeze(k[at], True)], pa.binary()), pa.array([squeeze(c[at])], pa.binary())], ["bucket", "grams", "counts"])
 
     for batch in batches:
-        for part in tb.pieces(batch):
+        for part in tb.pieces(batch, limit=PIECE_BYTES):
             data, off = tb.flat(part.column("text"))
             key, edge = grams(tb.FOLD[data], off, depth)
             held = np.repeat(np.asarray(part.column("held_out").to_numpy(zero_copy_only=False), bool), np.diff(edge))
-            for rows in (~held, held):
-                own, n = _unique(key[rows])
-                keys.append(own)
-                counts.append(n if rows is not held else np.zeros(len(own), np.int64))
-                waiting += len(own)
+            learned.append(key[~held])
+            unseen.append(key[held])
+            waiting += len(key)
+            del key
             if waiting > WAITING:
-                at, fresh, n = _known(k, c, keys, counts)
+                at, fresh, n = _known(k, c, learned, unseen)
                 k = np.insert(k, at, fresh)  # one after the other: neither array is held twice while the other is
                 c = np.insert(c, at, n)
                 waiting = 0
@@ -171,8 +193,8 @@ def _count(batches: Iterator[pa.RecordBatch], depth: int, buckets: int) -> Itera
                     yield from emit()
                     k, c = k[:0].copy(), c[:0].copy()
                 hand_back()
-    if keys:
-        at, fresh, n = _known(k, c, keys, counts)
+    if waiting:
+        at, fresh, n = _known(k, c, learned, unseen)
         k = np.insert(k, at, fresh)
         c = np.insert(c, at, n)
     yield from emit()
@@ -370,14 +392,14 @@ _PACKED = "bucket int, chunk long, docs int, grams binary, words binary, counts
 
 def _pack(batches: Iterator[pa.RecordBatch], depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Chunks of texts: their distinct grams, and their words with training counts, by look-up bucket; one bucket bears the texts."""
-    pid, serial, size = TaskContext.get().partitionId(), 0, 0
+    pid, serial, size, raw = TaskContext.get().partitionId(), 0, 0, []
     keys, words, counts, ids, held, texts, sizes = [], [], [], [], [], [], []
     kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 3, pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 2]
 
     def emit() -> Iterator[pa.RecordBatch]:
-        g = _unique(np.concatenate(keys))[0]
+        keys.append(_drained(raw)[0])
+        g = _drained(keys)[0]
         w, c = _merge(words, counts)
-        keys.clear()
         by_gram = dict(_dealt(context(g, depth, NEAR), buckets))
         by_word = dict(_dealt(w, buckets))
         bearer, none = (pid + serial) % buckets, np.zeros(0, np.int64)
@@ -388,15 +410,19 @@ def _pack(batches: Iterator[pa.RecordBatch], depth: int, buckets: int) -> Iterat
             yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], [f.split()[0] for f in _PACKED.split(", ")])
 
     for batch in batches:
-        for part in tb.pieces(batch):
+        for part in tb.pieces(batch, limit=PIECE_BYTES):
             data, off = tb.flat(part.column("text"))
             data = tb.FOLD[data]
             own = np.asarray(part.column("held_out").to_numpy(zero_copy_only=False), bool)
-            keys.append(_unique(grams(data, off, depth)[0])[0])
+            raw.append(grams(data, off, depth)[0])
+            if sum(map(len, raw)) >= SORTED:
+                keys.append(_drained(raw)[0])
             starts, ends, row = tb.words(data, off)
-            w, inv = np.unique(tb.span_hashes(data, starts, ends), return_inverse=True)
+            h = tb.span_hashes(data, starts, ends)
+            w, (learned, n) = _unique(h)[0], _unique(h[~own[row]])
             words.append(w)
-            counts.append(np.bincount(inv, weights=~own[row], minlength=len(w)).astype(np.int64))
+            counts.append(np.zeros(len(w), np.int64))
+            counts[-1][np.searchsorted(w, learned)] = n
             texts.append(data.tobytes())
             sizes.append(np.diff(off).astype(np.int64))
             ids += part.column("doc_id").to_pylist()
@@ -442,6 +468,53 @@ def _answer(t: pa.Table, table: pa.Table, buckets: int) -> pa.Table:
     return pa.Table.from_pylist(out, pa.schema(list(_ANSWER.items())))
 
 
+class Lookup:
+    """32-bit values of distinct words, in a table of two to four times as many places: a word stands at its hash or the next free place.
+
+    A place holds 32 further bits of the word's hash above its value. No two words agree in all bits that are held, or
+    another seed is taken; a word that the table has is thus never taken for another. Nobody may ask for other words.
+    """
+
+    def __init__(self, words: np.ndarray, values: np.ndarray):
+        self.kind, self.seed, self.bits, few = values.dtype, 0, max(1, (2 * len(words)).bit_length()), tb.U(len(words).bit_length())
+        while True:
+            h = self._hash(words)
+            order = np.sort(h >> few << few | np.arange(len(h), dtype=tb.U))
+            top, order = order >> few, (order & tb.U((1 << int(few)) - 1)).astype(np.int64)
+            twins = np.flatnonzero(top[1:] == top[:-1])
+            h = h[order]
+            held = np.c_[self._place(h), (h & _LOW_HALF).astype(np.int64)][np.union1d(twins, twins + 1)]
+            if len(np.unique(held, axis=0)) == len(held):
+                break
+            self.seed += 1
+        n = np.arange(len(h))
+        at = np.maximum.accumulate(self._place(h) - n) + n if len(h) else n  # each at its place or behind the last
+        self.table = np.zeros(max(1 << self.bits, int(at[-1]) + 1 if len(at) else 0), tb.U)
+        self.table[at] = (h << tb.U(32)) | np.ascontiguousarray(values).view(np.uint32)[order]
+
+    def _hash(self, words: np.ndarray) -> np.ndarray:
+        return tb.mix(words ^ tb.U(self.seed))
+
+    def _place(self, h: np.ndarray) -> np.ndarray:
+        return (h >> tb.U(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, words: np.ndarray) -> np.ndarray:
+        """The value of each of ``words``, all of which the table has."""
+        out = np.empty(len(words), np.uint32)
+        for a in range(0, len(words), FEW):  # as many as caches hold
+            h = self._hash(words[a : a + FEW])
+            at, mark = self._place(h), h & _LOW_HALF
+            got = self.table[at]
+            out[a : a + FEW] = got
+            todo = np.flatnonzero(got >> tb.U(32) != mark)
+            while len(todo):
+                at[todo] += 1
+                here = self.table[at[todo]]
+                out[a + todo] = here
+                todo = todo[here >> tb.U(32) != mark[todo]]
+        return out.view(self.kind)
+
+
 _SCORED = "doc_id long, held_out boolean, symbols long, n_tokens long, n_known long, sums double, score double, distinct long"
 
 
@@ -453,39 +526,43 @@ def _texts(t: pa.Table, depth: int) -> pa.Table:
     off = np.r_[0, np.cumsum(np.frombuffer(bearer["sizes"], np.int64))]
     data = np.frombuffer(_TEXT.decompress(bearer["texts"], int(off[-1]), asbytes=True) if off[-1] else b"", np.uint8)
     edges, a = [0], 0
-    while a < n:  # about tb.BATCH_BYTES at a time
-        a = min(n, max(a + 1, int(np.searchsorted(off, off[a] + tb.BATCH_BYTES, "right")) - 1))
+    while a < n:  # about PIECE_BYTES at a time
+        a = min(n, max(a + 1, int(np.searchsorted(off, off[a] + PIECE_BYTES, "right")) - 1))
         edges.append(a)
     part = lambda a, z: (data[off[a] : off[z]], off[a : z + 1] - off[a])
     hashes = lambda a, z: (lambda starts, ends, row: (tb.span_hashes(data[off[a] : off[z]], starts, ends), row))(*tb.words(*part(a, z)))
-    sorted_ = []
+    symbols, tokens_of, raw, own, heard = [], [], [], [], []
     for a, z in pairwise(edges):
         key, edge = grams(*part(a, z), depth)
-        order = np.argsort(key).astype(np.int32)
-        own, count = _unique(key[order])
-        sorted_.append((order, own, count.astype(np.int32), edge))
-    keys = _unique(np.concatenate([x[1] for x in sorted_]))[0]
+        symbols.append((key, edge))
+        raw.append(key)
+        if sum(map(len, raw)) >= SORTED:
+            own.append(_drained(raw)[0])
+        h, row = hashes(a, z)
+        tokens_of.append((h, row.astype(np.int32)))
+        heard.append(_unique(h)[0])
+    own.append(_drained(raw)[0])
+    keys, words = _drained(own)[0], _drained(heard)[0]
     logp, values = np.empty(len(keys), np.float32), {r["bucket"]: r.pop("logp") for r in rows}
     for b, at in _dealt(context(keys, depth, NEAR), buckets):
         logp[at] = expand(values.pop(b), np.float32)
-    words = np.unique(np.concatenate([np.unique(hashes(a, z)[0]) for a, z in pairwise(edges)]))
-    trained = np.concatenate([expand(r["trained"], np.int64) for r in rows])
-    trained_of = np.empty(len(words), np.int64)
-    trained_of[np.argsort(bucket_of(words, buckets), kind="stable")] = trained
-    trained, score, sums, known, tokens = trained_of, np.zeros(n), np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
-    for (a, z), (order, own, count, edge) in zip(pairwise(edges), sorted_, strict=True):
-        value = np.empty(len(order), np.float32)
-        value[order] = np.repeat(logp[np.searchsorted(keys, own)], count)
-        so_far = np.r_[0.0, np.cumsum(value, dtype=np.float64)]
+    trained = np.empty(len(words), np.int64)
+    trained[np.argsort(bucket_of(words, buckets), kind="stable")] = np.concatenate([expand(r["trained"], np.int64) for r in rows])
+    logp_of, number_of = Lookup(keys, logp), Lookup(words, np.arange(len(words), dtype=np.uint32))
+    del keys, logp, words
+    score, sums, known, tokens = np.zeros(n), np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for k, (a, z) in enumerate(pairwise(edges)):
+        (key, edge), (h, row) = symbols[k], tokens_of[k]
+        symbols[k] = tokens_of[k] = None
+        so_far = np.r_[0.0, np.cumsum(logp_of(key), dtype=np.float64)]
         score[a:z] = so_far[edge[1:]] - so_far[edge[:-1]]
-        h, row = hashes(a, z)
-        c = trained[np.searchsorted(words, h)]
+        c = trained[number_of(h)]
         sums[a:z] = np.bincount(row, weights=np.log10(c + 0.5), minlength=z - a)
         known[a:z] = np.bincount(row, weights=c > 0, minlength=z - a)
         tokens[a:z] = np.bincount(row, minlength=z - a) + 1
     distinct = np.zeros(n, np.int64)
     distinct[0] = sum(r["distinct"] for r in rows)
-    del sorted_, keys, logp, values, value, so_far, key, order, own, count, data
+    del symbols, tokens_of, logp_of, number_of, trained, values, so_far, key, h, row, c, data
     hand_back()
     return pa.table({"doc_id": pa.array(bearer["ids"], pa.int64()), "held_out": pa.array(bearer["held"]), "symbols": pa.array(np.diff(off) + 1), "n_tokens": pa.array(tokens), "n_known": pa.array(known), "sums": pa.array(sums), "score": pa.array(score), "distinct": pa.array(distinct)})
 
