@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ternion.llm import minhash, mixing, packing, secrets, toxicity
 from ternion.llm.queries import tokenizer_path
-from ternion.llm.tables import table
+from ternion.llm.tables import shrink_executors, table
 from ternion.plans.lineage import cut
 
 #: The mixing stage takes at most one epoch of a leaf: no document is packed twice.
@@ -53,6 +53,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Null and empty texts stay as they are; repeated rows and null ids are redacted each for itself. An empty table stays empty.
     """
+    shrink_executors(spark)  # the joins of near-duplicates have filled their heaps
     out = secrets.redact(docs, secrets.train())
     kind = docs.schema["n_chars"].dataType
     changed = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind))
@@ -71,6 +72,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequences; null and empty texts are the end id alone, rows of equal or null doc_id are packed each for itself, an empty table gives no rows."""
+    shrink_executors(spark)  # its encoders come beside heaps that the stages before have filled
     return packing.pack(docs, tokenizer_path())
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ternion.llm import textbytes as tb
-from ternion.llm.tables import small_batches
+from ternion.llm.tables import handing_back, small_batches
 from ternion.operators.components import connected_components
 from ternion.plans.lineage import cut
 
@@ -126,6 +126,7 @@ def weighted_jaccard(left, right) -> np.ndarray:
     return out
 
 
+@handing_back
 def _keys(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in tb.pieces(batch):
@@ -140,6 +141,7 @@ def _keys(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), lists], ["doc_id", "digest", "keys"])
 
 
+@handing_back
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in (x for y in tb.pieces(batch, "ta") for x in tb.pieces(y, "tb")):

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ternion.llm import textbytes as tb
-from ternion.llm.tables import small_batches
+from ternion.llm.tables import handing_back, small_batches
 from ternion.plans.lineage import cut
 
 CAPACITY, END_ID, CACHE_PARTS = 2048, 0, 500_000
@@ -88,7 +88,8 @@ class Encoder:
                 whole.append(p)
                 continue
             head, core, tail = found.groups()
-            pieces = head, core.lower() if core.isascii() else core, tail
+            low = core.lower() if core.isascii() else core
+            pieces = head, p if low == p else low, tail  # one string for both caches
             split.append((p, pieces))
             for u in pieces:
                 if u not in units:
@@ -127,6 +128,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> Dat
     """``(doc_id, piece, start, length, ids_crc32, pid, k)``; (pid, length, k) numbers the pieces of a length in a task."""
     end = np.array([END_ID], "<u4").tobytes()
 
+    @handing_back
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
@@ -271,6 +273,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     runs = _runs(plan(histogram, capacity), capacity)
     base = counts.select("pid", "length", (F.sum("n").over(Window.partitionBy("length").orderBy("pid")) - F.col("n")).alias("base"))
 
+    @handing_back
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size = np.asarray(batch.column("length"), np.int64)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
 from ternion.llm import textbytes as tb
-from ternion.llm.tables import hand_back, small_batches
+from ternion.llm.tables import hand_back, handing_back, small_batches
 from ternion.plans.lineage import cut
 
 FIT_ROWS, SHRINK, POWER, NEIGHBOURS, BLOCK, FOLDS, THRESHOLD = 6_000, 10.0, 4, 15, 64, 4, 0.3
@@ -237,6 +237,7 @@ def learn(ids: np.ndarray, toxic: np.ndarray, hashes: np.ndarray, owner: np.ndar
     return index
 
 
+@handing_back
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in tb.pieces(batch):
@@ -283,6 +284,7 @@ def score(docs: DataFrame, index: Index, carry: tuple[str, ...] = ()) -> DataFra
     shared = spark.sparkContext.broadcast(index)
     hand_back()  # its pickled copy
 
+    @handing_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value
         for batch in batches:
